@@ -1,11 +1,13 @@
 """Grids, cubes and tables derived from the driver's tables (see FIXTURES.md).
 
-One supplier is one grid cell of a 0.05 degree grid with ten cells per latitude. Only
+The views are plans, built once per session; no data is held. One supplier is one grid cell of a 0.05 degree grid with ten cells per latitude. Only
 order-free aggregates are used, and every view covers its whole source table.
 """
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridagro.functions import point_id
@@ -21,6 +23,7 @@ SOWING_DATES = [150, 166, 290]
 MODELS = ["Celsius", "Dssat", "Stics"]
 
 
+@cache
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -37,6 +40,7 @@ def _null_if(condition: Column, value: Column) -> Column:
     return F.when(~condition, value)
 
 
+@cache
 def cells(spark, sf) -> DataFrame:
     """k, lat, lon and the static values of each cell."""
     k, balance = F.col("s_suppkey"), F.col("s_acctbal")
@@ -56,14 +60,17 @@ def cells(spark, sf) -> DataFrame:
     )
 
 
+@cache
 def mask(spark, sf) -> DataFrame:
     return cells(spark, sf).select("lat", "lon", "mask")
 
 
+@cache
 def dem(spark, sf) -> DataFrame:
     return cells(spark, sf).select("lat", "lon", F.col("dem").alias("Band1"))
 
 
+@cache
 def soil(spark, sf) -> DataFrame:
     k, balance = F.col("k"), F.col("balance")
     return cells(spark, sf).select(
@@ -87,6 +94,7 @@ def soil(spark, sf) -> DataFrame:
     )
 
 
+@cache
 def cube(spark, sf) -> DataFrame:
     """Daily climate, sparse: time, lat, lon and the variables under their source names."""
     low, high = F.min("l_quantity"), F.max("l_quantity")
@@ -108,16 +116,19 @@ def cube(spark, sf) -> DataFrame:
     )
 
 
+@cache
 def kelvin(spark, sf, name: str) -> DataFrame:
     """One temperature cube in kelvin: ``tasmax`` or ``tasmin``."""
     source = {"tasmax": "tmax", "tasmin": "tmin"}[name]
     return cube(spark, sf).select("time", "lat", "lon", (F.col(source) + 273.15).alias(name))
 
 
+@cache
 def calendar(spark, sf) -> DataFrame:
     return cells(spark, sf).select("lat", "lon", "planting_day", "maturity_day")
 
 
+@cache
 def management(spark, sf) -> DataFrame:
     """One record per brand of the part table."""
     return (
@@ -141,16 +152,19 @@ def management(spark, sf) -> DataFrame:
     )
 
 
+@cache
 def variety_grid(spark, sf) -> DataFrame:
     k = F.col("k")
     return cells(spark, sf).select("lat", "lon", (1 + k % 32 + F.lit(1e-9)).alias("variety"))
 
 
+@cache
 def sowing_grid(spark, sf) -> DataFrame:
     k = F.col("k")
     return cells(spark, sf).select("lat", "lon", (110 + k % 90 + F.lit(0.7)).alias("sowing_date"))
 
 
+@cache
 def raw_output(spark, sf) -> DataFrame:
     """Model results as reported: one row per cell, year and scenario ``m<m>_<option>``."""
     key, low, high = F.min("o_orderkey"), F.min("o_totalprice"), F.max("o_totalprice")
@@ -193,6 +207,7 @@ def raw_output(spark, sf) -> DataFrame:
     )
 
 
+@cache
 def celsius_raw(spark, sf) -> DataFrame:
     """The same results under one model's own field names."""
     return raw_output(spark, sf).select(
@@ -211,6 +226,7 @@ def celsius_raw(spark, sf) -> DataFrame:
     )
 
 
+@cache
 def parts_of_output(spark, sf) -> DataFrame:
     """Cubes of three sub-domains in which every cell occurs twice, the second time with other values."""
     k, missing = F.col("k"), F.col("MaxLai") == 0
@@ -235,6 +251,7 @@ def parts_of_output(spark, sf) -> DataFrame:
     return first.unionByName(second).drop("k")
 
 
+@cache
 def rings(spark, sf) -> DataFrame:
     """Two small regions, one with a hole, and a large triangle around the cells of each nation."""
     literal = spark.createDataFrame(
@@ -272,10 +289,12 @@ def rings(spark, sf) -> DataFrame:
     return literal.unionByName(around)
 
 
+@cache
 def edges(spark, sf) -> DataFrame:
     return ring_edges(rings(spark, sf))
 
 
+@cache
 def points(spark, sf) -> DataFrame:
     """One point per customer, some half-way between cells and some outside the grid."""
     key = F.col("c_custkey")
@@ -286,6 +305,7 @@ def points(spark, sf) -> DataFrame:
     )
 
 
+@cache
 def typed_text(spark, sf) -> DataFrame:
     blank = F.col("event_id") % 10 == 0
     return table(spark, sf, "events").select(
