@@ -216,8 +216,9 @@ def region_cells_centre(spark, sf):
     ("cube", "touched"),
 )
 def clip_polygon_touched(spark, sf):
-    daily = fx.cube(spark, sf).select("time", "lat", "lon", "tmax")
-    return region.clip_polygon(daily, fx.edges(spark, sf), fx.RES, grid=fx.mask(spark, sf))
+    daily, edges = fx.cube(spark, sf).select("time", "lat", "lon", "tmax"), fx.edges(spark, sf)
+    near = filters.clip_bbox(daily, *region.envelope(edges, fx.RES))
+    return region.clip_polygon(near, edges, fx.RES, grid=fx.mask(spark, sf))
 
 
 @query(
@@ -247,6 +248,11 @@ def valid_cells(spark, sf):
     return filters.valid_cells(fx.mask(spark, sf), fx.soil(spark, sf))
 
 
+@query("select lat, lon, mask from valid where mask = 1", ("valid",))
+def crop_cells(spark, sf):
+    return _cells(spark, sf)
+
+
 @query("select count(mask) as n_cells from valid", ("valid",))
 def count_cells(spark, sf):
     return filters.count_cells(filters.valid_cells(fx.mask(spark, sf), fx.soil(spark, sf)))
@@ -259,8 +265,7 @@ def drop_incomplete(spark, sf):
 
 @query("select time, lat, lon, pr from cube where year(time) between 1996 and 1998", ("cube",))
 def filter_years(spark, sf):
-    daily = fx.cube(spark, sf).select("time", "lat", "lon", "pr").withColumn("year", F.year("time"))
-    return filters.filter_years(daily, 1996, 1998).drop("year")
+    return filters.filter_years(fx.cube(spark, sf).select("time", "lat", "lon", "pr"), 1996, 1998)
 
 
 def _blocks_sql(n: int, ranked: str) -> str:
@@ -371,7 +376,7 @@ def split_by_year(spark, sf):
 
 
 def _cells(spark, sf):
-    return filters.valid_cells(fx.mask(spark, sf), fx.soil(spark, sf))
+    return filters.crop_cells(fx.mask(spark, sf), fx.soil(spark, sf))
 
 
 def _climate(spark, sf):
@@ -560,22 +565,31 @@ def gridded_et(spark, sf):
     return rounded(agroclimate.gridded_reference_et(daily, fx.dem(spark, sf)), 4, "etp")
 
 
-@query(
-    f"""select cast(y as int) as ref_year, lat, lon, {rnd('sum(degree)', 4)} as gdd from (
+_THERMAL_SQL = f"""select cast(y as int) as ref_year, lat, lon, {rnd('sum(degree)', 4)} as gdd from (
       select y, c.lat, c.lon, case when
         (maturity_day >= planting_day and year(time) = y and dayofyear(time) between planting_day and maturity_day)
         or (maturity_day < planting_day and ((year(time) = y and dayofyear(time) >= planting_day)
           or (year(time) = y + 1 and dayofyear(time) <= maturity_day)))
         then greatest((tmin + 273.15e0 + tmax + 273.15e0) / 2 - 273.15e0 - 8, 0) else 0 end as degree
       from cube u join cells c on c.lat = u.lat and c.lon = u.lon, generate_series(1995, 2000) g(y))
-    group by y, lat, lon""",
-    ("cube", "cells"),
-)
+    group by y, lat, lon"""
+
+
+@query(_THERMAL_SQL, ("cube", "cells"))
 def thermal_time(spark, sf):
     tmax, tmin = fx.kelvin(spark, sf, "tasmax"), fx.kelvin(spark, sf, "tasmin")
     return rounded(agroclimate.thermal_time(tmax, tmin, fx.calendar(spark, sf), 1995, 2000), 4, "gdd")
 
 
+@query(_THERMAL_SQL, ("cube", "cells"))
+def thermal_time_side_by_side(spark, sf):
+    """The same from a cube that stores both temperatures."""
+    both = fx.cube(spark, sf).select(
+        "time", "lat", "lon", (F.col("tmax") + 273.15).alias("tasmax"), (F.col("tmin") + 273.15).alias("tasmin")
+    )
+    return rounded(agroclimate.thermal_time(both, None, fx.calendar(spark, sf), 1995, 2000), 4, "gdd")
+
+
 # ---------------------------------------------------------------- management and units
 
 

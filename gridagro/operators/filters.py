@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from datetime import date
 from functools import reduce
 from operator import and_
 
@@ -30,8 +31,14 @@ def clip_bbox(df: DataFrame, lon_min: float, lat_min: float, lon_max: float, lat
     return df.filter(F.col("lat").between(lat_min, lat_max) & F.col("lon").between(lon_min, lon_max))
 
 
-def filter_years(df: DataFrame, first: int, last: int, column: str = "year") -> DataFrame:
-    return df.filter(F.col(column).between(first, last))
+def filter_years(df: DataFrame, first: int, last: int) -> DataFrame:
+    """Rows of a range of years, as conditions on ``year`` (prunes partitions) and on ``time``."""
+    if "year" in df.columns:
+        df = df.filter(F.col("year").between(first, last))
+    if "time" in df.columns:
+        start, stop = (F.lit(date(year, 1, 1)) for year in (first, last + 1))
+        df = df.filter((F.col("time") >= start) & (F.col("time") < stop))
+    return df
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
@@ -67,6 +74,16 @@ def valid_cells(mask: DataFrame, soil: DataFrame) -> DataFrame:
     )
 
 
+def crop_cells(mask: DataFrame, soil: DataFrame) -> DataFrame:
+    """The cells with mask 1 and complete soil: ``valid_cells`` for those who need no others.
+
+    A semi-join, whose estimated size is that of the mask, so later joins with it are planned as
+    joins with a small table.
+    """
+    complete = snapped(drop_incomplete(soil)).select(*CELL)
+    return snapped(mask.filter("mask = 1").select(*CELL, "mask")).join(complete, list(CELL), "left_semi")
+
+
 def count_cells(mask: DataFrame) -> DataFrame:
     """Number of cells with a mask value."""
     return nulls_for_nans(mask).agg(F.count("mask").alias("n_cells"))

@@ -49,16 +49,14 @@ def grid_product(cells: DataFrame, table: DataFrame, spread: Sequence[str] = ("l
     """Every cell with every row of ``table``, as an equi-join.
 
     The product is the result itself (management per cell, time slices per cell). Cells are
-    hashed to slots and the rows of ``table`` are repeated once per slot, so both sides may be
-    large, each slot is an even share of the product, and no side has to fit in memory. The
-    cells are spread before the product, while they are still few and narrow.
+    hashed to slots and the rows of ``table`` are repeated once per slot, so each slot is an
+    even share of the product. Slots are partitions of a fixed number, one task each: they are
+    not merged for being small, as it is the output that is large. A merge join streams the
+    cells past the rows of the slot and spills, so no side has to fit in memory.
     """
     slots = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slot = F.pmod(F.xxhash64(*spread), F.lit(slots)).cast("int")
     every_slot = F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
-    return (
-        cells.withColumn(_SLOT, slot)
-        .repartition(slots, *spread)
-        .join(table.withColumn(_SLOT, every_slot), _SLOT)
-        .drop(_SLOT)
-    )
+    placed = cells.withColumn(_SLOT, slot).repartitionById(slots, _SLOT)
+    repeated = table.withColumn(_SLOT, every_slot).repartitionById(slots, _SLOT)
+    return placed.join(repeated.hint("merge"), _SLOT).drop(_SLOT)

@@ -149,21 +149,19 @@ def region_cells(cells: DataFrame, edges: DataFrame, res: float, all_touched: bo
     return hits
 
 
-def in_envelope(edges: DataFrame, margin: float) -> Column:
-    """Whether a cell lies in the bounding box of all edges, widened by ``margin``.
+def envelope(edges: DataFrame, margin: float) -> tuple[float, float, float, float]:
+    """(lon_min, lat_min, lon_max, lat_max) around all edges, for ``clip_bbox``.
 
-    The bounds are scalar subqueries, so the check is lazy and is an ordinary comparison with
-    ``lat`` and ``lon`` when the scan runs.
+    This runs a small job: four numbers come to the driver, so that the box is a constant in the
+    plan and reaches the scan.
     """
-
-    def bound(value: Column) -> Column:
-        return edges.agg(value).scalar()
-
-    low = lambda a, b: bound(F.min(F.least(a, b)) - margin)
-    high = lambda a, b: bound(F.max(F.greatest(a, b)) + margin)
-    return F.col("lat").between(low("y1", "y2"), high("y1", "y2")) & F.col("lon").between(
-        low("x1", "x2"), high("x1", "x2")
-    )
+    box = edges.agg(
+        F.min(F.least("x1", "x2")) - margin,
+        F.min(F.least("y1", "y2")) - margin,
+        F.max(F.greatest("x1", "x2")) + margin,
+        F.max(F.greatest("y1", "y2")) + margin,
+    ).first()
+    return tuple(box)
 
 
 def clip_polygon(
@@ -177,11 +175,9 @@ def clip_polygon(
     """Rows of a grid or cube whose cell belongs to any of the regions.
 
     For a cube pass its static ``grid``; otherwise the cells are taken from the rows of ``df``.
-    The envelope of the regions is a plain filter ahead of everything else.
+    Clip large inputs to the ``envelope`` of the regions first.
     """
-    near = in_envelope(edges, res)
-    placed = snapped(df.filter(near))
-    cells = placed if grid is None else grid.filter(near)
-    kept = region_cells(cells, edges, res, all_touched).select(*CELL).distinct()
+    placed = snapped(df)
+    kept = region_cells(placed if grid is None else grid, edges, res, all_touched).select(*CELL).distinct()
     spread = [name for name in spread if name in df.columns]
     return lookup_join(placed, kept, CELL, "left_semi", spread)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from gridagro.functions import degree_day, et0_rhum, et0_tdew, kelvin_to_celsius, season_year, tmean
 from gridagro.functions.agroclimate import DEFAULT_BASE
 from gridagro.operators.cube import align_variables, with_static
-from gridagro.operators.filters import CELL, nulls_for_nans, snapped
+from gridagro.operators.filters import CELL, drop_incomplete, filter_years, nulls_for_nans, snapped
 from gridagro.operators.joins import lookup_join
 
 
@@ -50,7 +50,7 @@ def gridded_reference_et(cube: DataFrame, dem: DataFrame) -> DataFrame:
 
 def thermal_time(
     tmax: DataFrame,
-    tmin: DataFrame,
+    tmin: DataFrame | None,
     calendar: DataFrame,
     first: int,
     last: int,
@@ -59,24 +59,31 @@ def thermal_time(
     """Degree-days above ``base`` in each cell's growing season, per planting year.
 
     ``tmax`` and ``tmin`` hold tasmax and tasmin in kelvin, the calendar planting_day and
-    maturity_day. Each day falls into at most one season, so days are neither repeated nor
+    maturity_day. A cube stored with both temperatures side by side is given as ``tmax`` alone;
+    it needs no alignment, and its days are added up before anything is shuffled. Each day falls into at most one season, so days are neither repeated nor
     scanned once per year; a cell without days in season, or without a calendar, has 0.
     """
-    kelvin = [
-        df.filter(F.year("time").between(first, last + 1)).select("time", *CELL, name)
-        for df, name in ((tmax, "tasmax"), (tmin, "tasmin"))
-    ]
+    if tmin is None:
+        both = filter_years(tmax, first, last + 1).select("time", *CELL, "tasmax", "tasmin")
+        daily = snapped(drop_incomplete(both))
+    else:
+        parts = [
+            filter_years(df, first, last + 1).select("time", *CELL, name)
+            for df, name in ((tmax, "tasmax"), (tmin, "tasmin"))
+        ]
+        daily = align_variables(parts)
     seasons = nulls_for_nans(snapped(calendar.select(*CELL, "planting_day", "maturity_day")))
     degrees = degree_day(kelvin_to_celsius(tmean(F.col("tasmin"), F.col("tasmax"))), base)
     planted = season_year(F.year("time"), F.dayofyear("time"), F.col("planting_day"), F.col("maturity_day"))
     # Days out of season stay in a group of their own, which keeps their cells in the result.
     sums = (
-        lookup_join(align_variables(kelvin), seasons, CELL, "left", spread=["time"])
+        lookup_join(daily, seasons, CELL, "left", spread=["time"])
         .groupBy(*CELL, planted.alias("ref_year"))
         .agg(F.sum(degrees).alias("gdd"))
     )
-    years = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("ref_year")
-    frame = sums.select(*CELL).distinct().select(*CELL, years)
-    return frame.join(sums, [*CELL, "ref_year"], "left").select(
-        "ref_year", *CELL, F.coalesce("gdd", F.lit(0.0)).alias("gdd")
-    )
+    # One entry per year and cell, so that years without a sum are filled in without a second scan.
+    entry = F.when(F.col("ref_year").isNotNull(), F.struct("ref_year", "gdd"))
+    by_cell = sums.groupBy(*CELL).agg(F.map_from_entries(F.collect_list(entry)).alias("by_year"))
+    return by_cell.select(
+        F.explode(F.sequence(F.lit(first), F.lit(last))).alias("ref_year"), *CELL, "by_year"
+    ).select("ref_year", *CELL, F.coalesce(F.element_at("by_year", F.col("ref_year")), F.lit(0.0)).alias("gdd"))

@@ -19,6 +19,7 @@ from gridagro.operators.filters import (
     CELL,
     apply_mask,
     conform,
+    crop_cells,
     drop_incomplete,
     filter_years,
     nulls_for_nans,
@@ -39,7 +40,7 @@ from gridagro.sources.schemas import (
 
 def valid_subdomains(mask: DataFrame, soil: DataFrame, n: int, strict: bool = False) -> DataFrame:
     """Valid crop cells with their sub-domain. Written once, it serves every table below."""
-    return assign_subdomain(valid_cells(mask, soil), n, strict)
+    return assign_subdomain(valid_cells(mask, soil) if strict else crop_cells(mask, soil), n, strict)
 
 
 def coordinates_table(dem: DataFrame, cells: DataFrame | None = None, legacy: bool = False) -> DataFrame:
@@ -85,7 +86,7 @@ def climate_table(
     only join is the semi-join with the mask.
     """
     if first is not None and last is not None:
-        cube = filter_years(cube.withColumn("year", F.year("time")), first, last).drop("year")
+        cube = filter_years(cube, first, last)
     known = snapped(drop_incomplete(cube if cells is None else apply_mask(cube, cells)))
     if "pr" in known.columns:
         known = known.withColumnRenamed("pr", "rain")

@@ -35,7 +35,7 @@ def mosaic(outputs: DataFrame, grid: DataFrame, mask: DataFrame | None = None) -
     """
     merged = first_non_null(snapped(outputs), [*SLICE, *CELL])
     cells = snapped(grid).select(*CELL).distinct()
-    placed = reindex(merged, cells if mask is None else with_mask(cells, mask), SLICE)
+    placed = reindex(merged, cells if mask is None else with_mask(cells, mask), SLICE, slices_of=outputs)
     filled = placed if mask is None else fill_cube(placed)
     variables = [name for name in merged.columns if name not in (*SLICE, *CELL)]
     return filled.select(*SLICE, *CELL, *[as_float(F.col(name)).alias(name) for name in variables])

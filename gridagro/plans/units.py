@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from gridagro.functions import Window, day_of, fixed_window, sim_id, sowing_window
+from gridagro.operators.aggregates import coordinate_years
 from gridagro.operators.filters import conform
 from gridagro.operators.joins import grid_product, lookup_join
 from gridagro.operators.ranges import covering_blocks, holding_blocks
@@ -53,8 +54,10 @@ def build_sim_units(
     soils = soil.select(F.col("IdSoil").alias("idPoint")).distinct()
     # A point has no more entries than the calendar has years.
     points = (
-        years.groupBy("idPoint")
-        .agg(F.sort_array(F.collect_set("year")).alias("years"))
+        years.select("idPoint", "year")
+        .distinct()
+        .groupBy("idPoint")
+        .agg(F.sort_array(F.collect_list("year")).alias("years"))
         .join(soils, "idPoint", "left_semi")
     )
     managed = _unique_management(management)
@@ -100,8 +103,7 @@ def sim_units(climate: DataFrame, soil: DataFrame, management: DataFrame, option
     The rule is a property of the management id, so it is checked while the units are unfolded
     and costs no join with the finished table.
     """
-    years = climate.select("idPoint", F.col("year").cast("int").alias("year"))
-    return build_sim_units(years, soil, management, options, zero_fertiliser_rule=True, **window)
+    return build_sim_units(coordinate_years(climate), soil, management, options, zero_fertiliser_rule=True, **window)
 
 
 def dedupe_units(units: DataFrame) -> DataFrame:
