@@ -17,6 +17,10 @@ _PART = "__part"
 _SLOT = "__slot"
 
 
+def _hinted(lookup: DataFrame, merge: bool) -> DataFrame:
+    return lookup.hint("merge") if merge else lookup
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -24,23 +28,28 @@ def lookup_join(
     how: str = "left",
     spread: Sequence[str] = (),
     splits: int = DEFAULT_SPLITS,
+    multiplied: bool = False,
 ) -> DataFrame:
     """Join a fact table to a much smaller keyed one; ``how`` must keep the fact side.
 
     The rows of one key are split over ``splits`` parts by a hash of the ``spread`` columns and
     the lookup rows are repeated once per part, so a hot key is shared by several tasks. The
-    hash depends on the row alone: a recomputed task sends every row to the same place.
+    hash depends on the row alone: a recomputed task sends every row to the same place. If Spark
+    finds the lookup small enough to broadcast, the copies hold ``splits`` times its rows.
+
+    ``multiplied`` marks facts that were just unfolded by an explode. Spark takes such a table to
+    be as small as before and could broadcast it, so a merge join is asked for.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = list(keys)
     if not spread or splits < 2:
-        return facts.join(lookup, keys, how)
+        return facts.join(_hinted(lookup, multiplied), keys, how)
     part = F.pmod(F.xxhash64(*spread), F.lit(splits)).cast("int")
     every_part = F.explode(F.array(*[F.lit(i) for i in range(splits)]))
     return (
         facts.withColumn(_PART, part)
-        .join(lookup.withColumn(_PART, every_part), [*keys, _PART], how)
+        .join(_hinted(lookup.withColumn(_PART, every_part), multiplied), [*keys, _PART], how)
         .drop(_PART)
     )
 

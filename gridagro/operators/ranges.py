@@ -2,7 +2,8 @@
 
 Joining every range to every day inside it repeats each day once per range. Here days are first
 added up in aligned blocks of 1, 8 and 64 days, and a range is cut into the few blocks that
-tile it, so both sides meet by equality on (key, level, block).
+tile it, so both sides meet by equality on (key, block). A block is one number that holds its
+size and its place.
 """
 
 from __future__ import annotations
@@ -11,38 +12,33 @@ from pyspark.sql import Column, functions as F
 
 _FANOUT = 8
 _LEVELS = 3
+_LEVEL_STEP = 1 << 40
 
 
-def _half_open(start: Column, stop: Column) -> Column:
-    return F.when(stop > start, F.sequence(start, stop - 1)).otherwise(F.array().cast("array<bigint>"))
+def _code(block: Column, level: int) -> Column:
+    return block + F.lit(level * _LEVEL_STEP)
 
 
-def _tag(level: int, blocks: Column) -> Column:
-    return F.transform(blocks, lambda b: F.struct(F.lit(level).alias("level"), b.alias("block")))
+def _codes(start: Column, stop: Column, level: int) -> Column:
+    """Codes of the blocks from ``start`` up to but without ``stop``."""
+    none = F.array().cast("array<bigint>")
+    return F.when(stop > start, F.sequence(_code(start, level), _code(stop - 1, level))).otherwise(none)
 
 
 def covering_blocks(first: Column, last: Column) -> Column:
-    """Array of (level, block) structs that tile the days ``first`` to ``last`` exactly once."""
+    """Codes of the blocks that tile the days ``first`` to ``last`` exactly once."""
     start, stop = first.cast("bigint"), last.cast("bigint") + 1
     pieces = []
     for level in range(_LEVELS - 1):
         inner_start, inner_stop = F.ceil(start / _FANOUT), F.floor(stop / _FANOUT)
         head_end = inner_start * _FANOUT
-        pieces.append(_tag(level, _half_open(start, F.least(head_end, stop))))
-        pieces.append(_tag(level, _half_open(F.greatest(inner_stop * _FANOUT, head_end), stop)))
+        pieces.append(_codes(start, F.least(head_end, stop), level))
+        pieces.append(_codes(F.greatest(inner_stop * _FANOUT, head_end), stop, level))
         start, stop = inner_start, inner_stop
-    pieces.append(_tag(_LEVELS - 1, _half_open(start, stop)))
+    pieces.append(_codes(start, stop, _LEVELS - 1))
     return F.concat(*pieces)
 
 
 def holding_blocks(day: Column) -> Column:
-    """Array of the (level, block) structs that contain a day, one per level."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(level).alias("level"),
-                F.floor(day / F.lit(_FANOUT**level)).cast("bigint").alias("block"),
-            )
-            for level in range(_LEVELS)
-        ]
-    )
+    """Codes of the blocks that contain a day, one per block size."""
+    return F.array(*[_code(F.floor(day / F.lit(_FANOUT**level)), level) for level in range(_LEVELS)])

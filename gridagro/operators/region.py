@@ -57,7 +57,7 @@ def _centre_columns(cells: DataFrame, edges: DataFrame, res: float) -> DataFrame
         "row", F.explode(F.sequence(_bucket(F.least(y1, y2), res), _bucket(F.greatest(y1, y2), res)))
     )
     crossings = (
-        lookup_join(sloped, _rows_of(cells, res), ["row"], "inner", spread=EDGE)
+        lookup_join(sloped, _rows_of(cells, res), ["row"], "inner", spread=EDGE, multiplied=True)
         .filter((y1 > lat) != (y2 > lat))
         .withColumn("cross", (F.col("x2") - F.col("x1")) * (lat - y1) / (y2 - y1) + F.col("x1"))
         .withColumn("column", _bucket(F.col("cross"), res))
@@ -101,7 +101,7 @@ def _touched_cells(cells: DataFrame, edges: DataFrame, res: float) -> DataFrame:
             )
         ),
     )
-    banded = lookup_join(in_rows, _rows_of(cells, res), ["row"], "inner", spread=EDGE).filter(
+    banded = lookup_join(in_rows, _rows_of(cells, res), ["row"], "inner", spread=EDGE, multiplied=True).filter(
         (F.least(y1, y2) <= lat + half) & (F.greatest(y1, y2) >= lat - half)
     )
 
@@ -126,7 +126,7 @@ def _touched_cells(cells: DataFrame, edges: DataFrame, res: float) -> DataFrame:
         & (F.abs(dx * (lat - y1) - dy * (lon - x1)) <= half * (F.abs(dx) + F.abs(dy)))
     )
     return (
-        lookup_join(candidates, boxes, ["lat", "column"], "inner", spread=EDGE)
+        lookup_join(candidates, boxes, ["lat", "column"], "inner", spread=EDGE, multiplied=True)
         .filter(meets)
         .select("region_id", *CELL)
         .distinct()
@@ -143,7 +143,7 @@ def region_cells(cells: DataFrame, edges: DataFrame, res: float, all_touched: bo
     grid = snapped(cells).select(*CELL).distinct()
     inside = _centre_columns(grid, edges, res)
     boxes = grid.select(*CELL, _bucket(F.col("lon"), res).alias("column"))
-    hits = inside.join(boxes, ["lat", "column"]).select("region_id", *CELL)
+    hits = inside.join(boxes.hint("merge"), ["lat", "column"]).select("region_id", *CELL)
     if all_touched:
         hits = hits.unionByName(_touched_cells(grid, edges, res)).distinct()
     return hits

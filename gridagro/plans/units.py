@@ -136,22 +136,20 @@ def season_climate(units: DataFrame, climate: DataFrame) -> DataFrame:
     blocks = (
         climate.select(
             "idPoint",
-            F.explode(holding_blocks(F.unix_date(F.to_date("w_date")))).alias("b"),
+            F.explode(holding_blocks(F.unix_date(F.to_date("w_date")))).alias("block"),
             *sums,
             *means,
         )
-        .groupBy("idPoint", F.col("b.level").alias("level"), F.col("b.block").alias("block"))
+        .groupBy("idPoint", "block")
         .agg(
             F.count(F.lit(1)).alias("n_days"),
             *[F.sum(name).alias(name) for name in (*sums, *means)],
             *[F.count(name).alias(f"n_{name}") for name in means],
         )
     )
-    tiles = windows.withColumn("b", F.explode(covering_blocks(F.col("first"), F.col("last")))).select(
-        "idPoint", "first", "last", F.col("b.level").alias("level"), F.col("b.block").alias("block")
-    )
+    tiles = windows.withColumn("block", F.explode(covering_blocks(F.col("first"), F.col("last"))))
     totals = (
-        tiles.join(blocks, ["idPoint", "level", "block"])
+        tiles.join(blocks.hint("merge"), ["idPoint", "block"])
         .groupBy("idPoint", "first", "last")
         .agg(
             F.sum("n_days").alias("n_days"),

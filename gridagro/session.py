@@ -16,6 +16,7 @@ LOCAL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.shuffle.partitions": "8",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.driver.memory": "8g",
 }
