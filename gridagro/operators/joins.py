@@ -17,10 +17,6 @@ _PART = "__part"
 _SLOT = "__slot"
 
 
-def _hinted(lookup: DataFrame, merge: bool) -> DataFrame:
-    return lookup.hint("merge") if merge else lookup
-
-
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -43,15 +39,16 @@ def lookup_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     keys = list(keys)
-    if not spread or splits < 2:
-        return facts.join(_hinted(lookup, multiplied), keys, how)
-    part = F.pmod(F.xxhash64(*spread), F.lit(splits)).cast("int")
-    every_part = F.explode(F.array(*[F.lit(i) for i in range(splits)]))
-    return (
-        facts.withColumn(_PART, part)
-        .join(_hinted(lookup.withColumn(_PART, every_part), multiplied), [*keys, _PART], how)
-        .drop(_PART)
-    )
+    added = [name for name in lookup.columns if name not in keys] if how in ("inner", "left") else []
+    columns = [*facts.columns, *added]
+    if spread and splits > 1:
+        part = F.pmod(F.xxhash64(*spread), F.lit(splits)).cast("int")
+        facts = facts.withColumn(_PART, part)
+        lookup = lookup.withColumn(_PART, F.explode(F.array(*[F.lit(i) for i in range(splits)])))
+        keys.append(_PART)
+    if multiplied:
+        lookup = lookup.hint("merge")
+    return facts.join(lookup, keys, how).select(*columns)
 
 
 def grid_product(cells: DataFrame, table: DataFrame, spread: Sequence[str] = ("lat", "lon")) -> DataFrame:
