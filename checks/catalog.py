@@ -16,6 +16,7 @@ from checks.views import length, lat, lon, pid, rnd, with_views
 from gridagro import functions as gf
 from gridagro.operators import aggregates, cube as cubes, filters, nearest, partition, region
 from gridagro.plans import agroclimate, inputs, management as mgmt, mosaic as mosaics, outputs, units
+from gridagro.plans.prepare import Sources, prepare
 from gridagro.session import scratch_path
 from gridagro.sources import scan, sinks, types
 from gridagro.sources.schemas import OUTPUT_VALUES
@@ -760,6 +761,52 @@ def season_climate(spark, sf):
     return rounded(rounded(seasonal, 8, "tmin", "tmax", "tmoy"), 6, "rain", "Etppm")
 
 
+def _run(spark, sf, **changes):
+    sources = Sources(
+        mask=fx.mask(spark, sf),
+        soil=fx.soil(spark, sf),
+        dem=fx.dem(spark, sf),
+        cube=fx.cube(spark, sf),
+        management=fx.management(spark, sf),
+        grids=_grids(spark, sf),
+    )
+    settings = {"options": [1, 2, 3, 4], "first": 1996, "last": 1999, "varieties": fx.VARIETIES, "mode": "grid"}
+    return prepare(sources, **{**settings, **changes})
+
+
+@query(
+    f"""select "idPoint", "StartYear", idsim from ({_units_sql("spatial", "oldid", "m.idPoint = y.idPoint", _FOLLOWING, _RULE)})
+    where "StartYear" between 1996 and 1999""",
+    (*_UNIT_VIEWS, "spatial"),
+)
+def prepare_units(spark, sf):
+    """The unit table of a whole run, from the gridded sources."""
+    return _run(spark, sf).units.select("idPoint", "StartYear", "idsim")
+
+
+@query(
+    f"""select idPoint || '.' || year || '.' || DOY as idjourclim, rain as plu, et as "Etp" from
+    (select *, {rnd(_et_sql(_TDEW, "altitude", _ra_sql("DOY", "latitudeDD", False), True), 4)} as et
+      from climate left join coords using (idPoint)) where year between 1996 and 1999""",
+    ("climate", "coords"),
+)
+def prepare_weather(spark, sf):
+    """The weather table of a whole run, reference evapotranspiration included."""
+    weather = inputs.model_weather(_run(spark, sf, subdomains=fx.SUBDOMAINS).climate)
+    return rounded(weather.select("idjourclim", "plu", "Etp"), 4, "Etp")
+
+
+@query(
+    f"""select cast(trunc({rnd('dem', 4)}) as int) as altitude, {pid('cell_lat', 'cell_lon')} as "idPoint"
+    from (select distinct cell_lat, cell_lon from nearest) n join cells c on c.lat = n.cell_lat and c.lon = n.cell_lon""",
+    ("nearest", "cells"),
+)
+def prepare_at_points(spark, sf):
+    """The coordinates of a run at single points."""
+    run = _run(spark, sf, points=fx.points(spark, sf), res=fx.RES)
+    return run.coordinates.select("altitude", "idPoint")
+
+
 # ---------------------------------------------------------------- model outputs
 
 

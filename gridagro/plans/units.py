@@ -157,8 +157,9 @@ def season_climate(units: DataFrame, climate: DataFrame) -> DataFrame:
             *[F.try_divide(F.sum(name), F.sum(f"n_{name}")).alias(name) for name in means],
         )
     )
+    # A window may be shared by most units, hence the split by unit id.
     return (
-        dated.join(totals, ["idPoint", "first", "last"], "left")
+        lookup_join(dated, totals, ["idPoint", "first", "last"], "left", spread=["idsim"])
         .drop("first", "last")
         .withColumn("n_days", F.coalesce("n_days", F.lit(0)))
     )

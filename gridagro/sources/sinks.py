@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from gridagro.functions import as_float
+from gridagro.session import scratch_path
 
 _CELL = ("lat", "lon")
 
@@ -16,16 +17,26 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def _clustered(df: DataFrame, partitions: Sequence[str], files: int) -> DataFrame:
-    """Rows gathered by output partition, each shared by up to ``files`` tasks and sorted by cell.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read back.
 
-    The share of a row depends on its cell, so that a partition holding most of the data is
-    still written by many tasks, and the sort keeps the latitude and longitude ranges of the
-    files' row groups narrow for later box filters.
+    For tables that many plans use. The copy outlives executors, cuts the lineage, and gives
+    later joins the table's real size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    write_table(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _clustered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows gathered by output partition and sorted by cell.
+
+    ``rebalance`` lets adaptive execution size the writing tasks: an output partition that holds
+    most of the data is split over many of them, small ones share a task. The sort keeps the
+    latitude and longitude ranges of row groups narrow for later box filters.
     """
     keys = [name for name in _CELL if name in df.columns]
-    share = F.pmod(F.xxhash64(*keys), F.lit(files)) if keys else F.lit(0)
-    return df.repartition(*partitions, share).sortWithinPartitions(*partitions, *keys)
+    return df.hint("rebalance", *partitions).sortWithinPartitions(*partitions, *keys)
 
 
 def float32(df: DataFrame) -> DataFrame:
@@ -43,21 +54,21 @@ def split_by_year(cube: DataFrame, variables: Sequence[str]) -> DataFrame:
 
 
 def write_by_year(
-    cube: DataFrame, path: str, variables: Sequence[str] | None = None, files: int = 16, single: bool = False
+    cube: DataFrame, path: str, variables: Sequence[str] | None = None, single: bool = False
 ) -> None:
     """A cube partitioned by year, or by variable and year when ``variables`` are listed."""
     if variables is not None:
         out, partitions = split_by_year(cube, variables), ["variable", "year"]
     else:
-        out, partitions = cube.withColumn("year", F.year("time")) if "year" not in cube.columns else cube, ["year"]
+        out, partitions = cube.withColumn("year", F.year("time")), ["year"]
     out = float32(out) if single else out
-    _clustered(out, partitions, files).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    _clustered(out, partitions).write.mode("overwrite").partitionBy(*partitions).parquet(path)
 
 
-def replace_model(df: DataFrame, path: str, files: int = 16) -> None:
+def replace_model(df: DataFrame, path: str) -> None:
     """Replace the rows of the models in ``df`` and leave those of other models alone."""
     (
-        _clustered(df, ["Model"], files)
+        _clustered(df, ["Model"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("Model")
@@ -65,8 +76,8 @@ def replace_model(df: DataFrame, path: str, files: int = 16) -> None:
     )
 
 
-def write_scenarios(df: DataFrame, path: str, single: bool = False, files: int = 16) -> None:
+def write_scenarios(df: DataFrame, path: str, single: bool = False) -> None:
     """One cube per model and scenario; ``single`` stores values in single precision."""
     out = float32(df) if single else df
     partitions = ["model", "scenario"]
-    _clustered(out, partitions, files).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    _clustered(out, partitions).write.mode("overwrite").partitionBy(*partitions).parquet(path)
