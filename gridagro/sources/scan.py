@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridagro.functions import parse_file_name
+from gridagro.operators.filters import conform
 from gridagro.operators.region import ring_edges
 from gridagro.sources.schemas import POINTS, RAW_OUTPUT, ddl
 
@@ -27,8 +28,14 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_model_results(spark: SparkSession, pattern: str) -> DataFrame:
-    """All result CSVs of a model, columns taken by the names in each header."""
-    return spark.read.csv(pattern, header=True, schema=ddl(RAW_OUTPUT), enforceSchema=False)
+    """All result CSVs of a model as one table.
+
+    The files of a model share a layout, whose column names are taken from the header of one of
+    them; columns are then picked by name, whatever their order, and absent ones are NULL.
+    """
+    found = spark.read.csv(pattern, header=True)
+    typed = {name: F.col(name).try_cast(kind) for name, kind in RAW_OUTPUT.items() if name in found.columns}
+    return conform(found.withColumns(typed), RAW_OUTPUT)
 
 
 def read_result_table(spark: SparkSession, name: str) -> DataFrame:

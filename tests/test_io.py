@@ -73,12 +73,13 @@ def test_result_files_are_matched_by_header(spark, tmp_path):
     from gridagro.sources.schemas import RAW_OUTPUT
 
     for n in range(2):
-        names = list(RAW_OUTPUT)
+        names = [name for name in reversed(RAW_OUTPUT) if name != "Nleac"]
         row = ",".join({"string": f"t{n}", "int": "2000", "double": "1.5"}[RAW_OUTPUT[name]] for name in names)
         (tmp_path / f"{n}_stics.csv").write_text(",".join(names) + "\n" + row + "\n")
     back = scan.read_model_results(spark, str(tmp_path / "*_stics.csv"))
     assert back.count() == 2 and back.columns == list(RAW_OUTPUT)
-    assert back.select(F.sum("Yield")).first()[0] == 3.0
+    assert dict(back.dtypes) == RAW_OUTPUT
+    assert back.select(F.sum("Yield"), F.count("Nleac"), F.max("time")).first()[:] == (3.0, 0, 2000)
 
 
 def test_files_by_pattern(spark, cube, tmp_path):
