@@ -42,17 +42,17 @@ def sim_id(point: Column, year: Column, mangt: Column, option: Column) -> Column
 
 def parse_sim_id(idsim: Column) -> dict[str, Column]:
     """lat, lon, year and scenario of a simulation id."""
-    piece = F.split(idsim, "_", 4)
+    pieces = F.split(idsim, "_", 4)
     return {
-        "lat": piece[0].cast("double"),
-        "lon": piece[1].cast("double"),
-        "time": piece[2].cast("double").cast("int"),
-        "scenario": piece[3],
+        "lat": F.get(pieces, F.lit(0)).cast("double"),
+        "lon": F.get(pieces, F.lit(1)).cast("double"),
+        "time": F.get(pieces, F.lit(2)).cast("double").cast("int"),
+        "scenario": F.get(pieces, F.lit(3)),
     }
 
 
 def scenario_of(idsim: Column) -> Column:
-    return F.split(idsim, "_", 4)[3]
+    return F.get(F.split(idsim, "_", 4), F.lit(3))
 
 
 def in_scenario(idsim: Column, scenario: Column | str) -> Column:

@@ -7,7 +7,7 @@ from datetime import date
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridagro.functions import nan_to_null, snap
 from gridagro.operators.joins import lookup_join
@@ -118,18 +118,23 @@ def conform(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     )
 
 
+def unfertilised_code(code: Column) -> Column:
+    """Whether a fertiliser code, number or text, is 0."""
+    return F.coalesce(code.try_cast("double") == 0, F.lit(False))
+
+
 def drop_fertilised(units: DataFrame, management: DataFrame, options: Sequence[int] = (2, 4)) -> DataFrame:
     """Drop units of a no-fertiliser option whose management is not a zero-fertiliser one.
 
     Few management ids may cover all units, hence the split by unit id.
     """
-    unfertilised = (
-        management.filter((F.col("InoFertiPolicyCode") == 0) & F.col("idMangt").isNotNull())
+    known = (
+        management.filter(unfertilised_code(F.col("InoFertiPolicyCode")) & F.col("idMangt").isNotNull())
         .select("idMangt", F.lit(True).alias("__unfertilised"))
         .distinct()
     )
     return (
-        lookup_join(units, unfertilised, ["idMangt"], "left", spread=["idsim"])
+        lookup_join(units, known, ["idMangt"], "left", spread=["idsim"])
         .filter(~F.col("idOption").isin(*options) | F.col("__unfertilised"))
         .drop("__unfertilised")
     )

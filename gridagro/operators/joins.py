@@ -51,16 +51,20 @@ def lookup_join(
     return facts.join(lookup, keys, how).select(*columns)
 
 
-def grid_product(cells: DataFrame, table: DataFrame, spread: Sequence[str] = ("lat", "lon")) -> DataFrame:
+def grid_product(
+    cells: DataFrame, table: DataFrame, spread: Sequence[str] = ("lat", "lon"), slots: int | None = None
+) -> DataFrame:
     """Every cell with every row of ``table``, as an equi-join.
 
     The product is the result itself (management per cell, time slices per cell). Cells are
     hashed to slots and the rows of ``table`` are repeated once per slot, so each slot is an
     even share of the product. Slots are partitions of a fixed number, one task each: they are
     not merged for being small, as it is the output that is large. A merge join streams the
-    cells past the rows of the slot and spills, so no side has to fit in memory.
+    cells past the rows of the slot and spills, so no side has to fit in memory. ``slots``
+    defaults to ``spark.sql.shuffle.partitions``.
     """
-    slots = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if slots is None:
+        slots = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slot = F.pmod(F.xxhash64(*spread), F.lit(slots)).cast("int")
     every_slot = F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
     placed = cells.withColumn(_SLOT, slot).repartitionById(slots, _SLOT)

@@ -43,10 +43,14 @@ def valid_subdomains(mask: DataFrame, soil: DataFrame, n: int, strict: bool = Fa
     return assign_subdomain(valid_cells(mask, soil) if strict else crop_cells(mask, soil), n, strict)
 
 
+def _inside(df: DataFrame, cells: DataFrame | None) -> DataFrame:
+    """Complete rows of the masked cells, or of all cells, on the common lattice."""
+    return drop_incomplete(snapped(df) if cells is None else apply_mask(df, cells))
+
+
 def coordinates_table(dem: DataFrame, cells: DataFrame | None = None, legacy: bool = False) -> DataFrame:
     """Altitude and coordinates of each cell; ``dem`` has lat, lon and Band1."""
-    inside = dem.select(*CELL, "Band1") if cells is None else apply_mask(dem.select(*CELL, "Band1"), cells)
-    known = snapped(drop_incomplete(inside))
+    known = _inside(dem.select(*CELL, "Band1"), cells)
     blank = F.lit("")
     columns = COORDINATES_LEGACY if legacy else COORDINATES
     return conform(
@@ -64,7 +68,7 @@ def coordinates_table(dem: DataFrame, cells: DataFrame | None = None, legacy: bo
 
 def soil_table(soil: DataFrame, cells: DataFrame | None = None, texture: str | None = None) -> DataFrame:
     """Soil records of the valid cells; ``texture`` fixes one class instead of the Band1 codes."""
-    known = snapped(drop_incomplete(soil if cells is None else apply_mask(soil, cells)))
+    known = _inside(soil, cells)
     values = {name: round_half_even(F.col(name).cast("double"), SOIL_DIGITS) for name in SOIL_VALUES}
     constants = {
         "IdSoil": point_id(F.col("lat"), F.col("lon")),
@@ -87,7 +91,7 @@ def climate_table(
     """
     if first is not None and last is not None:
         cube = filter_years(cube, first, last)
-    known = snapped(drop_incomplete(cube if cells is None else apply_mask(cube, cells)))
+    known = _inside(cube, cells)
     if "pr" in known.columns:
         known = known.withColumnRenamed("pr", "rain")
     known = known.withColumn("tmoy", tmean(F.col("tmin"), F.col("tmax")))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridagro.functions import Window, day_of, fixed_window, sim_id, sowing_window
 from gridagro.operators.aggregates import coordinate_years
-from gridagro.operators.filters import conform
+from gridagro.operators.filters import conform, unfertilised_code
 from gridagro.operators.joins import grid_product, lookup_join
 from gridagro.operators.ranges import covering_blocks, holding_blocks
 from gridagro.sources.schemas import SIM_UNITS
@@ -24,8 +24,8 @@ NO_FERTILISER_OPTIONS = (2, 4)
 def _unique_management(management: DataFrame) -> DataFrame:
     """One row per management id (and point), with its sowing date and zero-fertiliser flag."""
     keys = [name for name in ("idPoint", "idMangt") if name in management.columns]
-    codes = ["InoFertiPolicyCode"] if "InoFertiPolicyCode" in management.columns else []
-    zero = [F.max(F.col(code) == 0).alias("unfertilised") for code in codes]
+    codes = [F.col(name) for name in ("InoFertiPolicyCode",) if name in management.columns]
+    zero = [F.max(unfertilised_code(code)).alias("unfertilised") for code in codes]
     label = "oldid" if "oldid" in management.columns else "idMangt"
     return management.groupBy(*keys).agg(
         F.min(F.col("sowingdate").cast("int")).alias("sowingdate"), F.min(label).alias("label"), *zero

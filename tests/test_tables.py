@@ -75,7 +75,10 @@ def test_combine_prefers_the_first_part(spark):
     c = spark.createDataFrame([(3, 0.0, 0.0, 5.0)], "time int, lat double, lon double, w double")
     got = {r.time: (r.v, r.w) for r in cube.combine_by_coords([a, b, c]).collect()}
     assert got == {1: (1.0, None), 2: (8.0, None), 3: (7.0, 5.0)}
-    assert [r.time for r in cube.align_variables([a, b, c]).collect()] == [3]
+    first = {r.time: (r.v, r.w) for r in cube.combine_by_coords([a, b, c], override=True).collect()}
+    assert first == {1: (1.0, None), 2: (None, None), 3: (None, 5.0)}
+    assert cube.align_variables([a, b, c]).count() == 0
+    assert [(r.time, r.v, r.w) for r in cube.align_variables([b, a, c]).collect()] == [(3, 7.0, 5.0)]
 
 
 def test_reference_et_of_unknown_point_is_null(spark):
@@ -151,6 +154,14 @@ def test_units_at_their_own_point(spark, run):
         units.build_sim_units(*run, table, [4], mode="455")
 
 
+def test_zero_fertiliser_code_may_be_text(spark, run, management):
+    text = management.withColumn("InoFertiPolicyCode", F.concat(F.lit("0"), F.col("InoFertiPolicyCode").cast("string")))
+    text = text.unionByName(text.limit(1).withColumns({"idMangt": F.lit("m9"), "InoFertiPolicyCode": F.lit("none")}))
+    direct = units.sim_units(*run, text, [2])
+    assert {r.idMangt for r in direct.collect()} == {"m1"}
+    assert {r.idMangt for r in filters.drop_fertilised(units.build_sim_units(*run, text, [2]), text).collect()} == {"m1"}
+
+
 def test_zero_fertiliser_rule(spark, run, management):
     extra = management.unionByName(spark.createDataFrame([(None, "a", 1, 1.0, 0)], management.schema))
     everything = units.build_sim_units(*run, management, [1, 2, 3, 4])
