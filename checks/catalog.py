@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
-from checks.views import length, lat, lon, pid, rnd, with_views
+from checks.views import length, pid, rnd, with_views
 from gridagro import functions as gf
 from gridagro.operators import aggregates, cube as cubes, filters, nearest, partition, region
 from gridagro.plans import agroclimate, inputs, management as mgmt, mosaic as mosaics, outputs, units
@@ -756,8 +756,8 @@ def _season_sql() -> str:
 
 @query(_season_sql(), (*_UNIT_VIEWS, "management"))
 def season_climate(spark, sf):
-    climate = _climate(spark, sf).withColumn("Etppm", F.col("tmax") / 2)
-    seasonal = units.season_climate(_units_global(spark, sf), climate)
+    climate = sinks.stored(_climate(spark, sf).withColumn("Etppm", F.col("tmax") / 2), "climate")
+    seasonal = units.season_climate(sinks.stored(_units_global(spark, sf), "units"), climate)
     return rounded(rounded(seasonal, 8, "tmin", "tmax", "tmoy"), 6, "rain", "Etppm")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from gridagro.functions import cell_mangt_id, map_variety, point_id, sown_mangt_id, trunc_int
-from gridagro.operators.filters import CELL, drop_incomplete, filter_in, snapped
+from gridagro.operators.filters import drop_incomplete, filter_in, snapped
 from gridagro.operators.joins import grid_product
 
 # Names of gridded variables and the management columns they replace.

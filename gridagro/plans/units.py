@@ -26,10 +26,10 @@ def _unique_management(management: DataFrame) -> DataFrame:
     keys = [name for name in ("idPoint", "idMangt") if name in management.columns]
     codes = [F.col(name) for name in ("InoFertiPolicyCode",) if name in management.columns]
     zero = [F.max(unfertilised_code(code)).alias("unfertilised") for code in codes]
-    label = "oldid" if "oldid" in management.columns else "idMangt"
-    return management.groupBy(*keys).agg(
-        F.min(F.col("sowingdate").cast("int")).alias("sowingdate"), F.min(label).alias("label"), *zero
-    )
+    sowing = F.min(F.col("sowingdate").cast("int")).alias("sowingdate")
+    if "oldid" in management.columns:
+        return management.groupBy(*keys).agg(sowing, F.min("oldid").alias("label"), *zero)
+    return management.groupBy(*keys).agg(sowing, *zero).withColumn("label", F.col("idMangt"))
 
 
 def build_sim_units(
