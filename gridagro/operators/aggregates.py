@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from gridagro.functions import scenario_of
+from gridagro.operators.filters import nulls_for_nans
 
 
 def coordinate_years(climate: DataFrame) -> DataFrame:
@@ -45,7 +46,7 @@ def first_non_null(outputs: DataFrame, keys: Sequence[str], priority: str = "sub
 def mean_yield_map(outputs: DataFrame, first_year: int, last_year: int, value: str = "Yield") -> DataFrame:
     """Mean of ``value`` over the years for each model, scenario and cell."""
     return (
-        outputs.filter(F.col("time").between(first_year, last_year))
+        nulls_for_nans(outputs.filter(F.col("time").between(first_year, last_year)))
         .groupBy("model", "scenario", "lat", "lon")
         .agg(F.avg(value).alias(f"mean_{value}"), F.count(value).alias("n_years"))
     )

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridagro.functions import degree_day, et0_rhum, et0_tdew, kelvin_to_celsius, season_year, tmean
 from gridagro.functions.agroclimate import DEFAULT_BASE
-from gridagro.operators.cube import align_variables, with_static
-from gridagro.operators.filters import CELL, drop_incomplete, filter_years, nulls_for_nans, snapped
+from gridagro.operators.cube import combine_by_coords, with_static
+from gridagro.operators.filters import CELL, filter_years, nulls_for_nans, snapped
 from gridagro.operators.joins import lookup_join
 
 
@@ -61,17 +61,18 @@ def thermal_time(
     ``tmax`` and ``tmin`` hold tasmax and tasmin in kelvin, the calendar planting_day and
     maturity_day. A cube stored with both temperatures side by side is given as ``tmax`` alone;
     it needs no alignment, and its days are added up before anything is shuffled. Each day falls into at most one season, so days are neither repeated nor
-    scanned once per year; a cell without days in season, or without a calendar, has 0.
+    scanned once per year. A missing temperature adds nothing; a cell without days in season, or
+    without a calendar, has 0.
     """
     if tmin is None:
         both = filter_years(tmax, first, last + 1).select("time", *CELL, "tasmax", "tasmin")
-        daily = snapped(drop_incomplete(both))
+        daily = nulls_for_nans(snapped(both))
     else:
         parts = [
             filter_years(df, first, last + 1).select("time", *CELL, name)
             for df, name in ((tmax, "tasmax"), (tmin, "tasmin"))
         ]
-        daily = align_variables(parts)
+        daily = combine_by_coords(parts)
     seasons = nulls_for_nans(snapped(calendar.select(*CELL, "planting_day", "maturity_day")))
     degrees = degree_day(kelvin_to_celsius(tmean(F.col("tasmin"), F.col("tasmax"))), base)
     planted = season_year(F.year("time"), F.dayofyear("time"), F.col("planting_day"), F.col("maturity_day"))

@@ -33,7 +33,7 @@ def mosaic(outputs: DataFrame, grid: DataFrame, mask: DataFrame | None = None) -
     the lowest sub-domain with a value; the mask joins the grid before the grid is repeated for
     every slice. Values are single precision.
     """
-    merged = first_non_null(snapped(outputs), [*SLICE, *CELL])
+    merged = first_non_null(nulls_for_nans(snapped(outputs)), [*SLICE, *CELL])
     cells = snapped(grid).select(*CELL).distinct()
     placed = reindex(merged, cells if mask is None else with_mask(cells, mask), SLICE, slices_of=outputs)
     filled = placed if mask is None else fill_cube(placed)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridagro.functions import doy_from_sim_year, kg_to_t, parse_sim_id
 from gridagro.operators.cube import union_by_name
-from gridagro.operators.filters import conform, null_negative, null_sentinel
+from gridagro.operators.filters import conform, null_negative, null_sentinel, nulls_for_nans
 from gridagro.sources.schemas import MODEL_DATES, OUTPUT_VALUES, RAW_OUTPUT, SUMMARY_OUTPUT
 
 # Field names of one model's result table and the common names.
@@ -35,7 +35,7 @@ def _normalised(df: DataFrame, model: str) -> DataFrame:
     if "Texte" not in df.columns:
         named["Texte"] = F.lit("")
     columns = {"scenario": "string", **RAW_OUTPUT}
-    return conform(df.withColumns({**absent, **named}), columns)
+    return conform(nulls_for_nans(df).withColumns({**absent, **named}), columns)
 
 
 def normalise_celsius(raw: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def normalise_dssat(raw: DataFrame, strict: bool = False) -> DataFrame:
     Only reported values are searched for the missing-value code: a longitude of -99 is a place.
     """
     year = parse_sim_id(F.col("Idsim"))["time"]
-    cleaned = null_sentinel(raw, columns=OUTPUT_VALUES)
+    cleaned = null_sentinel(nulls_for_nans(raw), columns=OUTPUT_VALUES)
     dated = cleaned.withColumns({name: doy_from_sim_year(F.col(name), year, strict) for name in MODEL_DATES})
     weighed = dated.withColumns({name: kg_to_t(F.col(name)) for name in ("Yield", "Biom_ma")})
     return _normalised(null_negative(weighed, OUTPUT_VALUES), "Dssat")

@@ -20,6 +20,13 @@ def test_dssat_cleaning(spark):
     assert outputs.normalise_dssat(raw, strict=True).first().Mat == 375.0
 
 
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    row = outputs.normalise_dssat(_raw(spark, Mat=nan, Yield=nan, SoilN=nan)).first()
+    assert (row.Mat, row.Yield, row.SoilN) == (None, None, None)
+    assert outputs.normalise_stics(_raw(spark, Yield=nan)).first().Yield is None
+
+
 def test_stics_keeps_values(spark):
     row = outputs.normalise_output(_raw(spark, Yield=-99.0), "stics").first()
     assert (row.Model, row.Yield, row.scenario) == ("Stics", -99.0, "m1_2")
@@ -79,7 +86,7 @@ def test_mosaic_of_disjoint_blocks_is_the_input(spark):
 
 
 def test_mean_map(spark):
-    rows = [("m", "s", y, 1.0, 1.0, v) for y, v in ((2010, 100.0), (2011, 2.0), (2012, None), (2013, 4.0))]
+    rows = [("m", "s", y, 1.0, 1.0, v) for y, v in ((2010, 100.0), (2011, 2.0), (2012, None), (2013, 4.0), (2014, float("nan")))]
     table = spark.createDataFrame(rows, "model string, scenario string, time int, lat double, lon double, Yield double")
     row = mean_yield_map(table, 2011, 2020).first()
     assert (row.mean_Yield, row.n_years) == (3.0, 2)

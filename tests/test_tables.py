@@ -106,6 +106,14 @@ def test_thermal_time_edges(spark):
     assert got[2001, 1.0] == 0.0 and got[1999, 2.0] == 0.0
     assert len(got) == 6
 
+    missing = tmax.withColumn("tasmax", F.when(F.col("lon") == 1.0, float("nan")).otherwise(F.col("tasmax")))
+    side_by_side = missing.join(tmin, ["time", "lat", "lon"])
+    for result in (
+        agroclimate.thermal_time(missing, tmin, calendar, 1999, 1999),
+        agroclimate.thermal_time(side_by_side, None, calendar, 1999, 1999),
+    ):
+        assert sorted((r.lon, r.gdd) for r in result.collect()) == [(1.0, 0.0), (2.0, 0.0)]
+
 
 @pytest.fixture()
 def management(spark):
