@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from gridagro.llm import exact_dedup, mixing
+from gridagro.llm import exact_dedup, html_text, mixing, secrets, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_url_filter": url_filter.op2_url_filter,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op6_secrets": secrets.op6_secrets,
+    "op9_html_text": html_text.op9_html_text,
 }
 
 ORACLE = {
