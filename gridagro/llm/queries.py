@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from gridagro.llm import decontaminate, exact_dedup, html_text, mixing, quality, secrets, url_filter
+from gridagro.llm import decontaminate, exact_dedup, html_text, mixing, near_dedup, quality, secrets, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_secrets": secrets.op6_secrets,
     "op7_quality": quality.op7_quality,
     "op9_html_text": html_text.op9_html_text,
