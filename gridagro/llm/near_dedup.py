@@ -25,6 +25,8 @@ from gridagro.llm.text import SPACED, Words, mixed, windows
 
 #: Bands of the two collections and minhashes per band.
 FIRST, SECOND = (12, 3), (8, 2)
+#: Bands in common, of all 20, below which a pair is not compared; at similarity 0.8 fewer have a probability of 1.6e-4.
+LEAST_BANDS = 4
 #: Words of a shingle and the least similarity in percent, of the general operator.
 SHINGLE, PERCENT = 5, 80
 #: Words that are hashed at a time.
@@ -129,20 +131,22 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     return stored(rows.mapInArrow(cut, "node long, near long, set binary"), "sets")
 
 
-def _verified(pairs: DataFrame, percent: int) -> DataFrame:
-    """The links (a, b) among (a, b, set_a, set_b) whose similarity is at least ``percent``."""
+def _compared(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked, distance) of the pairs (a, b, set_a, set_b); distance is 1 - similarity of the full sets."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = []
+            linked, distance = [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True)) if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) else 0
-                near.append(100 * both >= percent * (len(x) + len(y) - both))
-            near = pa.array(near, pa.bool_())
-            yield pa.record_batch([batch.column(0).filter(near), batch.column(1).filter(near)], ["a", "b"])
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                either = len(x) + len(y) - both
+                linked.append(100 * both >= percent * either)
+                distance.append(1 - both / either)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(distance, pa.float64())], ["a", "b", "linked", "distance"])
 
-    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long")
+    rows = pairs.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long, linked boolean, distance double")
+    return stored(rows, "compared")
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -160,7 +164,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     nodes = stored(nodes, "nodes")
 
     tables = nodes.select("node", F.posexplode("first").alias("i", "x"), "second").select("node", "i", "x", F.posexplode("second").alias("j", "y"))
-    tables = tables.select("node", F.xxhash64("i", "x", "j", "y").alias("table"))
+    tables = tables.select("node", "i", "j", F.xxhash64("i", "x", "j", "y").alias("table"))
     shared = tables.groupBy("table").agg(F.min("node").alias("near"), F.max("node").alias("last")).filter("near < last").drop("last")
     members = stored(tables.join(shared, "table"), "members")
 
@@ -169,18 +173,16 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     sets = _sets_of(docs, chosen, shingle)
     centres = sets.select(F.col("node").alias("near"), F.col("set").alias("set_b"))
     pairs = sets.filter("node <> near").join(centres, "near").select(F.col("node").alias("a"), F.col("near").alias("b"), F.col("set").alias("set_a"), "set_b")
-    links = stored(_verified(pairs, percent), "verified")
+    compared = _compared(pairs, percent)
+    links = compared.filter("linked").select("a", "b")
+    labels = stored(components(links), "labels")
+
+    # and what is still apart in a table meets pair by pair
+    more = _apart(members, nodes, sets.select("node", "near"), compared, labels, percent)
+    full = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
+    pairs = more.join(full, "a").join(full.select(F.col("a").alias("b"), F.col("set_a").alias("set_b")), "b")
+    links = links.unionByName(_compared(pairs, percent).filter("linked").select("a", "b"))
     labels = stored(components(links), "labels")
-    open_members = _open(members, labels)
-    if not open_members.isEmpty():
-        other = open_members.select("table", F.col("node").alias("b"), F.col("label").alias("other"))
-        more = open_members.withColumnRenamed("node", "a").join(other, "table").filter("a > b and label <> other").select("a", "b").distinct()
-        tested = chosen.select(F.col("node").alias("a"), F.col("near").alias("b"))
-        more = more.join(tested, ["a", "b"], "left_anti")
-        full = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
-        pairs = more.join(full, "a").join(full.select(F.col("a").alias("b"), F.col("set_a").alias("set_b")), "b")
-        links = links.unionByName(stored(_verified(pairs, percent), "verified"))
-        labels = stored(components(links), "labels")
 
     reached = nodes.join(labels, "node", "left").select("set", "size", "node", F.coalesce("label", "node").alias("component"))
     groups = reached.filter("size > 1 or component <> node").select("set", "size", "component")
@@ -190,11 +192,34 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(table, node, label) of the tables whose nodes are still in several components."""
-    labelled = members.select("table", "node").join(labels, "node", "left").select("table", "node", F.coalesce("label", "node").alias("label"))
-    apart = labelled.groupBy("table").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("table")
-    return stored(labelled.join(apart, "table", "left_semi"), "open")
+def _apart(members: DataFrame, nodes: DataFrame, chosen: DataFrame, compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that share a table, are not in one component and may still be similar.
+
+    Left out are pairs that cannot be similar: by their sizes, and by their distances from the node
+    that both were compared with, as 1 - similarity obeys the triangle inequality. So are pairs that
+    have fewer than LEAST_BANDS bands in common. A pair is only made in the first of its tables.
+    """
+    known = chosen.join(compared.select(F.col("a").alias("node"), "distance"), "node", "left").withColumn("distance", F.coalesce("distance", F.lit(0.0)))
+    labelled = members.select("table", "i", "j", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    split = labelled.groupBy("table").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("table")
+    rows = labelled.join(split, "table", "left_semi").join(known, "node").join(nodes.select("node", "n", "first", "second"), "node")
+    rows = stored(rows, "apart")
+    a, b = rows.alias("a"), rows.alias("b")
+    same = lambda c: F.zip_with(F.col(f"a.{c}"), F.col(f"b.{c}"), lambda x, y: x == y)
+    common = lambda c: F.size(F.filter(same(c), lambda x: x))
+    far = (F.col("a.near") == F.col("b.near")) & (F.abs(F.col("a.distance") - F.col("b.distance")) > 1 - percent / 100 + 1e-9)
+    condition = (
+        (F.col("a.table") == F.col("b.table"))
+        & (F.col("a.node") > F.col("b.node"))
+        & (F.col("a.label") != F.col("b.label"))
+        & (F.col("a.near") != F.col("b.node"))
+        & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
+        & ~far
+        & (F.array_position(same("first"), True) == F.col("a.i") + 1)
+        & (F.array_position(same("second"), True) == F.col("a.j") + 1)
+        & (common("first") + common("second") >= LEAST_BANDS)
+    )
+    return stored(a.join(b, condition).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "pairs")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
