@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridagro.llm.common import a_z, read, row_key
-from gridagro.llm.text import ALPHANUMERIC, Words, windows
+from gridagro.llm.text import ALPHANUMERIC, Words, slices, sliding_least, windows
 
 #: Words of a window and of a fingerprint.
 WINDOW, GRAM = 10, 5
@@ -34,17 +34,12 @@ def _words(texts: pa.Array) -> Words:
 
 def _fingerprints(words: Words, window: int, gram: int) -> np.ndarray:
     """First words of the k-grams that are the smallest of some window that lies in one text."""
-    grams, fits = windows(words, gram)
+    grams, _ = windows(words, gram)
     _, whole = windows(words, window)
     if not whole.any():
         return np.zeros(0, np.int64)
-    grams = np.where(fits, grams, np.iinfo(np.uint64).max)
-    views = np.lib.stride_tricks.sliding_window_view(np.concatenate([grams, np.full(window - gram, np.iinfo(np.uint64).max, np.uint64)]), window - gram + 1)
-    starts = np.flatnonzero(whole)
     picked = np.zeros(len(grams), bool)
-    for at in range(0, len(starts), 1 << 16):
-        some = starts[at : at + (1 << 16)]
-        picked[some + views[some].argmin(axis=1)] = True
+    picked[sliding_least(grams, window - gram + 1)[whole]] = True
     return np.flatnonzero(picked)
 
 
@@ -150,7 +145,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
         shared = spark.sparkContext.broadcast(block)
 
         def find(batches: Iterator[pa.RecordBatch], first: bool = k == 0, shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole, 2)):
                 sizes, found = shared.value.hits(batch.column(2))
                 spans = [[{"start": a, "end": b} for a, b in found[t][0]] if t in found else [] for t in range(len(batch))]
                 items = [found[t][1] if t in found else [] for t in range(len(batch))]
@@ -191,7 +186,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole, at)):
                 _, found = shared.value.hits(batch.column(at))
                 yield batch.filter(pa.array([t not in found for t in range(len(batch))], pa.bool_()))
 

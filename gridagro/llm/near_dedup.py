@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridagro.llm.common import join_groups, read, row_key, stored, unused
 from gridagro.llm.components import components
-from gridagro.llm.text import SPACED, Words, mixed, windows
+from gridagro.llm.text import SPACED, Words, mixed, slices, windows
 
 #: Bands of the two collections and minhashes per band.
 FIRST, SECOND = (12, 3), (8, 2)
@@ -98,7 +98,7 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
     """Per document: size and 128-bit hash of its shingle set, and its bands. Written once."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             hashes, bounds = shingle_sets(batch.column(2), shingle)
             first, second = bands(hashes, bounds)
             lists = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x.view(np.int64).ravel()), x.shape[1]).cast(pa.list_(pa.int64()))
@@ -119,7 +119,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(node, near, set) for the rows (node, near) of ``wanted``: the full set of document ``node``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             hashes, bounds = shingle_sets(batch.column(2), shingle)
             data = pa.py_buffer(hashes.tobytes())
             offsets = pa.py_buffer((bounds * 8).astype(np.int64).tobytes())

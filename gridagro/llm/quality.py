@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridagro.llm.common import read, row_key, stored
-from gridagro.llm.text import Words, joined
+from gridagro.llm.text import Words, joined, slices
 
 #: Cosines, the width of the kernel in standard deviations of the statistics, and the ridge penalty per label.
 COSINES, WIDTH, PENALTY = 192, 4.0, 1e-4
@@ -72,7 +72,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
     """(doc_id, key, stats) of every document, written once."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             stats = statistics(batch.column(2))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(list(stats), pa.list_(pa.float64()))], ["doc_id", "key", "stats"])
 
@@ -200,7 +200,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = LEAST) -> DataF
     at = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, at)):
             yield batch.filter(pa.array(np.round(model.score(statistics(batch.column(at))), 6) >= least, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

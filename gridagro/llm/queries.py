@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridagro.llm import decontaminate, exact_dedup, html_text, mixing, near_dedup, quality, secrets, url_filter
+from gridagro.llm import decontaminate, exact_dedup, html_text, mixing, near_dedup, quality, secrets, substring_dedup, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -13,10 +13,12 @@ QUERIES = {
     "op6_secrets": secrets.op6_secrets,
     "op7_quality": quality.op7_quality,
     "op9_html_text": html_text.op9_html_text,
+    "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 
 ORACLE = {
     "op1_mixing": mixing.OP1_SQL,
     "op3_decontamination": decontaminate.OP3_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op10_substring_dedup": substring_dedup.OP10_SQL,
 }

@@ -7,8 +7,11 @@ random byte values modulo 2**64; it depends on nothing but the word.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 1 << 18
 
@@ -152,3 +155,27 @@ def _shifted(x: np.ndarray, n: int) -> np.ndarray:
     if n < len(x):
         out[: len(x) - n] = x[n:]
     return out
+
+
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """For each place the place of the smallest of the ``width`` values from there on, the first of equals."""
+    top = np.iinfo(np.uint64).max
+    least, place, have = values, np.arange(len(values)), 1
+    while have < width:
+        step = min(have, width - have)
+        later, later_place = np.full_like(least, top), np.zeros_like(place)
+        later[: max(0, len(least) - step)] = least[step:]
+        later_place[: max(0, len(place) - step)] = place[step:]
+        take = later < least
+        least, place, have = np.where(take, later, least), np.where(take, later_place, place), have + step
+    return place
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes of text each, or one text; whole rows in the same order."""
+    texts = batch.column(column)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())) if len(texts) else np.zeros(0, np.int64)
+    part = np.cumsum(sizes) // most
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(batch)]
+    for a, b in zip(edges, edges[1:]):
+        yield batch.slice(a, b - a)
