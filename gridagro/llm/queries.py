@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridagro.llm import decontaminate, exact_dedup, html_text, mixing, near_dedup, quality, secrets, substring_dedup, url_filter
+from gridagro.llm import decontaminate, exact_dedup, html_text, language_model, mixing, near_dedup, quality, secrets, substring_dedup, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_secrets": secrets.op6_secrets,
     "op7_quality": quality.op7_quality,
+    "op8_language_model": language_model.op8_language_model,
     "op9_html_text": html_text.op9_html_text,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
