@@ -35,7 +35,7 @@ CHUNK = 1 << 16
 _HASHES = FIRST[0] * FIRST[1] + SECOND[0] * SECOND[1]
 _RANDOM = np.random.default_rng(11).integers(0, 2**63, (2, _HASHES), dtype=np.uint64)
 _FACTORS, _FLIPS = _RANDOM[0] * np.uint64(2) + np.uint64(1), _RANDOM[1] * np.uint64(2)
-_SHORT = np.uint64(0x5851F42D4C957F2D)
+_SHORT = 0x5851F42D4C957F2D
 
 SIGNATURES = "doc_id long, key long, n long, set_a long, set_b long, first array<long>, second array<long>"
 
@@ -52,7 +52,7 @@ def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     for size in np.unique(sizes[short]):
         whole, _ = windows(words, int(size))
         at = words.bounds[short[sizes[short] == size]]
-        hashes[at], fits[at] = mixed(whole[at] ^ (_SHORT * np.uint64(size))), True
+        hashes[at], fits[at] = mixed(whole[at] ^ np.uint64(_SHORT * int(size) % 2**64)), True
     text = words.texts()[fits]
     hashes = hashes[fits]
     order = np.lexsort((hashes, text))
@@ -105,7 +105,7 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
             yield pa.record_batch(
                 [
                     batch.column(0), batch.column(1), pa.array(np.diff(bounds).astype(np.int64)),
-                    pa.array(_sums(mixed(hashes), bounds).view(np.int64)), pa.array(_sums(mixed(hashes ^ _SHORT), bounds).view(np.int64)),
+                    pa.array(_sums(mixed(hashes), bounds).view(np.int64)), pa.array(_sums(mixed(hashes ^ np.uint64(_SHORT)), bounds).view(np.int64)),
                     lists(first), lists(second),
                 ],
                 [x.split(" ")[0] for x in SIGNATURES.split(", ")],
