@@ -7,8 +7,9 @@ first and any of the second collection. With bands of three and of two minhashes
 0.8 is missed with a probability of 0.488**12 + 0.36**8 < 0.0005, one of 0.9 of 2e-6.
 
 Equal sets are one node from the start. Candidates are verified against the smallest node of their
-tables first; what the links found so far leave apart in a table is then verified pair by pair, so no
-link between components of a table is lost, and a large group of near copies costs one pair each.
+tables first; what the links found so far leave apart in a table is then verified pair by pair, after
+a bound from bit maps that drops pairs which cannot be similar. So no link between components of a
+table is lost, and a large group of near copies costs little more than one pair each.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from gridagro.llm.text import SPACED, Words, mixed, slices, windows
 
 #: Bands of the two collections and minhashes per band.
 FIRST, SECOND = (12, 3), (8, 2)
-#: Bands in common, of all 20, below which a pair is not compared; at similarity 0.8 fewer have a probability of 1.6e-4.
-LEAST_BANDS = 4
+#: Longs of the bit map of a set that is compared before the sets are.
+MAP = 32
 #: Words of a shingle and the least similarity in percent, of the general operator.
 SHINGLE, PERCENT = 5, 80
 #: Words that are hashed at a time.
@@ -116,7 +117,7 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(node, near, set) for the rows (node, near) of ``wanted``: the full set of document ``node``."""
+    """(node, near, set, bits) for the rows (node, near) of ``wanted``: the full set of document ``node`` and its bit map."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 2)):
@@ -124,29 +125,30 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             data = pa.py_buffer(hashes.tobytes())
             offsets = pa.py_buffer((bounds * 8).astype(np.int64).tobytes())
             sets = pa.Array.from_buffers(pa.large_binary(), len(batch), [None, offsets, data]).cast(pa.binary())
-            yield pa.record_batch([batch.column(0), batch.column(1), sets], ["node", "near", "set"])
+            bits = np.zeros((len(batch), 64 * MAP), bool)
+            bits[np.repeat(np.arange(len(batch)), np.diff(bounds)), (hashes % np.uint64(64 * MAP)).astype(np.int64)] = True
+            bits = pa.FixedSizeListArray.from_arrays(pa.array(np.packbits(bits, axis=1).view(np.int64).ravel()), MAP).cast(pa.list_(pa.int64()))
+            yield pa.record_batch([batch.column(0), batch.column(1), sets, bits], ["node", "near", "set", "bits"])
 
     texts = docs.select(docs["doc_id"].cast("long").alias("node"), docs["text"])
     rows = texts.join(wanted, "node").select("node", "near", "text")
-    return stored(rows.mapInArrow(cut, "node long, near long, set binary"), "sets")
+    return stored(rows.mapInArrow(cut, "node long, near long, set binary, bits array<long>"), "sets")
 
 
-def _compared(pairs: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked, distance) of the pairs (a, b, set_a, set_b); distance is 1 - similarity of the full sets."""
+def _linked(pairs: DataFrame, percent: int) -> DataFrame:
+    """The links (a, b) among the pairs (a, b, set_a, set_b), by their full sets."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, distance = [], []
+            linked = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                either = len(x) + len(y) - both
-                linked.append(100 * both >= percent * either)
-                distance.append(1 - both / either)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(distance, pa.float64())], ["a", "b", "linked", "distance"])
+                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            linked = pa.array(linked, pa.bool_())
+            yield pa.record_batch([batch.column(0).filter(linked), batch.column(1).filter(linked)], ["a", "b"])
 
-    rows = pairs.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long, linked boolean, distance double")
-    return stored(rows, "compared")
+    return stored(pairs.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long"), "linked")
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -173,15 +175,14 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     sets = _sets_of(docs, chosen, shingle)
     centres = sets.select(F.col("node").alias("near"), F.col("set").alias("set_b"))
     pairs = sets.filter("node <> near").join(centres, "near").select(F.col("node").alias("a"), F.col("near").alias("b"), F.col("set").alias("set_a"), "set_b")
-    compared = _compared(pairs, percent)
-    links = compared.filter("linked").select("a", "b")
+    links = _linked(pairs, percent)
     labels = stored(components(links), "labels")
 
     # and what is still apart in a table meets pair by pair
-    more = _apart(members, nodes, sets.select("node", "near"), compared, labels, percent)
+    more = _apart(members, nodes, sets.select("node", "near", "bits"), labels, percent)
     full = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     pairs = more.join(full, "a").join(full.select(F.col("a").alias("b"), F.col("set_a").alias("set_b")), "b")
-    links = links.unionByName(_compared(pairs, percent).filter("linked").select("a", "b"))
+    links = links.unionByName(_linked(pairs, percent))
     labels = stored(components(links), "labels")
 
     reached = nodes.join(labels, "node", "left").select("set", "size", "node", F.coalesce("label", "node").alias("component"))
@@ -192,32 +193,29 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def _apart(members: DataFrame, nodes: DataFrame, chosen: DataFrame, compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _apart(members: DataFrame, nodes: DataFrame, known: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that share a table, are not in one component and may still be similar.
 
-    Left out are pairs that cannot be similar: by their sizes, and by their distances from the node
-    that both were compared with, as 1 - similarity obeys the triangle inequality. So are pairs that
-    have fewer than LEAST_BANDS bands in common. A pair is only made in the first of its tables.
+    ``known`` has near and bits of each node. Each place of the bit maps that differs stands for a
+    shingle that only one of the sets has, so pairs with too many such places, or too different sizes,
+    cannot be similar and are left out. A pair is only made in the first of its tables.
     """
-    known = chosen.join(compared.select(F.col("a").alias("node"), "distance"), "node", "left").withColumn("distance", F.coalesce("distance", F.lit(0.0)))
     labelled = members.select("table", "i", "j", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     split = labelled.groupBy("table").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("table")
     rows = labelled.join(split, "table", "left_semi").join(known, "node").join(nodes.select("node", "n", "first", "second"), "node")
     rows = stored(rows, "apart")
     a, b = rows.alias("a"), rows.alias("b")
     same = lambda c: F.zip_with(F.col(f"a.{c}"), F.col(f"b.{c}"), lambda x, y: x == y)
-    common = lambda c: F.size(F.filter(same(c), lambda x: x))
-    far = (F.col("a.near") == F.col("b.near")) & (F.abs(F.col("a.distance") - F.col("b.distance")) > 1 - percent / 100 + 1e-9)
+    differing = sum((F.bit_count(F.col("a.bits")[k].bitwiseXOR(F.col("b.bits")[k])) for k in range(1, MAP)), F.bit_count(F.col("a.bits")[0].bitwiseXOR(F.col("b.bits")[0])))
     condition = (
         (F.col("a.table") == F.col("b.table"))
         & (F.col("a.node") > F.col("b.node"))
         & (F.col("a.label") != F.col("b.label"))
         & (F.col("a.near") != F.col("b.node"))
         & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
-        & ~far
+        & (differing * (100 + percent) <= (F.col("a.n") + F.col("b.n")) * (100 - percent))
         & (F.array_position(same("first"), True) == F.col("a.i") + 1)
         & (F.array_position(same("second"), True) == F.col("a.j") + 1)
-        & (common("first") + common("second") >= LEAST_BANDS)
     )
     return stored(a.join(b, condition).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "pairs")
 
