@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ from gridagro.llm.text import Words, slices, sliding_least, windows
 
 #: Words of a window.
 LENGTH = 13
-#: Bytes of a window's hash that are sent beside the 8 of its half.
-TAIL = 5
+#: Bytes of a window's hash that are sent beside the 8 of its half; only windows of equal halves are told apart by them.
+TAIL = 4
 #: One document in so many is looked at to learn which halves are hot; that decides where rows go, not what is found.
 LOOK = 64
 
@@ -37,71 +38,145 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(doc.alias("doc"), F.shiftrightunsigned(F.xxhash64(docs["text"]), 44).alias("tag"), docs["text"])
 
 
-def _halves(rows: DataFrame, length: int, only: np.ndarray | None = None, without: np.ndarray | None = None) -> DataFrame:
-    """A row per half window that stands for full windows: its hash, document, the first of the full windows, and their hashes."""
-    half = length // 2
-    keep = rows.sparkSession.sparkContext.broadcast(only) if only is not None else None
-    drop = rows.sparkSession.sparkContext.broadcast(without) if without is not None else None
+@dataclass
+class Windows:
+    """The full windows of some texts: first word, half that stands for it, hash of all its words."""
+
+    starts: np.ndarray
+    middle: np.ndarray
+    half: np.ndarray
+    full: np.ndarray
+    text: np.ndarray
+    #: The first word counted from the start of the text.
+    at: np.ndarray
+
+    @classmethod
+    def of(cls, texts: pa.Array, length: int) -> Windows:
+        words = Words(texts)
+        halves, _ = windows(words, length // 2)
+        full, whole = windows(words, length)
+        starts = np.flatnonzero(whole)
+        middle = sliding_least(halves, length - length // 2 + 1)[starts]
+        text = words.texts()[starts]
+        return cls(starts, middle, halves[middle], full[starts], text, starts - words.bounds[text])
+
+    def some(self, mask: np.ndarray) -> Windows:
+        return Windows(*[x[mask] for x in (self.starts, self.middle, self.half, self.full, self.text, self.at)])
+
+
+@dataclass
+class Hot:
+    """Halves that a noticeable part of all documents has, and of their windows the commonest with the first document of each."""
+
+    halves: np.ndarray
+    windows: np.ndarray
+    first: np.ndarray
+
+
+_COLD = Hot(*[np.zeros(0, np.uint64)] * 2, np.zeros(0, np.int64))
+
+
+def _halves(rows: DataFrame, length: int, hot: Hot = _COLD) -> DataFrame:
+    """A row per half that stands for consecutive full windows: its hash, document, the first window, and their hashes.
+
+    A window of a hot half is a row of its own under its full hash; the commonest of them are left out.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(hot)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = shared.value
         for batch in (part for whole in batches for part in slices(whole, 2)):
-            words = Words(batch.column(2))
-            halves, _ = windows(words, half)
-            full, whole = windows(words, length)
-            starts = np.flatnonzero(whole)
-            middle = sliding_least(halves, length - half + 1)[starts]
-            new = np.ones(len(starts), bool)
-            new[1:] = (middle[1:] != middle[:-1]) | (starts[1:] != starts[:-1] + 1)
+            w = Windows.of(batch.column(2), length)
+            alone = np.isin(w.half, hot.halves)
+            if alone.any():
+                stays = ~(alone & np.isin(w.full, hot.windows))
+                w, alone = w.some(stays), alone[stays]
+            new = np.ones(len(w.starts), bool)
+            new[1:] = (w.middle[1:] != w.middle[:-1]) | (w.starts[1:] != w.starts[:-1] + 1) | alone[1:]
             first = np.flatnonzero(new)
-            last = np.append(first[1:], len(starts))
-            keys = halves[middle[first]].view(np.int64)
-            if keep is not None or drop is not None:
-                some = np.isin(keys, keep.value) if keep is not None else ~np.isin(keys, drop.value)
-                first, last, keys = first[some], last[some], keys[some]
-            text = words.texts()[starts[first]]
-            places = (np.asarray(batch.column(1))[text] << 40) | (starts[first] - words.bounds[text])
-            sizes = last - first
-            windows_of = np.repeat(first - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-            tails = full[starts[windows_of]].view(np.uint8).reshape(-1, 8)[:, :TAIL].tobytes()
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32) * TAIL
-            tails = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(tails)])
-            yield pa.record_batch([pa.array(keys), pa.array(np.asarray(batch.column(0))[text]), pa.array(places), tails], ["half", "doc", "place", "tails"])
+            keys = np.where(alone[first], w.full[first], w.half[first]).view(np.int64)
+            places = (np.asarray(batch.column(1))[w.text[first]] << 40) | w.at[first]
+            offsets = (np.append(first, len(new)) * TAIL).astype(np.int32)
+            tails = pa.py_buffer(w.full.view(np.uint8).reshape(-1, 8)[:, :TAIL].tobytes())
+            tails = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), tails])
+            yield pa.record_batch([pa.array(keys), pa.array(np.asarray(batch.column(0))[w.text[first]]), pa.array(places), tails], ["half", "doc", "place", "tails"])
 
     return rows.mapInArrow(cut, HALVES)
 
 
-def _full(halves: DataFrame) -> DataFrame:
-    """(half, tail, doc, place) of every full window."""
-    parts = halves.select("half", "doc", "place", "tails", F.explode(F.sequence(F.lit(0), (F.length("tails") / TAIL).cast("int") - 1)).alias("k"))
-    return parts.select("half", F.substring("tails", F.col("k") * TAIL + 1, F.lit(TAIL)).alias("tail"), "doc", (F.col("place") + F.col("k")).alias("place"))
-
+def _hot(rows: DataFrame, length: int, least: int = 8) -> Hot:
+    """Hot halves are those with at least a 1/HOT_KEYS share of the rows of some documents, at most HOT_KEYS.
 
-def _hot_halves(rows: DataFrame, length: int) -> np.ndarray:
-    """Halves with at least a 1/HOT_KEYS share of the rows of some documents; at most HOT_KEYS."""
-    some = _halves(rows.filter(F.pmod(F.xxhash64("doc"), F.lit(LOOK)) == 0), length).groupBy("half").count()
-    some = stored(some.filter("count > 8"), "hot")
+    Their windows are then counted over all documents, and the HOT_KEYS commonest are kept.
+    """
+    some = stored(_halves(rows.filter(F.pmod(F.xxhash64("doc"), F.lit(LOOK)) == 0), length).groupBy("half").count().filter(F.col("count") > least), "hot")
     total = some.agg(F.sum("count")).first()[0] or 0
-    return np.array([r["half"] for r in some.filter(F.col("count") * HOT_KEYS >= total).orderBy(F.desc("count"), "half").limit(HOT_KEYS).collect()], np.int64)
+    found = some.filter(F.col("count") * HOT_KEYS >= total).orderBy(F.desc("count"), "half").limit(HOT_KEYS).collect()
+    if not found:
+        return _COLD
+    halves = np.array([r["half"] for r in found], np.int64).view(np.uint64)
+    shared = rows.sparkSession.sparkContext.broadcast(halves)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
+            w = Windows.of(batch.column(2), length)
+            w = w.some(np.isin(w.half, shared.value))
+            doc = np.asarray(batch.column(0))[w.text]
+            order = np.lexsort((doc, w.full))
+            names, first = np.unique(w.full[order], return_index=True)
+            last = np.append(first[1:], len(order))
+            doc = doc[order]
+            yield pa.record_batch([pa.array(names.view(np.int64)), pa.array(doc[first]), pa.array(doc[last - 1] if len(last) and len(doc) else doc), pa.array(last - first if len(names) else first)], ["name", "low", "high", "n"])
+
+    counted = rows.mapInArrow(count, "name long, low long, high long, n long").groupBy("name").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+    top = counted.filter("low < high").orderBy(F.desc("n"), "name").limit(HOT_KEYS).collect()
+    top = sorted((int(np.int64(r["name"]).view(np.uint64)), r["low"]) for r in top)
+    return Hot(halves, np.array([t[0] for t in top], np.uint64), np.array([t[1] for t in top], np.int64))
+
+
+def _cold_windows(rows: DataFrame, length: int, hot: Hot) -> DataFrame:
+    """(name, doc, place, first) of the windows in several documents, but for the commonest ones."""
+    together = Window.partitionBy("half")
+    shared = _halves(rows, length, hot).withColumn("low", F.min("doc").over(together)).withColumn("high", F.max("doc").over(together)).filter("low < high").drop("low", "high")
+    parts = shared.select("half", "doc", "place", "tails", F.explode(F.sequence(F.lit(0), (F.length("tails") / TAIL).cast("int") - 1)).alias("k"))
+    full = parts.select("half", F.substring("tails", F.col("k") * TAIL + 1, F.lit(TAIL)).alias("tail"), "doc", (F.col("place") + F.col("k")).alias("place"))
+    together = Window.partitionBy("half", "tail")
+    found = full.withColumn("first", F.min("doc").over(together)).withColumn("last", F.max("doc").over(together)).filter("first < last")
+    return found.select(F.xxhash64("half", "tail").alias("name"), "doc", "place", "first")
+
+
+def _hot_windows(rows: DataFrame, length: int, hot: Hot) -> DataFrame:
+    """(doc, tag, windows) of the documents with any of the commonest windows; their name, first word and first document."""
+    shared = rows.sparkSession.sparkContext.broadcast(hot)
+    kind = pa.list_(pa.struct([("name", pa.int64()), ("start", pa.int32()), ("first", pa.int64())]))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = shared.value
+        for batch in (part for whole in batches for part in slices(whole, 2)):
+            w = Windows.of(batch.column(2), length)
+            w = w.some(np.isin(w.half, hot.halves) & np.isin(w.full, hot.windows))
+            first = hot.first[np.searchsorted(hot.windows, w.full)]
+            texts, edges = np.unique(w.text, return_index=True)
+            values = pa.StructArray.from_arrays([pa.array(w.full.view(np.int64)), pa.array(w.at.astype(np.int32)), pa.array(first)], fields=list(kind.value_type))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(edges, len(w.text)), pa.int32()), values, type=kind)
+            yield pa.record_batch([batch.column(0).take(pa.array(texts)), batch.column(1).take(pa.array(texts)), lists], ["doc", "tag", "windows"])
+
+    return rows.mapInArrow(mark, "doc long, tag long, windows array<struct<name:long,start:int,first:long>>")
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(half, tail, doc, place, first) of every window of ``length`` words that occurs in several documents.
+    """(name, doc, place, first) of every window of ``length`` words that occurs in several documents.
 
-    ``half`` and ``tail`` name its words, ``first`` is the smallest doc_id with them. ``place`` is the
-    first word, plus the document's tag times 2**40. A half that a noticeable part of all documents
-    has is aggregated before it is shuffled and joined back, so that it can be split.
+    ``name`` stands for its words, ``first`` is the smallest doc_id with them. ``place`` is the first
+    word, plus the document's tag times 2**40.
     """
     rows = _documents(docs)
-    hot = _hot_halves(rows, length)
-    together = Window.partitionBy("half")
-    halves = _halves(rows, length, without=hot) if len(hot) else _halves(rows, length)
-    shared = halves.withColumn("low", F.min("doc").over(together)).withColumn("high", F.max("doc").over(together)).filter("low < high").drop("low", "high")
-    together = Window.partitionBy("half", "tail")
-    found = _full(shared).withColumn("first", F.min("doc").over(together)).withColumn("last", F.max("doc").over(together)).filter("first < last").drop("last")
-    if len(hot):
-        full = _full(_halves(rows, length, only=hot))
-        least = full.groupBy("half", "tail").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last").drop("last")
-        found = found.unionByName(full.join(least, ["half", "tail"]).select(*found.columns))
+    hot = _hot(rows, length)
+    found = _cold_windows(rows, length, hot)
+    if len(hot.windows):
+        marked = _hot_windows(rows, length, hot).select("doc", "tag", F.explode("windows").alias("w"))
+        place = F.shiftleft("tag", 40).bitwiseOR(F.col("w.start").cast("long"))
+        found = found.unionByName(marked.select(F.col("w.name").alias("name"), "doc", place.alias("place"), F.col("w.first").alias("first")))
     return found
 
 
@@ -111,7 +186,7 @@ def longer_repeats(found: DataFrame, length: int = LENGTH) -> DataFrame:
     ``found`` is the result of ``repeated_windows``. A window of twice the length is a candidate if
     both its halves repeat; the loop ends when no candidate does.
     """
-    level = stored(found.select("doc", "place", F.xxhash64("half", "tail").alias("name")), "level")
+    level = stored(found.select("doc", "place", "name"), "level")
     out = level.select("doc", "place", F.lit(length).alias("words"))
     while not level.isEmpty():
         later = level.select("doc", (F.col("place") - length).alias("place"), F.col("name").alias("then"))
@@ -131,10 +206,16 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     doc_id comes after all others. Null and empty texts have no words; texts shorter than a window keep
     all; rows that share a doc_id do not take words from one another.
     """
-    later = repeated_windows(docs, length).filter("doc > first")
+    rows = _documents(docs)
+    hot = _hot(rows, length)
+    later = _cold_windows(rows, length, hot).filter("doc > first")
     tag, start = F.shiftrightunsigned("place", 40), F.col("place").bitwiseAND((1 << 40) - 1).cast("int")
     going = later.select("doc", tag.alias("tag"), start.alias("start")).groupBy("doc", "tag").agg(F.collect_list("start").alias("starts"))
-    rows = _documents(docs).join(going, ["doc", "tag"], "left").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "text", "starts")
+    if len(hot.windows):
+        own = F.transform(F.filter("windows", lambda w: w["first"] < F.col("doc")), lambda w: w["start"])
+        marked = _hot_windows(rows, length, hot).select("doc", "tag", own.alias("starts")).filter(F.size("starts") > 0)
+        going = going.unionByName(marked).groupBy("doc", "tag").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    rows = rows.join(going, ["doc", "tag"], "left").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "text", "starts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 1)):

@@ -99,10 +99,11 @@ def removed(length):
 @pytest.mark.parametrize("length", [5, 13])
 @pytest.mark.parametrize("hot", [False, True])
 def test_repeated_passages(corpus, length, hot, monkeypatch):
-    if hot:  # every half that repeats in two documents takes the other way
-        halves = substring_dedup._halves(substring_dedup._documents(corpus), length).groupBy("half").count().filter("count > 3")
-        keys = [r["half"] for r in halves.collect()]
-        monkeypatch.setattr(substring_dedup, "_hot_halves", lambda rows, length: substring_dedup.np.array(keys, "int64"))
+    if hot:  # a half of a few documents is hot, and a few windows are the commonest
+        monkeypatch.setattr(substring_dedup, "LOOK", 1)
+        monkeypatch.setattr(substring_dedup, "HOT_KEYS", 40)
+        found = substring_dedup._hot(substring_dedup._documents(corpus), length)
+        assert len(found.halves) > 3 and len(found.windows) == 40
     assert bag(substring_dedup.without_repeats(corpus, length).collect()) == removed(length)
 
 
