@@ -58,7 +58,7 @@ def nothing(spark):
 
 @pytest.fixture(scope="session")
 def labels(spark):
-    rows = [(i, int(i % 3 > 0), 0) for i in range(40)] + [(1, 0, 0), (2, None, 0), (None, 1, 0), (12345, 1, 0)]
+    rows = [(i, int(i % 7 > 0), 0) for i in range(40)] + [(1, 0, 0), (2, None, 0), (None, 1, 0), (12345, 1, 0)]
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
 
