@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
-from checks.views import length, pid, rnd, with_views
+from checks.views import lat as lat_sql, length, lon as lon_sql, pid, rnd, with_views
 from gridagro import functions as gf
 from gridagro.operators import aggregates, cube as cubes, filters, nearest, partition, region
 from gridagro.plans import agroclimate, inputs, management as mgmt, mosaic as mosaics, outputs, units
@@ -92,7 +92,7 @@ def texture_names(spark, sf):
 
 
 @query(
-    "select lat, lon, case when k % 32 < 30 then 'c' || (1000 + 50 * (k % 32)) end as cultivar from cells",
+    f"select lat, lon, {fx.VARIETY_SQL} as cultivar from cells",
     ("cells",),
 )
 def map_variety(spark, sf):
@@ -594,9 +594,6 @@ def thermal_time_side_by_side(spark, sf):
 # ---------------------------------------------------------------- management and units
 
 
-_MGMT = """"OFertiPolicyCode", "InoFertiPolicyCode", "IrrigationPolicyCode", "SoilTillPolicyCode" """
-
-
 def _grids(spark, sf):
     keys = ["lat", "lon"]
     return cubes.combine_by_coords([fx.variety_grid(spark, sf), fx.sowing_grid(spark, sf)], keys)
@@ -966,31 +963,35 @@ def write_by_year(spark, sf):
 
 
 @query(
-    """select 'pr' as variable, cast(min(year(time)) as int) as first_year, cast(max(year(time)) as int) as last_year,
-      count(*) as n from cube group by lat""",
+    """select variable, first_year, last_year, count(*) as n from (
+      select variable, case when year(time) < 1996 then 1990 else 1996 end as first_year, case when year(time) < 1996 then 1995 else 1999 end as last_year
+      from cube, (values ('pr'), ('tmax')) v(variable)) group by all""",
     ("cube",),
 )
 def files_by_pattern(spark, sf):
-    """Rows of multi-year files, one per latitude, matched by name."""
-    daily = fx.cube(spark, sf).select("lat", "time", "pr")
-    years = daily.groupBy("lat").agg(F.min(F.year("time")).alias("a"), F.max(F.year("time")).alias("b"))
-    name = F.concat_ws("_", F.lit("pr_global_daily"), F.col("a").cast("string"), F.col("b").cast("string"))
-    named = daily.join(years, "lat").withColumn("path", F.concat(F.lit("/in/"), name, F.lit(".parquet")))
-    pattern = r"([^/_]+)_global_daily_([0-9]{4})_([0-9]{4})\.parquet$"
-    return (
-        scan.files_by_pattern(named, pattern, "path")
-        .groupBy("lat", "variable", "first_year", "last_year")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .drop("lat")
-    )
+    """Rows of real files whose names tell variable and years; a file that names neither is left out."""
+    path = scratch_path(spark, "named")
+    daily = fx.cube(spark, sf)
+    for variable in ("pr", "tmax"):
+        for first, last in ((1990, 1995), (1996, 1999)):
+            part = daily.filter(F.year("time") < 1996 if first == 1990 else F.year("time") >= 1996)
+            part.select("time", "lat", "lon", F.col(variable).alias("value")).write.parquet(f"{path}/{variable}_global_daily_{first}_{last}.parquet")
+    daily.select("time", "lat", "lon", F.col("wind").alias("value")).write.parquet(f"{path}/notes.parquet")
+    found = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    named = scan.files_by_pattern(found, r"([^/_]+)_global_daily_([0-9]{4})_([0-9]{4})\.parquet/")
+    return named.groupBy("variable", "first_year", "last_year").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
     f'select Model as "Model", Idsim as "Idsim", nullif(Texte, \'\') as "Texte", {_VALUES}, time, lat, lon from raw', ("raw",)
 )
 def read_model_results(spark, sf):
+    """Files of one model whose headers have the columns in different orders."""
     path = scratch_path(spark, "results")
-    fx.raw_output(spark, sf).drop("k").write.csv(path, header=True)
+    raw = fx.raw_output(spark, sf).drop("k")
+    odd = F.pmod(F.xxhash64("Idsim"), F.lit(2)) == 1
+    raw.filter(odd).write.csv(path, header=True)
+    raw.filter(~odd).select(*sorted(raw.columns)).write.mode("append").csv(path, header=True)
     return scan.read_model_results(spark, path)
 
 
@@ -1019,6 +1020,91 @@ def read_regions(spark, sf):
 
 @query("select lon, lat from points", ("points",))
 def read_points(spark, sf):
+    """Files headed lon, lat and lat, lon, with a further column."""
     path = scratch_path(spark, "points")
-    fx.points(spark, sf).select("lon", "lat").write.csv(path, header=True)
+    points = fx.points(spark, sf)
+    points.filter("point % 2 = 0").select("lon", "lat").write.csv(path, header=True)
+    points.filter("point % 2 = 1").select("point", "lat", "lon").write.mode("append").csv(path, header=True)
     return scan.read_points(spark, path)
+
+
+# ---------------------------------------------------------------- tables kept over time
+
+
+@query(
+    f"""select time, lat, lon, count(distinct l_quantity) as n from (
+      select cast(l_shipdate as date) as time, {lat_sql('l_suppkey')} as lat, {lon_sql('l_suppkey')} as lon, l_quantity from lineitem)
+    group by time, lat, lon having count(distinct l_quantity) > 1"""
+)
+def repeated_coordinates(spark, sf):
+    """Days on which a source has several different values for a cell."""
+    daily = fx.table(spark, sf, "lineitem").select(
+        F.to_date("l_shipdate").alias("time"), fx.lat_of(F.col("l_suppkey")).alias("lat"), fx.lon_of(F.col("l_suppkey")).alias("lon"), F.col("l_quantity")
+    )
+    return cubes.repeated_coordinates(daily)
+
+
+@query(_THERMAL_SQL.replace("ref_year", "year").replace(f"{rnd('sum(degree)', 4)} as gdd", f"cast({rnd('sum(degree)', 4)} as float) as gdd"), ("cube", "cells"))
+def thermal_by_year(spark, sf):
+    """Thermal time written as one grid per planting year."""
+    path = scratch_path(spark, "thermal")
+    sinks.write_by_year(QUERIES["thermal_time_side_by_side"](spark, sf), path, single=True)
+    return spark.read.parquet(path)
+
+
+@query(ORACLE["gridded_et"].replace("as etp", "as etp, cast(year(time) as int) as year", 1), ())
+def et_by_year(spark, sf):
+    """Evapotranspiration written as one cube per year."""
+    path = scratch_path(spark, "et")
+    sinks.write_by_year(QUERIES["gridded_et"](spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@query('select idPoint as "idPoint", w_date, rain from climate', ("climate",))
+def append_years(spark, sf):
+    """The climate table filled year by year, each appended to those before."""
+    path = scratch_path(spark, "appended")
+    climate = _climate(spark, sf).select("idPoint", "w_date", "year", "rain")
+    for first, last in ((0, 1994), (1995, 1996), (1997, 9999)):
+        sinks.write_table(climate.filter(F.col("year").between(first, last)).drop("year"), path, "append")
+    return spark.read.parquet(path)
+
+
+@query('select idPoint as "idPoint", w_date, tmax / 2 as "Etppm" from climate', ("climate",))
+def swap_table(spark, sf):
+    """A stored table written anew with a derived column, then read in place of the old one."""
+    old = sinks.stored(_climate(spark, sf), "climate")
+    new = scratch_path(spark, "climate")
+    sinks.write_table(old.withColumn("Etppm", F.col("tmax") / 2), new)
+    return spark.read.parquet(new).select("idPoint", "w_date", "Etppm")
+
+
+@query(f'select Idsim as "Idsim", {_VALUES} from raw', ("raw",))
+def result_table(spark, sf):
+    """Results read from a named table."""
+    fx.raw_output(spark, sf).select("Idsim", *OUTPUT_VALUES).createOrReplaceTempView("gridagro_results")
+    return scan.read_result_table(spark, "gridagro_results")
+
+
+@query("select model, scenario, count(*) as n from parts where model <> 'Stics' group by all", ("parts",))
+def empty_refresh(spark, sf):
+    """A model whose refresh brings no rows has none left."""
+    path = scratch_path(spark, "refreshed")
+    results = fx.parts_of_output(spark, sf).withColumnRenamed("model", "Model")
+    sinks.replace_model(results, path)
+    sinks.replace_model(results.limit(0), path, "Stics")
+    left = spark.read.parquet(path).withColumnRenamed("Model", "model")
+    return left.groupBy("model", "scenario").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_mosaic_sql("{}"), ("merged", "cells"))
+def collect_outputs(spark, sf):
+    """Cubes published per model, scenario and sub-domain, read back by their paths, and put together."""
+    path = scratch_path(spark, "published")
+    parts = fx.parts_of_output(spark, sf)
+    name = F.concat(F.col("model"), F.lit("_yearly_"), F.col("scenario"), F.lit("_"), F.col("subdomain").cast("string"), F.lit(".parquet"))
+    named = parts.withColumn("file", name).drop("model", "scenario", "subdomain")
+    named.hint("rebalance", "file").write.partitionBy("file").parquet(path)
+    found = spark.read.parquet(path)
+    back = found.withColumns(gf.parse_output_name(F.col("file"))).drop("file")
+    return mosaics.mosaic(back, fx.mask(spark, sf))

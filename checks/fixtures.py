@@ -16,7 +16,11 @@ from gridagro.operators.region import ring_edges
 RES = 0.05
 SUBDOMAINS = 7
 
-VARIETIES = {f"{code}.0": f"c{950 + 50 * code}" for code in range(1, 31)}
+_CULTIVARS = {2: "amber", 3: "birch", 5: "cedar", 7: "dune", 11: "ember", 13: "fern", 17: "grove", 19: "heath", 23: "iris", 26: "juniper", 29: "kelp", 31: "larch"}
+
+VARIETIES = {f"{code}.0": name for code, name in _CULTIVARS.items()}
+
+VARIETY_SQL = f"case 1 + k % 32 {' '.join(f'when {code} then {name!r}' for code, name in _CULTIVARS.items())} end"
 
 SOWING_DATES = [150, 166, 290]
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from checks.fixtures import VARIETY_SQL
+
 
 def rnd(x: str, digits: int) -> str:
     return f"(round_even(({x}) * 1e{digits}, 0) / 1e{digits})"
@@ -99,7 +101,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "spatial": (
         ("cells", "management"),
         f"""
-        select {pid()} || '_' || idMangt as idMangt, case when k % 32 < 30 then 'c' || (1000 + 50 * (k % 32)) end as Idcultivar,
+        select {pid()} || '_' || idMangt as idMangt, {VARIETY_SQL} as Idcultivar,
           cast(110 + k % 90 as int) as sowingdate, sdens, OFertiPolicyCode, InoFertiPolicyCode, IrrigationPolicyCode,
           SoilTillPolicyCode, {pid()} as idPoint, idMangt as oldid, {rnd('lat', 4)} as lat, {rnd('lon', 4)} as lon
         from cells cross join management""",

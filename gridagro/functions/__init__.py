@@ -47,6 +47,7 @@ from gridagro.functions.numeric import (
     nan_to_null,
     round_half_even,
     snap,
+    strict_cast,
     trunc_int,
 )
 

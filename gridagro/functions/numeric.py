@@ -25,6 +25,14 @@ def snap(coordinate: Column) -> Column:
     return round_half_even(coordinate, COORDINATE_DIGITS)
 
 
+def strict_cast(value: Column, kind: str) -> Column:
+    """Text as ``kind``; blank text is NULL, text that cannot be read is an error."""
+    text = F.trim(value.cast("string"))
+    read = text.try_cast(kind)
+    problem = F.raise_error(F.concat(F.lit(f"not readable as {kind}: "), text)).cast(kind)
+    return F.when(text.isNull() | (text == ""), F.lit(None).cast(kind)).when(read.isNull(), problem).otherwise(read)
+
+
 def trunc_int(x: Column) -> Column:
     """Integer part, toward zero: -3.7 gives -3."""
     return nan_to_null(x.cast("double")).cast("int")

@@ -10,7 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridagro.functions import nan_to_null, snap
-from gridagro.operators.joins import lookup_join
+from gridagro.operators.joins import HOT_SPLITS, lookup_join
 
 CELL = ("lat", "lon")
 
@@ -20,6 +20,13 @@ def snapped(df: DataFrame) -> DataFrame:
     return df.withColumns({name: snap(F.col(name)) for name in CELL})
 
 
+def in_degrees(df: DataFrame) -> DataFrame:
+    """The same rows; a coordinate that cannot be in degrees is an error, as some windows rely on their number."""
+    beyond = (F.abs("lat") > 90) | (F.col("lon") < -180) | (F.col("lon") > 360)
+    problem = F.raise_error(F.concat_ws(" ", F.lit("not in degrees:"), F.col("lat").cast("string"), F.col("lon").cast("string"))).cast("boolean")
+    return df.filter(F.when(beyond, problem).otherwise(F.lit(True)))
+
+
 def nulls_for_nans(df: DataFrame) -> DataFrame:
     """NaN becomes NULL in every floating-point column."""
     floats = [name for name, kind in df.dtypes if kind in ("double", "float")]
@@ -57,11 +64,10 @@ def unit_mask(cells: DataFrame) -> DataFrame:
     return cells.select(*CELL, F.lit(1.0).alias("mask"))
 
 
-def apply_mask(df: DataFrame, mask: DataFrame, spread: Sequence[str] = ("time",)) -> DataFrame:
+def apply_mask(df: DataFrame, mask: DataFrame) -> DataFrame:
     """Rows whose cell has mask 1, matched by coordinate."""
     kept = snapped(mask.filter("mask = 1")).select(*CELL)
-    spread = [name for name in spread if name in df.columns]
-    return lookup_join(snapped(df), kept, CELL, "left_semi", spread)
+    return lookup_join(snapped(df), kept, CELL, "left_semi")
 
 
 def valid_cells(mask: DataFrame, soil: DataFrame) -> DataFrame:
@@ -134,7 +140,7 @@ def drop_fertilised(units: DataFrame, management: DataFrame, options: Sequence[i
         .distinct()
     )
     return (
-        lookup_join(units, known, ["idMangt"], "left", spread=["idsim"])
+        lookup_join(units, known, ["idMangt"], "left", spread=["idsim"], splits=HOT_SPLITS)
         .filter(~F.col("idOption").isin(*options) | F.col("__unfertilised"))
         .drop("__unfertilised")
     )

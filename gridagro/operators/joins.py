@@ -11,7 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-DEFAULT_SPLITS = 8
+#: Parts of a key in joins whose keys can be hot; a cell or a point cannot, having one row per day.
+HOT_SPLITS = 8
 
 _PART = "__part"
 _SLOT = "__slot"
@@ -23,13 +24,13 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "left",
     spread: Sequence[str] = (),
-    splits: int = DEFAULT_SPLITS,
+    splits: int = 1,
     multiplied: bool = False,
 ) -> DataFrame:
     """Join a fact table to a much smaller keyed one; ``how`` must keep the fact side.
 
-    The rows of one key are split over ``splits`` parts by a hash of the ``spread`` columns and
-    the lookup rows are repeated once per part, so a hot key is shared by several tasks. The
+    With more than one of ``splits`` the rows of a key are split over as many parts by a hash of the
+    ``spread`` columns and the lookup rows are repeated once per part, so a hot key is shared by several tasks. The
     hash depends on the row alone: a recomputed task sends every row to the same place. If Spark
     finds the lookup small enough to broadcast, the copies hold ``splits`` times its rows.
 

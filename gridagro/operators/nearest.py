@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridagro.functions import round_half_even
-from gridagro.operators.filters import snapped
-from gridagro.operators.joins import lookup_join
+from gridagro.operators.filters import in_degrees, snapped
+from gridagro.operators.joins import HOT_SPLITS, lookup_join
 
 _DISTANCE_DIGITS = 6
 
@@ -54,7 +54,7 @@ def _match_axis(points: DataFrame, values: DataFrame, name: str, res: float, low
     at = F.least(F.greatest(F.col(name), F.lit(low)), F.lit(high))
     reach = _axis_reach(values.select(F.col(name).alias("v")).distinct(), res, low, high)
     other = "lon" if name == "lat" else "lat"
-    found = lookup_join(points.withColumn("bucket", _bucket(at, res)), reach, ["bucket"], "inner", [other])
+    found = lookup_join(points.withColumn("bucket", _bucket(at, res)), reach, ["bucket"], "inner", [other], HOT_SPLITS)
 
     def away(axis: str) -> Column:
         return round_half_even(F.abs(F.col(name) - F.col(axis)), _DISTANCE_DIGITS)
@@ -73,7 +73,7 @@ def nearest_cells(points: DataFrame, grid: DataFrame, res: float) -> DataFrame:
     width of the join buckets and does not change the result.
     """
     known = points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    axes = snapped(grid).select("lat", "lon")
+    axes = in_degrees(snapped(grid).select("lat", "lon"))
     on_lat = _match_axis(known, axes, "lat", res, -90.0, 90.0)
     return _match_axis(on_lat, axes, "lon", res, -180.0, 360.0)
 
@@ -85,4 +85,4 @@ def select_nearest(df: DataFrame, points: DataFrame, res: float) -> DataFrame:
         F.col("cell_lat").alias("lat"), F.col("cell_lon").alias("lon")
     )
     spread = [name for name in ("time",) if name in df.columns]
-    return lookup_join(placed, cells, ["lat", "lon"], "inner", spread)
+    return lookup_join(placed, cells, ["lat", "lon"], "inner", spread, HOT_SPLITS)

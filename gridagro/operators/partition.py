@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gridagro.operators.filters import CELL, nulls_for_nans, snapped
+from gridagro.operators.filters import CELL, in_degrees, nulls_for_nans, snapped
 
 
 def row_major_rank(cells: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def assign_subdomain(cells: DataFrame, n: int, strict: bool = False) -> DataFram
     if n < 1:
         raise ValueError("n must be at least 1")
     ranked_mask = F.col("mask").isNotNull() if strict else F.col("mask") == 1
-    unique = snapped(nulls_for_nans(cells)).filter(ranked_mask).groupBy(*CELL).agg(F.max("mask").alias("mask"))
+    unique = in_degrees(snapped(nulls_for_nans(cells))).filter(ranked_mask).groupBy(*CELL).agg(F.max("mask").alias("mask"))
 
     size, longer = F.floor(F.col("n_cells") / n), F.col("n_cells") % n
     in_longer = longer * (size + 1)

@@ -7,12 +7,10 @@ area of the polygons; cells and edges are never paired all with all.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridagro.operators.filters import CELL, snapped
-from gridagro.operators.joins import lookup_join
+from gridagro.operators.joins import HOT_SPLITS, lookup_join
 
 EDGE = ("region_id", "x1", "y1", "x2", "y2")
 
@@ -57,7 +55,7 @@ def _centre_columns(cells: DataFrame, edges: DataFrame, res: float) -> DataFrame
         "row", F.explode(F.sequence(_bucket(F.least(y1, y2), res), _bucket(F.greatest(y1, y2), res)))
     )
     crossings = (
-        lookup_join(sloped, _rows_of(cells, res), ["row"], "inner", spread=EDGE, multiplied=True)
+        lookup_join(sloped, _rows_of(cells, res), ["row"], "inner", spread=EDGE, splits=HOT_SPLITS, multiplied=True)
         .filter((y1 > lat) != (y2 > lat))
         .withColumn("cross", (F.col("x2") - F.col("x1")) * (lat - y1) / (y2 - y1) + F.col("x1"))
         .withColumn("column", _bucket(F.col("cross"), res))
@@ -68,7 +66,7 @@ def _centre_columns(cells: DataFrame, edges: DataFrame, res: float) -> DataFrame
     # Crossings between the same two centres cancel in pairs, which also bounds the window below
     # by the number of grid columns.
     switches = (
-        lookup_join(crossings, centres, ["column"], "left", spread=["region_id", "lat"])
+        lookup_join(crossings, centres, ["column"], "left", spread=["region_id", "lat"], splits=HOT_SPLITS)
         .groupBy("region_id", "lat", first_column.alias("column"))
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n % 2 = 1")
@@ -101,7 +99,7 @@ def _touched_cells(cells: DataFrame, edges: DataFrame, res: float) -> DataFrame:
             )
         ),
     )
-    banded = lookup_join(in_rows, _rows_of(cells, res), ["row"], "inner", spread=EDGE, multiplied=True).filter(
+    banded = lookup_join(in_rows, _rows_of(cells, res), ["row"], "inner", spread=EDGE, splits=HOT_SPLITS, multiplied=True).filter(
         (F.least(y1, y2) <= lat + half) & (F.greatest(y1, y2) >= lat - half)
     )
 
@@ -126,7 +124,7 @@ def _touched_cells(cells: DataFrame, edges: DataFrame, res: float) -> DataFrame:
         & (F.abs(dx * (lat - y1) - dy * (lon - x1)) <= half * (F.abs(dx) + F.abs(dy)))
     )
     return (
-        lookup_join(candidates, boxes, ["lat", "column"], "inner", spread=EDGE, multiplied=True)
+        lookup_join(candidates, boxes, ["lat", "column"], "inner", spread=EDGE, splits=HOT_SPLITS, multiplied=True)
         .filter(meets)
         .select("region_id", *CELL)
         .distinct()
@@ -164,14 +162,7 @@ def envelope(edges: DataFrame, margin: float) -> tuple[float, float, float, floa
     return tuple(box)
 
 
-def clip_polygon(
-    df: DataFrame,
-    edges: DataFrame,
-    res: float,
-    all_touched: bool = True,
-    grid: DataFrame | None = None,
-    spread: Sequence[str] = ("time",),
-) -> DataFrame:
+def clip_polygon(df: DataFrame, edges: DataFrame, res: float, all_touched: bool = True, grid: DataFrame | None = None) -> DataFrame:
     """Rows of a grid or cube whose cell belongs to any of the regions.
 
     For a cube pass its static ``grid``; otherwise the cells are taken from the rows of ``df``.
@@ -179,5 +170,4 @@ def clip_polygon(
     """
     placed = snapped(df)
     kept = region_cells(placed if grid is None else grid, edges, res, all_touched).select(*CELL).distinct()
-    spread = [name for name in spread if name in df.columns]
-    return lookup_join(placed, kept, CELL, "left_semi", spread)
+    return lookup_join(placed, kept, CELL, "left_semi")

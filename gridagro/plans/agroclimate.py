@@ -14,7 +14,7 @@ from gridagro.operators.joins import lookup_join
 def with_coordinates(climate: DataFrame, coordinates: DataFrame) -> DataFrame:
     """Climate rows with the latitude and altitude of their point."""
     known = coordinates.select("idPoint", F.col("latitudeDD").alias("latitude"), "altitude")
-    return lookup_join(climate, known, ["idPoint"], "left", spread=["w_date"])
+    return lookup_join(climate, known, ["idPoint"], "left")
 
 
 def with_reference_et(climate: DataFrame, coordinates: DataFrame, method: str = "tdew") -> DataFrame:
@@ -78,7 +78,7 @@ def thermal_time(
     planted = season_year(F.year("time"), F.dayofyear("time"), F.col("planting_day"), F.col("maturity_day"))
     # Days out of season stay in a group of their own, which keeps their cells in the result.
     sums = (
-        lookup_join(daily, seasons, CELL, "left", spread=["time"])
+        lookup_join(daily, seasons, CELL, "left")
         .groupBy(*CELL, planted.alias("ref_year"))
         .agg(F.sum(degrees).alias("gdd"))
     )

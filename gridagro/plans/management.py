@@ -15,7 +15,7 @@ _GRID_NAMES = {"variety": "Idcultivar", "sowing_date": "sowingdate"}
 
 
 def spatialise_management(
-    management: DataFrame, grids: DataFrame, varieties: Mapping[str, str] | None = None
+    management: DataFrame, grids: DataFrame, varieties: Mapping[str, str] | None = None, slots: int | None = None
 ) -> DataFrame:
     """Every management record at every gridded cell, gridded values replacing base columns.
 
@@ -27,7 +27,7 @@ def spatialise_management(
         cells = cells.withColumn("variety", map_variety(F.col("variety"), varieties or {}))
     cells = cells.withColumnsRenamed(_GRID_NAMES).withColumn("idPoint", point_id(F.col("lat"), F.col("lon")))
     replaced = [name for name in cells.columns if name in management.columns]
-    crossed = grid_product(cells, management.drop(*replaced))
+    crossed = grid_product(cells, management.drop(*replaced), slots=slots)
     return crossed.withColumns(
         {
             "oldid": F.col("idMangt"),

@@ -26,7 +26,7 @@ def fill_cube(df: DataFrame, mask_column: str = "mask") -> DataFrame:
     ).drop(mask_column)
 
 
-def mosaic(outputs: DataFrame, grid: DataFrame, mask: DataFrame | None = None) -> DataFrame:
+def mosaic(outputs: DataFrame, grid: DataFrame, mask: DataFrame | None = None, slots: int | None = None) -> DataFrame:
     """One cube per model and scenario on the reference grid.
 
     ``outputs`` has model, scenario, time, lat, lon, subdomain and numeric variables. Overlaps go to
@@ -35,7 +35,7 @@ def mosaic(outputs: DataFrame, grid: DataFrame, mask: DataFrame | None = None) -
     """
     merged = first_non_null(nulls_for_nans(snapped(outputs)), [*SLICE, *CELL])
     cells = snapped(grid).select(*CELL).distinct()
-    placed = reindex(merged, cells if mask is None else with_mask(cells, mask), SLICE, slices_of=outputs)
+    placed = reindex(merged, cells if mask is None else with_mask(cells, mask), SLICE, slices_of=outputs, slots=slots)
     filled = placed if mask is None else fill_cube(placed)
     variables = [name for name in merged.columns if name not in (*SLICE, *CELL)]
     return filled.select(*SLICE, *CELL, *[as_float(F.col(name)).alias(name) for name in variables])

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from gridagro.functions import Window, day_of, fixed_window, sim_id, sowing_window
 from gridagro.operators.aggregates import coordinate_years
 from gridagro.operators.filters import conform, unfertilised_code
-from gridagro.operators.joins import grid_product, lookup_join
-from gridagro.operators.ranges import covering_blocks, holding_blocks
+from gridagro.operators.joins import HOT_SPLITS, grid_product, lookup_join
 from gridagro.sources.schemas import SIM_UNITS
 
 UNIT_KEYS = ("idPoint", "idMangt", "IdSoil", "StartYear", "idOption")
@@ -22,14 +21,16 @@ NO_FERTILISER_OPTIONS = (2, 4)
 
 
 def _unique_management(management: DataFrame) -> DataFrame:
-    """One row per management id (and point), with its sowing date and zero-fertiliser flag."""
+    """One row per management id (and point), with its sowing date and label and a zero-fertiliser flag.
+
+    Date and label are those of one record, the one with the smallest date.
+    """
     keys = [name for name in ("idPoint", "idMangt") if name in management.columns]
     codes = [F.col(name) for name in ("InoFertiPolicyCode",) if name in management.columns]
     zero = [F.max(unfertilised_code(code)).alias("unfertilised") for code in codes]
-    sowing = F.min(F.col("sowingdate").cast("int")).alias("sowingdate")
-    if "oldid" in management.columns:
-        return management.groupBy(*keys).agg(sowing, F.min("oldid").alias("label"), *zero)
-    return management.groupBy(*keys).agg(sowing, *zero).withColumn("label", F.col("idMangt"))
+    label = F.col("oldid" if "oldid" in management.columns else "idMangt")
+    record = F.min(F.struct(F.col("sowingdate").cast("int").alias("sowingdate"), label.alias("label"))).alias("record")
+    return management.groupBy(*keys).agg(record, *zero).withColumns({"sowingdate": F.col("record.sowingdate"), "label": F.col("record.label")}).drop("record")
 
 
 def build_sim_units(
@@ -44,13 +45,17 @@ def build_sim_units(
     end: int = 290,
     strict: bool = False,
     zero_fertiliser_rule: bool = False,
+    slots: int | None = None,
 ) -> DataFrame:
     """Simulation units: points with soil x years x management x options.
 
     Management applies at its own point if it has ``idPoint``, else everywhere. The inputs are
     made unique on their keys first, which makes the product unique as well, so the large result
     is neither shuffled nor de-duplicated. Years and options are unfolded last, row by row.
+    ``slots`` is the number of shares of the product of points and management (see ``grid_product``).
     """
+    if zero_fertiliser_rule and "InoFertiPolicyCode" not in management.columns:
+        raise ValueError("the zero-fertiliser rule needs the column InoFertiPolicyCode of management")
     soils = soil.select(F.col("IdSoil").alias("idPoint")).distinct()
     # A point has no more entries than the calendar has years.
     points = (
@@ -62,9 +67,9 @@ def build_sim_units(
     )
     managed = _unique_management(management)
     if "idPoint" in managed.columns:
-        placed = lookup_join(managed, points, ["idPoint"], "inner", spread=["idMangt"])
+        placed = lookup_join(managed, points, ["idPoint"], "inner")
     else:
-        placed = grid_product(points, managed, spread=["idPoint"])
+        placed = grid_product(points, managed, spread=["idPoint"], slots=slots)
 
     unfolded = placed.withColumn("year", F.explode("years")).withColumn(
         "idOption", F.explode(F.array(*[F.lit(int(option)) for option in dict.fromkeys(options)]))
@@ -125,41 +130,33 @@ def order_units(units: DataFrame) -> DataFrame:
 def season_climate(units: DataFrame, climate: DataFrame) -> DataFrame:
     """Climate inside the window of each unit: sums of rain and ET, mean temperatures, day count.
 
-    Units that share a window are computed once. Days are added up in aligned blocks and each
-    window is tiled by a few blocks, so no unit is paired with its days one by one.
+    Units that share a window are computed once. The days of a point and year, at most 366, are
+    gathered in one array, which is the only shuffle of the days; a window meets the one or two
+    arrays of its years and adds up its part of them.
     """
     first, last = day_of(F.col("StartYear"), F.col("StartDay")), day_of(F.col("EndYear"), F.col("EndDay"))
-    dated = units.select("idsim", "idPoint", first.alias("first"), last.alias("last"))
-    windows = dated.select("idPoint", "first", "last").distinct()
+    dated = units.select("idsim", "idPoint", "StartYear", "EndYear", first.alias("first"), last.alias("last"))
+    windows = dated.select("idPoint", "StartYear", "EndYear", "first", "last").distinct()
 
     sums, means = ("rain", "Etppm"), ("tmin", "tmax", "tmoy")
-    blocks = (
-        climate.select(
-            "idPoint",
-            F.explode(holding_blocks(F.unix_date(F.to_date("w_date")))).alias("block"),
-            *sums,
-            *means,
-        )
-        .groupBy("idPoint", "block")
-        .agg(
-            F.count(F.lit(1)).alias("n_days"),
-            *[F.sum(name).alias(name) for name in (*sums, *means)],
-            *[F.count(name).alias(f"n_{name}") for name in means],
-        )
-    )
-    tiles = windows.withColumn("block", F.explode(covering_blocks(F.col("first"), F.col("last"))))
-    totals = (
-        tiles.join(blocks.hint("merge"), ["idPoint", "block"])
-        .groupBy("idPoint", "first", "last")
-        .agg(
-            F.sum("n_days").alias("n_days"),
-            *[F.sum(name).alias(name) for name in sums],
-            *[F.try_divide(F.sum(name), F.sum(f"n_{name}")).alias(name) for name in means],
-        )
+    values = (*sums, *means)
+    date = F.to_date("w_date")
+    day = F.struct(F.unix_date(date).alias("day"), *[F.col(name).cast("double").alias(name) for name in values])
+    years = climate.groupBy("idPoint", F.year(date).alias("year")).agg(F.collect_list(day).alias("days"))
+    pieces = windows.filter("first <= last").withColumn("year", F.explode(F.sequence("StartYear", "EndYear"))).join(years, ["idPoint", "year"])
+
+    inside = F.filter("days", lambda d: d["day"].between(F.col("first"), F.col("last")))
+    added = [F.aggregate(F.filter(F.col("inside")[name], lambda x: x.isNotNull()), F.lit(0.0), lambda total, x: total + x).alias(name) for name in values]
+    known = [F.size(F.filter(F.col("inside")[name], lambda x: x.isNotNull())).alias(f"n_{name}") for name in values]
+    parts = pieces.withColumn("inside", inside).select("idPoint", "first", "last", F.size("inside").alias("n_days"), *added, *known)
+    totals = parts.groupBy("idPoint", "first", "last").agg(
+        F.sum("n_days").alias("n_days"),
+        *[F.when(F.sum(f"n_{name}") > 0, F.sum(name)).alias(name) for name in sums],
+        *[F.try_divide(F.sum(name), F.sum(f"n_{name}")).alias(name) for name in means],
     )
     # A window may be shared by most units, hence the split by unit id.
     return (
-        lookup_join(dated, totals, ["idPoint", "first", "last"], "left", spread=["idsim"])
+        lookup_join(dated.drop("StartYear", "EndYear"), totals, ["idPoint", "first", "last"], "left", spread=["idsim"], splits=HOT_SPLITS)
         .drop("first", "last")
         .withColumn("n_days", F.coalesce("n_days", F.lit(0)))
     )

@@ -32,10 +32,13 @@ def local_session(cores: str = "*", app: str = "gridagro") -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the cluster's shared checkpoint folder.
 
-    Only a session that names no such folder, as in tests, gets a local one, and keeps it.
+    A local session that names no such folder, as in tests, gets one of its own and keeps it. On a
+    cluster a folder of one machine would not do, so there its absence is an error.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="gridagro-")
         spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

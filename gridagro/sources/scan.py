@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridagro.functions import parse_file_name
+from gridagro.functions import parse_file_name, strict_cast
 from gridagro.operators.filters import conform
 from gridagro.operators.region import ring_edges
-from gridagro.sources.schemas import POINTS, RAW_OUTPUT, ddl
+from gridagro.sources.schemas import POINTS, RAW_OUTPUT
 
 
 def read_cube(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
@@ -21,20 +25,42 @@ def files_by_pattern(df: DataFrame, pattern: str, path: str = "_metadata.file_pa
     return names.filter(F.col("variable").isNotNull())
 
 
+def _csv_by_header(spark: SparkSession, pattern: str) -> DataFrame:
+    """CSV files as one table of text columns, each file by the names of its own header.
+
+    Files are read together with others of the same header. Only the driver's list of files is
+    collected, with one header for each.
+    """
+    lines = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    first = lines.filter("start = 0").withColumn("at", F.monotonically_increasing_id())
+    headers = first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    layouts = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    parts = []
+    for layout in layouts:
+        names = next(csv.reader([layout["header"].lstrip("\ufeff").rstrip("\r")]))
+        schema = ", ".join(f"`{name.strip()}` string" for name in names)
+        parts.append(spark.read.csv([unquote(file) for file in layout["files"]], header=True, schema=schema, mode="FAILFAST"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV of lon, lat with a header; blank lines are skipped."""
-    points = spark.read.csv(path, header=True, schema=ddl(POINTS))
-    return points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    """A CSV with columns lon and lat, found by its header; blank lines are skipped, unreadable values are an error."""
+    points = _csv_by_header(spark, path)
+    missing = [name for name in POINTS if name not in points.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {missing}")
+    blank = reduce(lambda a, b: a & b, [F.coalesce(F.trim(name), F.lit("")) == "" for name in points.columns])
+    return points.filter(~blank).select(*[strict_cast(F.col(name), kind).alias(name) for name, kind in POINTS.items()])
 
 
 def read_model_results(spark: SparkSession, pattern: str) -> DataFrame:
     """All result CSVs of a model as one table.
 
-    The files of a model share a layout, whose column names are taken from the header of one of
-    them; columns are then picked by name, whatever their order, and absent ones are NULL.
+    The columns of a file are picked by the names of its own header, whatever their order; absent
+    ones are NULL, blank values are NULL, and values that cannot be read are an error.
     """
-    found = spark.read.csv(pattern, header=True)
-    typed = {name: F.col(name).try_cast(kind) for name, kind in RAW_OUTPUT.items() if name in found.columns}
+    found = _csv_by_header(spark, pattern)
+    typed = {name: strict_cast(F.col(name), kind) for name, kind in RAW_OUTPUT.items() if name in found.columns and kind != "string"}
     return conform(found.withColumns(typed), RAW_OUTPUT)
 
 
@@ -44,6 +70,9 @@ def read_result_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def read_regions(spark: SparkSession, path: str) -> DataFrame:
-    """Edge table of the polygons in JSON lines ``{region_id, ring_id, ring: [{lon, lat}, …]}``."""
+    """Edge table of the polygons in JSON lines ``{region_id, ring_id, ring: [{lon, lat}, …]}``.
+
+    A malformed line is an error, as its region would be missing from every clip.
+    """
     schema = "region_id long, ring_id long, ring array<struct<lon:double,lat:double>>"
-    return ring_edges(spark.read.schema(schema).json(path))
+    return ring_edges(spark.read.schema(schema).json(path, mode="FAILFAST"))

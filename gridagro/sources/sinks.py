@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridagro.functions import as_float
 from gridagro.session import scratch_path
@@ -56,17 +56,30 @@ def split_by_year(cube: DataFrame, variables: Sequence[str]) -> DataFrame:
 def write_by_year(
     cube: DataFrame, path: str, variables: Sequence[str] | None = None, single: bool = False
 ) -> None:
-    """A cube partitioned by year, or by variable and year when ``variables`` are listed."""
+    """A cube partitioned by year, or by variable and year when ``variables`` are listed.
+
+    The year is that of ``time``, or ``ref_year`` for grids per planting year.
+    """
     if variables is not None:
         out, partitions = split_by_year(cube, variables), ["variable", "year"]
+    elif "ref_year" in cube.columns:
+        out, partitions = cube.withColumnRenamed("ref_year", "year"), ["year"]
     else:
         out, partitions = cube.withColumn("year", F.year("time")), ["year"]
     out = float32(out) if single else out
     _clustered(out, partitions).write.mode("overwrite").partitionBy(*partitions).parquet(path)
 
 
-def replace_model(df: DataFrame, path: str) -> None:
-    """Replace the rows of the models in ``df`` and leave those of other models alone."""
+def replace_model(df: DataFrame, path: str, model: str | None = None) -> None:
+    """Replace the rows of the models in ``df`` and leave those of other models alone.
+
+    With ``model`` the rows of that model are replaced, by none if ``df`` has none.
+    """
+    if model is not None:
+        df = df.filter(F.col("Model") == model)
+        if df.isEmpty():
+            _remove_partition(df.sparkSession, f"{path}/Model={model}")
+            return
     (
         _clustered(df, ["Model"])
         .write.mode("overwrite")
@@ -76,6 +89,11 @@ def replace_model(df: DataFrame, path: str) -> None:
     )
 
 
+def _remove_partition(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_scenarios(df: DataFrame, path: str, single: bool = False) -> None:
     """One cube per model and scenario; ``single`` stores values in single precision."""
     out = float32(df) if single else df

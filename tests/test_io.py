@@ -69,17 +69,33 @@ def test_points_skip_blank_lines(spark, tmp_path):
     assert [tuple(r) for r in scan.read_points(spark, str(file)).collect()] == [(-16.125, 16.175), (-16.275, 14.125)]
 
 
+def test_points_are_found_by_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("lat,name,lon\n16.175,x,-16.125\n,,\n")
+    (tmp_path / "b.csv").write_text("lon,lat\n1,2\n")
+    assert sorted(tuple(r) for r in scan.read_points(spark, str(tmp_path / "*.csv")).collect()) == [(-16.125, 16.175), (1.0, 2.0)]
+    (tmp_path / "c.csv").write_text("lon,lat\nbad,3\n")
+    with pytest.raises(Exception, match="not readable as double: bad"):
+        scan.read_points(spark, str(tmp_path / "c.csv")).collect()
+    (tmp_path / "d.csv").write_text("x,lat\n1,3\n")
+    with pytest.raises(ValueError, match="lon"):
+        scan.read_points(spark, str(tmp_path / "d.csv"))
+
+
 def test_result_files_are_matched_by_header(spark, tmp_path):
     from gridagro.sources.schemas import RAW_OUTPUT
 
     for n in range(2):
-        names = [name for name in reversed(RAW_OUTPUT) if name != "Nleac"]
+        names = [name for name in (RAW_OUTPUT if n else reversed(RAW_OUTPUT)) if name != "Nleac"]
         row = ",".join({"string": f"t{n}", "int": "2000", "double": "1.5"}[RAW_OUTPUT[name]] for name in names)
         (tmp_path / f"{n}_stics.csv").write_text(",".join(names) + "\n" + row + "\n")
     back = scan.read_model_results(spark, str(tmp_path / "*_stics.csv"))
     assert back.count() == 2 and back.columns == list(RAW_OUTPUT)
     assert dict(back.dtypes) == RAW_OUTPUT
     assert back.select(F.sum("Yield"), F.count("Nleac"), F.max("time")).first()[:] == (3.0, 0, 2000)
+    assert {r.Idsim for r in back.collect()} == {"t0", "t1"}
+    (tmp_path / "2_stics.csv").write_text("Idsim,Yield\nt2,****\n")
+    with pytest.raises(Exception, match="not readable as double"):
+        scan.read_model_results(spark, str(tmp_path / "*_stics.csv")).collect()
 
 
 def test_files_by_pattern(spark, cube, tmp_path):
@@ -97,6 +113,10 @@ def test_regions(spark, tmp_path):
     file.write_text('{"region_id": 1, "ring_id": 0, "ring": [{"lon": 0, "lat": 0}, {"lon": 1, "lat": 0}, {"lon": 0, "lat": 1}]}\n')
     got = sorted(tuple(r) for r in scan.read_regions(spark, str(file)).collect())
     assert got == [(1, 0.0, 0.0, 1.0, 0.0), (1, 0.0, 1.0, 0.0, 0.0), (1, 1.0, 0.0, 0.0, 1.0)]
+    with file.open("a") as more:
+        more.write('{"region_id": 2, "ring_id": 0, "ring": [{"lon": 0, "lat"\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        scan.read_regions(spark, str(file)).collect()
 
 
 def test_declared_types(spark):
@@ -104,4 +124,43 @@ def test_declared_types(spark):
     declared = {"a": "REAL", "b": "Counter(4)", "c": "VARCHAR(10)", "d": "bit"}
     got = types.apply_declared_types(table, declared)
     assert [tuple(r) for r in got.collect()] == [(None, None, "x", None), (2.5, 7.0, "", True)]
-    assert types.declared_kind("double (8)") == "Number"
+    assert types.declared_kind("double (8)") == "Number" and types.declared_kind("DateTime") == "datetime"
+    for unknown in ("blob", "varchar(", "12"):
+        with pytest.raises(ValueError):
+            types.declared_kind(unknown)
+    with pytest.raises(Exception, match="not readable as double: x"):
+        types.apply_declared_types(table, {"c": "integer"}).collect()
+
+
+def test_empty_refresh_clears_its_model(spark, tmp_path):
+    path = str(tmp_path / "summary")
+    rows = spark.createDataFrame([("A", 1), ("B", 2)], "Model string, v int")
+    sinks.replace_model(rows, path)
+    sinks.replace_model(rows.limit(0), path, "B")
+    assert [tuple(r) for r in spark.read.parquet(path).select("Model", "v").collect()] == [("A", 1)]
+    sinks.replace_model(rows.limit(0), path, "C")
+
+
+def test_parts_with_different_rows_at_a_coordinate_are_refused(spark):
+    from gridagro.operators.cube import combine_by_coords, repeated_coordinates
+
+    schema = "time int, lat double, lon double, u int, v int"
+    good = spark.createDataFrame([(1, 1.0, 1.0, 5, 1), (1, 1.0, 1.0, 5, 1), (2, 1.0, 1.0, None, 2)], schema)
+    assert sorted(map(str, combine_by_coords([good]).collect())) == sorted(map(str, good.distinct().collect()))
+    bad = spark.createDataFrame([(1, 1.0, 1.0, 5, 1), (1, 1.0, 1.0, 1, 9)], schema)
+    assert [tuple(r) for r in repeated_coordinates(bad).collect()] == [(1, 1.0, 1.0, 2)]
+    with pytest.raises(Exception, match="different rows at 1 1.0 1.0"):
+        combine_by_coords([good.drop("v"), bad]).collect()
+
+
+def test_metres_are_refused(spark):
+    from gridagro.operators.partition import assign_subdomain
+
+    with pytest.raises(Exception, match="not in degrees"):
+        assign_subdomain(spark.createDataFrame([(5000.0, 1.0, 1.0)], "lat double, lon double, mask double"), 2).collect()
+
+
+def test_grids_by_planting_year(spark, tmp_path):
+    gdd = spark.createDataFrame([(2000, 1.0, 1.0, 2.5), (2001, 1.0, 1.0, 3.5)], "ref_year int, lat double, lon double, gdd double")
+    sinks.write_by_year(gdd, str(tmp_path / "gdd"))
+    assert {(r.year, r.gdd) for r in scan.read_cube(spark, str(tmp_path / "gdd"), 2001, 2001).collect()} == {(2001, 3.5)}

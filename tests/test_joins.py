@@ -19,13 +19,13 @@ def test_split_join_equals_plain_join(spark, how, multiplied):
     facts = facts.unionByName(facts.limit(0)).unionByName(spark.createDataFrame([(None, 1), (99, 2)], "k long, t long"))
     lookup = spark.createDataFrame([(i, f"v{i}") for i in range(12)], "k long, v string")
     plain = facts.join(lookup, ["k"], how)
-    assert _bag(lookup_join(facts, lookup, ["k"], how, spread=["t"], multiplied=multiplied)) == _bag(plain)
+    assert _bag(lookup_join(facts, lookup, ["k"], how, spread=["t"], splits=8, multiplied=multiplied)) == _bag(plain)
 
 
 def test_hot_key_is_shared(spark):
     facts = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("t"))
     lookup = spark.createDataFrame([(1, "v")], "k int, v string")
-    with_parts = lookup_join(facts, lookup, ["k"], "inner", spread=["t"], multiplied=True)
+    with_parts = lookup_join(facts, lookup, ["k"], "inner", spread=["t"], splits=8, multiplied=True)
     merging = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(merging, "false")
     try:

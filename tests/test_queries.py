@@ -6,6 +6,7 @@ import pytest
 
 from checks import catalog
 from checks.compare import connect, differences
+from gridagro.plans.units import order_units
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,8 +35,24 @@ def test_plan_has_no_product_and_no_python(spark, name):
         assert node not in plan
 
 
+def test_cell_joins_hold_the_lookup_once(spark):
+    """The daily table meets the cells in one broadcast of the cells, and without broadcasts in one shuffle by cell."""
+    plan = lambda name: catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "explode(array(0, 1" not in plan("et0_tdew") and "explode(array(0, 1" not in plan("apply_mask")
+    assert "Generate explode(sequence" in plan("season_climate") and "holding" not in plan("season_climate")
+
+
+def test_rows_come_in_order(spark):
+    cells = [(r.lat, r.lon) for r in catalog.QUERIES["row_major"](spark, SF).collect()]
+    assert cells == sorted(cells) and len(cells) > 5
+    units = spark.createDataFrame([(f"p{i % 3}", f"m{i % 5}", "s", 2000 - i % 7, i % 2) for i in range(60)], "idPoint string, idMangt string, IdSoil string, StartYear int, idOption int")
+    ordered = [tuple(r) for r in order_units(units).collect()]
+    assert ordered == sorted(ordered)
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) <= set(entry.queries())
+    assert set(catalog.ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
