@@ -758,31 +758,32 @@ def season_climate(spark, sf):
     return rounded(rounded(seasonal, 8, "tmin", "tmax", "tmoy"), 6, "rain", "Etppm")
 
 
-def _run(spark, sf, **changes):
+def _run(spark, sf, cube=None, texture_grid=None, **changes):
     sources = Sources(
         mask=fx.mask(spark, sf),
         soil=fx.soil(spark, sf),
         dem=fx.dem(spark, sf),
-        cube=fx.cube(spark, sf),
+        cube=fx.cube(spark, sf) if cube is None else cube,
         management=fx.management(spark, sf),
         grids=_grids(spark, sf),
+        texture=texture_grid,
     )
     settings = {"options": [1, 2, 3, 4], "first": 1996, "last": 1999, "varieties": fx.VARIETIES, "mode": "grid"}
     return prepare(sources, **{**settings, **changes})
 
 
-@query(
-    f"""select "idPoint", "StartYear", idsim from ({_units_sql("spatial", "oldid", "m.idPoint = y.idPoint", _FOLLOWING, _RULE)})
-    where "StartYear" between 1996 and 1999""",
-    (*_UNIT_VIEWS, "spatial"),
-)
+_IN_YEARS = '"StartYear" between 1996 and 1999'
+
+
+@query(f"""select * from ({_units_sql("spatial", "oldid", "m.idPoint = y.idPoint", _FOLLOWING, _RULE)}) where {_IN_YEARS}""", (*_UNIT_VIEWS, "spatial"))
 def prepare_units(spark, sf):
     """The unit table of a whole run, from the gridded sources."""
-    return _run(spark, sf).units.select("idPoint", "StartYear", "idsim")
+    return _run(spark, sf).units
 
 
 @query(
-    f"""select idPoint || '.' || year || '.' || DOY as idjourclim, rain as plu, et as "Etp" from
+    f"""select idPoint as "IdDClim", idPoint || '.' || year || '.' || DOY as idjourclim, year as annee, DOY as jda, Nmonth as mois, NdayM as jour,
+      tmax, tmin, tmoy, srad as rg, rain as plu, et as "Etp" from
     (select *, {rnd(_et_sql(_TDEW, "altitude", _ra_sql("DOY", "latitudeDD", False), True), 4)} as et
       from climate left join coords using (idPoint)) where year between 1996 and 1999""",
     ("climate", "coords"),
@@ -790,18 +791,71 @@ def prepare_units(spark, sf):
 def prepare_weather(spark, sf):
     """The weather table of a whole run, reference evapotranspiration included."""
     weather = inputs.model_weather(_run(spark, sf, subdomains=fx.SUBDOMAINS).climate)
-    return rounded(weather.select("idjourclim", "plu", "Etp"), 4, "Etp")
+    return rounded(weather, 4, "Etp")
+
+
+@query(ORACLE["prepare_weather"])
+def prepare_from_variables(spark, sf):
+    """The same from a cube that is stored with one table per variable, in another order."""
+    daily = fx.cube(spark, sf)
+    keys = ["time", "lat", "lon"]
+    parts = [daily.select(*keys, name) for name in sorted(set(daily.columns) - set(keys))]
+    return rounded(inputs.model_weather(_run(spark, sf, cube=parts).climate), 4, "Etp")
+
+
+@query(ORACLE["soil_table"])
+def prepare_soil(spark, sf):
+    """The soil table of a whole run."""
+    return _run(spark, sf).soil
+
+
+@query(
+    f"""select s."IdSoil", s.pH as "pH", s.albedo, t.texture as "SoilTextureType"
+    from ({_soil_sql("'x'")}) s join (select {pid()} as id, case 13 - Band1 {_TEXTURE_CASE.removeprefix('case Band1 ')} as texture
+      from cells where Band1 is not null) t on t.id = s."IdSoil" """,
+    ("soilgrid", "cells"),
+)
+def prepare_soil_with_texture(spark, sf):
+    """The soil table of a run with a texture grid of its own."""
+    grid = fx.cells(spark, sf).select("lat", "lon", (13 - F.col("Band1")).alias("Band1"))
+    return _run(spark, sf, texture_grid=grid).soil.select("IdSoil", "pH", "albedo", "SoilTextureType")
+
+
+@query(ORACLE["assign_subdomain"])
+def prepare_cells(spark, sf):
+    """The cells of a whole run with their sub-domains."""
+    return _run(spark, sf, subdomains=fx.SUBDOMAINS).cells
+
+
+@query(
+    f"""select idMangt, oldid, Idcultivar as "Idcultivar", sowingdate, sdens, InoFertiPolicyCode as "InoFertiPolicyCode", idPoint
+    from spatial where idPoint in (select {pid()} from valid where mask = 1)""",
+    ("spatial", "valid"),
+)
+def prepare_management(spark, sf):
+    """The management of a whole run: every record at every valid cell."""
+    return _run(spark, sf).management.select("idMangt", "oldid", "Idcultivar", "sowingdate", "sdens", "InoFertiPolicyCode", "idPoint")
+
+
+@query(
+    f"""select "IdSoil", pH as "pH" from ({_soil_sql("'x'")}) join cells on {pid()} = "IdSoil"
+    where lon between -17.5 and -17.2 and lat <= 12.5""",
+    ("soilgrid", "cells"),
+)
+def prepare_in_box(spark, sf):
+    """The soil table of a run in a bounding box."""
+    return _run(spark, sf, box=(-17.5, 0.0, -17.2, 12.5)).soil.select("IdSoil", "pH")
 
 
 @query(
-    f"""select cast(trunc({rnd('dem', 4)}) as int) as altitude, {pid('cell_lat', 'cell_lon')} as "idPoint"
+    f"""select cast(trunc({rnd('dem', 4)}) as int) as altitude, cell_lat as "latitudeDD", cell_lon as "longitudeDD", {pid('cell_lat', 'cell_lon')} as "idPoint"
     from (select distinct cell_lat, cell_lon from nearest) n join cells c on c.lat = n.cell_lat and c.lon = n.cell_lon""",
     ("nearest", "cells"),
 )
 def prepare_at_points(spark, sf):
     """The coordinates of a run at single points."""
     run = _run(spark, sf, points=fx.points(spark, sf), res=fx.RES)
-    return run.coordinates.select("altitude", "idPoint")
+    return run.coordinates.select("altitude", "latitudeDD", "longitudeDD", "idPoint")
 
 
 # ---------------------------------------------------------------- model outputs

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridagro.functions import degree_day, et0_rhum, et0_tdew, kelvin_to_celsius, season_year, tmean
+from gridagro.functions import degree_day, et0_tdew, kelvin_to_celsius, season_year, tmean
 from gridagro.functions.agroclimate import DEFAULT_BASE
 from gridagro.operators.cube import combine_by_coords, with_static
 from gridagro.operators.filters import CELL, filter_years, nulls_for_nans, snapped
 from gridagro.operators.joins import lookup_join
+from gridagro.plans.inputs import reference_et
 
 
 def with_coordinates(climate: DataFrame, coordinates: DataFrame) -> DataFrame:
@@ -19,17 +20,8 @@ def with_coordinates(climate: DataFrame, coordinates: DataFrame) -> DataFrame:
 
 def with_reference_et(climate: DataFrame, coordinates: DataFrame, method: str = "tdew") -> DataFrame:
     """The climate table with Etppm computed from dew points or from relative humidity."""
-    lat, alt, doy = F.col("latitude"), F.col("altitude"), F.col("DOY")
-    temperatures = [F.col(name) for name in ("tmin", "tmax", "tmoy")]
-    wind, srad = F.col("wind"), F.col("srad")
-    if method == "tdew":
-        et = et0_tdew(lat, alt, doy, *temperatures, F.col("Tdewmin"), F.col("Tdewmax"), wind, srad)
-    elif method == "rhum":
-        et = et0_rhum(lat, alt, doy, *temperatures, F.col("rhum"), wind, srad)
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    joined = with_coordinates(climate, coordinates).withColumn("Etppm", et)
-    return joined.select(*climate.columns)
+    et = reference_et(method, F.col("latitude"), F.col("altitude"), F.col("DOY"))
+    return with_coordinates(climate, coordinates).withColumn("Etppm", et).select(*climate.columns)
 
 
 def gridded_reference_et(cube: DataFrame, dem: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridagro.functions import (
     calendar_parts,
+    et0_rhum,
+    et0_tdew,
     point_id,
     round_half_even,
     texture_name,
@@ -26,6 +28,7 @@ from gridagro.operators.filters import (
     snapped,
     valid_cells,
 )
+from gridagro.operators.joins import lookup_join
 from gridagro.operators.partition import assign_subdomain
 from gridagro.sources.schemas import (
     CLIMATE,
@@ -82,23 +85,46 @@ def soil_table(soil: DataFrame, cells: DataFrame | None = None, texture: str | N
 
 
 def climate_table(
-    cube: DataFrame, cells: DataFrame | None = None, first: int | None = None, last: int | None = None
+    cube: DataFrame,
+    cells: DataFrame | None = None,
+    first: int | None = None,
+    last: int | None = None,
+    method: str | None = None,
 ) -> DataFrame:
     """Daily climate of the valid cells; ``cube`` has time, lat, lon and the aligned variables.
 
     All years in one plan: filters on ``time`` and the mask come before any arithmetic, and the
-    only join is the semi-join with the mask.
+    only join is that with the cells. With a ``method`` the cells must have the elevation ``Band1``,
+    and the reference evapotranspiration is computed in the same pass; it is NULL without elevation.
     """
     if first is not None and last is not None:
         cube = filter_years(cube, first, last)
-    known = _inside(cube, cells)
+    if method is None:
+        known = _inside(cube, cells)
+    else:
+        height = snapped(cells.filter("mask = 1")).select(*CELL, trunc_int(round_half_even(F.col("Band1"), COORDINATE_DIGITS)).alias("__altitude"))
+        known = lookup_join(drop_incomplete(snapped(cube)), height, CELL, "inner")
     if "pr" in known.columns:
         known = known.withColumnRenamed("pr", "rain")
     known = known.withColumn("tmoy", tmean(F.col("tmin"), F.col("tmax")))
     present = [name for name in CLIMATE_VALUES if name in known.columns]
     rounded = {name: round_half_even(F.col(name).cast("double"), CLIMATE_DIGITS) for name in present}
     keys = {**calendar_parts(to_day(F.col("time"))), "idPoint": point_id(F.col("lat"), F.col("lon"))}
-    return conform(known.withColumns({**rounded, **keys}), CLIMATE)
+    table = known.withColumns({**rounded, **keys})
+    if method is not None:
+        table = table.withColumn("Etppm", reference_et(method, F.col("lat"), F.col("__altitude"), F.col("DOY")))
+    return conform(table, CLIMATE)
+
+
+def reference_et(method: str, latitude: Column, altitude: Column, doy: Column) -> Column:
+    """Evapotranspiration from the columns of the climate table, by dew points or by relative humidity."""
+    temperatures = [F.col(name) for name in ("tmin", "tmax", "tmoy")]
+    wind, srad = F.col("wind"), F.col("srad")
+    if method == "tdew":
+        return et0_tdew(latitude, altitude, doy, *temperatures, F.col("Tdewmin"), F.col("Tdewmax"), wind, srad)
+    if method == "rhum":
+        return et0_rhum(latitude, altitude, doy, *temperatures, F.col("rhum"), wind, srad)
+    raise ValueError(f"unknown method {method!r}")
 
 
 def model_weather(climate: DataFrame) -> DataFrame:

@@ -43,3 +43,25 @@ def test_run_at_points(spark, sources):
     assert run.units.count() == 2 * 2 * 2
     with pytest.raises(ValueError):
         prepare(sources, [1], 2000, 2001, points=points)
+
+
+def test_the_cube_is_scanned_once(spark, sources, tmp_path):
+    from dataclasses import replace
+
+    path = str(tmp_path / "cube")
+    sources.cube.write.parquet(path)
+    run = prepare(replace(sources, cube=spark.read.parquet(path)), [1], 2000, 2000)
+    for table in (run.units, run.climate, run.soil, run.coordinates, run.management):
+        assert path not in table._jdf.queryExecution().executedPlan().toString()
+    assert run.climate.count() == 6 * 12 and run.units.count() == 6 * 2
+
+
+def test_region_and_box_bound_the_cells(spark, sources):
+    edges = [(1, 10.9, -0.1, 10.9, 2.0), (1, 10.9, 2.0, 12.0, 2.0), (1, 12.0, 2.0, 12.0, -0.1), (1, 12.0, -0.1, 10.9, -0.1)]
+    swapped = [(r, y1, x1, y2, x2) for r, x1, y1, x2, y2 in edges]
+    region = spark.createDataFrame(swapped, "region_id long, x1 double, y1 double, x2 double, y2 double")
+    inside = prepare(sources, [1], 2000, 2000, region=region, res=0.5, all_touched=False)
+    assert sorted(r.idPoint for r in inside.coordinates.collect()) == ["11.0_0.5", "11.0_1.0", "11.5_0.5", "11.5_1.0"]
+    boxed = prepare(sources, [1], 2000, 2000, box=(0.0, 11.2, 0.6, 12.0))
+    assert [r.idPoint for r in boxed.coordinates.collect()] == ["11.5_0.5"]
+    assert prepare(sources, [1], 2000, 2000, box=(50.0, 50.0, 51.0, 51.0)).units.count() == 0
