@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gridagro.llm.common import HOT_KEYS, read, stored
@@ -28,6 +29,9 @@ TAIL = 4
 #: One document in so many is looked at to learn which halves are hot; that decides where rows go, not what is found.
 LOOK = 64
 
+#: Bytes of text in a batch of results.
+BATCH = 4 << 20
+
 _LAST = (1 << 63) - 1
 HALVES = "half long, doc long, place long, tails binary"
 
@@ -164,6 +168,18 @@ def _hot_windows(rows: DataFrame, length: int, hot: Hot) -> DataFrame:
     return rows.mapInArrow(mark, "doc long, tag long, windows array<struct<name:long,start:int,first:long>>")
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """(doc, tag, packed): each text compressed by itself, a third smaller than texts in a compressed shuffle."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in (part for whole in batches for part in slices(whole, 2)):
+            texts = [packer.compress((text.as_py() or "").encode()) for text in batch.column(2)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], ["doc", "tag", "packed"])
+
+    return rows.mapInArrow(pack, "doc long, tag long, packed binary")
+
+
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(name, doc, place, first) of every window of ``length`` words that occurs in several documents.
 
@@ -215,13 +231,13 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         own = F.transform(F.filter("windows", lambda w: w["first"] < F.col("doc")), lambda w: w["start"])
         marked = _hot_windows(rows, length, hot).select("doc", "tag", own.alias("starts")).filter(F.size("starts") > 0)
         going = going.unionByName(marked).groupBy("doc", "tag").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    rows = rows.join(going, ["doc", "tag"], "left").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "text", "starts")
+    rows = _packed(rows).join(going, ["doc", "tag"], "left").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "packed", "starts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, 1)):
-            sizes, removed, kept = [], [], []
-            for text, starts in zip(batch.column(1), batch.column(2), strict=True):
-                words = (text.as_py() or "").encode().split()
+        for batch in batches:
+            sizes, removed, kept, room = [], [], [], BATCH
+            for packed, starts in zip(batch.column(1), batch.column(2), strict=True):
+                words = zstandard.decompress(packed.as_py()).split()
                 sizes.append(len(words))
                 if starts.is_valid:
                     cover = np.zeros(len(words) + 1, np.int64)
@@ -234,7 +250,11 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 else:
                     removed.append(0)
                 kept.append(b" ".join(words).decode())
-            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+                room -= len(kept[-1])
+                if room < 0 or len(sizes) == len(batch):
+                    ids = batch.column(0).slice(len(sizes) - len(kept), len(kept))
+                    yield pa.record_batch([ids, *[pa.array(x[-len(kept) :], pa.int64()) for x in (sizes, removed)], pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+                    kept, room = [], BATCH
 
     return rows.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
 
