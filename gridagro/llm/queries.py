@@ -21,5 +21,6 @@ ORACLE = {
     "op1_mixing": mixing.OP1_SQL,
     "op3_decontamination": decontaminate.OP3_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op5_near_dedup": near_dedup.OP5_SQL,
     "op10_substring_dedup": substring_dedup.OP10_SQL,
 }
