@@ -6,10 +6,10 @@ bands, so 52 minhashes do the work of 480. Two documents are candidates if they
 first and any of the second collection. With bands of three and of two minhashes a pair of similarity
 0.8 is missed with a probability of 0.488**12 + 0.36**8 < 0.0005, one of 0.9 of 2e-6.
 
-Equal sets are one node from the start. Candidates are verified against the smallest node of their
-tables first; what the links found so far leave apart in a table is then verified pair by pair, after
-a bound from bit maps that drops pairs which cannot be similar. So no link between components of a
-table is lost, and a large group of near copies costs little more than one pair each.
+Equal sets are one node from the start. Candidates are verified against one node of their tables, a
+few times another one; what the links found so far leave apart in a table is then verified pair by
+pair, after a bound from bit maps that drops pairs which cannot be similar. So no link between
+components of a table is lost, and a large group of near copies costs a few pairs for each of them.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from gridagro.llm.text import SPACED, Words, mixed, slices, windows
 
 #: Bands of the two collections and minhashes per band.
 FIRST, SECOND = (12, 3), (8, 2)
+#: Rounds in which each node is compared with one other at most, before the rest is compared pair by pair.
+TURNS = 3
 #: Longs of the bit map of a set that is compared before the sets are.
 MAP = 32
 #: Words of a shingle and the least similarity in percent, of the general operator.
@@ -175,15 +177,19 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     sets = _sets_of(docs, chosen, shingle)
     centres = sets.select(F.col("node").alias("near"), F.col("set").alias("set_b"))
     pairs = sets.filter("node <> near").join(centres, "near").select(F.col("node").alias("a"), F.col("near").alias("b"), F.col("set").alias("set_a"), "set_b")
-    links = _linked(pairs, percent)
-    labels = stored(components(links), "labels")
+    labels = _merged(sets.select("node", F.col("node").alias("label")), _linked(pairs, percent))
+
+    # then another node of its tables, as long as that finds links
+    sized = sets.select("node", "bits").join(nodes.select("node", "n", _short("first"), _short("second")), "node")
+    for turn in range(1, TURNS):
+        links = _linked(_with_sets(_centred(_open(members, labels), sized, percent, turn), sets), percent)
+        if links.isEmpty():
+            break
+        labels = _merged(labels, links)
 
     # and what is still apart in a table meets pair by pair
-    more = _apart(members, nodes, sets.select("node", "near", "bits"), labels, percent)
-    full = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
-    pairs = more.join(full, "a").join(full.select(F.col("a").alias("b"), F.col("set_a").alias("set_b")), "b")
-    links = links.unionByName(_linked(pairs, percent))
-    labels = stored(components(links), "labels")
+    more = _apart(_open(members, labels), sized, percent)
+    labels = _merged(labels, _linked(_with_sets(more, sets), percent))
 
     reached = nodes.join(labels, "node", "left").select("set", "size", "node", F.coalesce("label", "node").alias("component"))
     groups = reached.filter("size > 1 or component <> node").select("set", "size", "component")
@@ -193,27 +199,64 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def _apart(members: DataFrame, nodes: DataFrame, known: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _short(bands: str):
+    """Bands as 32 bits, enough to see which of them two nodes share."""
+    return F.transform(bands, lambda x: F.xxhash64(x).bitwiseAND(0x7FFFFFFF).cast("int")).alias(bands)
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    full = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
+    return pairs.join(full, "a").join(full.select(F.col("a").alias("b"), F.col("set_a").alias("set_b")), "b")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) after the components that ``links`` (a, b) join have become one."""
+    of = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}"))
+    joined = links.join(of("a"), "a").join(of("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    new = components(joined).select(F.col("node").alias("label"), F.col("label").alias("least"))
+    return stored(labels.join(new, "label", "left").select("node", F.coalesce("least", "label").alias("label")), "labels")
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(table, i, j, node, label) of the tables whose nodes are still in several components."""
+    labelled = members.select("table", "i", "j", "node").join(labels, "node")
+    split = labelled.groupBy("table").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("table")
+    return stored(labelled.join(split, "table", "left_semi"), "open")
+
+
+def _may_link(percent: int):
+    """Whether the sets of a and b can be similar, by their sizes and bit maps.
+
+    Each place of the bit maps that differs stands for a shingle that only one of the sets has.
+    """
+    differing = sum((F.bit_count(F.col("a.bits")[k].bitwiseXOR(F.col("b.bits")[k])) for k in range(1, MAP)), F.bit_count(F.col("a.bits")[0].bitwiseXOR(F.col("b.bits")[0])))
+    sizes = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
+    return sizes & (differing * (100 + percent) <= (F.col("a.n") + F.col("b.n")) * (100 - percent))
+
+
+def _centred(rows: DataFrame, sized: DataFrame, percent: int, turn: int) -> DataFrame:
+    """One pair (a, b) for each node: with a node of another component that is the first of a table in the order of ``turn``."""
+    order = lambda x: F.xxhash64(x, F.lit(turn))
+    first = rows.groupBy("table").agg(F.min(F.struct(order("node").alias("at"), F.col("node").alias("b"), F.col("label").alias("other"))).alias("c"))
+    pairs = rows.join(first, "table").filter("label <> c.other").groupBy(F.col("node").alias("a")).agg(F.min(F.struct("c.at", "c.b")).alias("c")).select("a", F.col("c.b").alias("b"))
+    a, b = sized.select("node", "n", "bits").alias("a"), sized.select("node", "n", "bits").alias("b")
+    kept = pairs.join(a, pairs["a"] == F.col("a.node")).join(b, pairs["b"] == F.col("b.node")).filter(_may_link(percent))
+    return kept.select(pairs["a"], pairs["b"])
+
+
+def _apart(rows: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that share a table, are not in one component and may still be similar.
 
-    ``known`` has near and bits of each node. Each place of the bit maps that differs stands for a
-    shingle that only one of the sets has, so pairs with too many such places, or too different sizes,
-    cannot be similar and are left out. A pair is only made in the first of its tables.
+    A pair is only made in the first of its tables.
     """
-    labelled = members.select("table", "i", "j", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    split = labelled.groupBy("table").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("table")
-    rows = labelled.join(split, "table", "left_semi").join(known, "node").join(nodes.select("node", "n", "first", "second"), "node")
-    rows = stored(rows, "apart")
+    rows = stored(rows.join(sized, "node"), "apart")
     a, b = rows.alias("a"), rows.alias("b")
     same = lambda c: F.zip_with(F.col(f"a.{c}"), F.col(f"b.{c}"), lambda x, y: x == y)
-    differing = sum((F.bit_count(F.col("a.bits")[k].bitwiseXOR(F.col("b.bits")[k])) for k in range(1, MAP)), F.bit_count(F.col("a.bits")[0].bitwiseXOR(F.col("b.bits")[0])))
     condition = (
         (F.col("a.table") == F.col("b.table"))
         & (F.col("a.node") > F.col("b.node"))
         & (F.col("a.label") != F.col("b.label"))
-        & (F.col("a.near") != F.col("b.node"))
-        & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
-        & (differing * (100 + percent) <= (F.col("a.n") + F.col("b.n")) * (100 - percent))
+        & _may_link(percent)
         & (F.array_position(same("first"), True) == F.col("a.i") + 1)
         & (F.array_position(same("second"), True) == F.col("a.j") + 1)
     )
