@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -115,18 +116,16 @@ def _find(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == values, at, -1)
 
 
-def blocks_of(benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, block_words: int = BLOCK_WORDS) -> list[Block]:
-    """The benchmark in blocks of about ``block_words`` words. A null item_id counts as the empty name."""
+def blocks_of(benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, block_words: int = BLOCK_WORDS) -> Iterator[Block]:
+    """The benchmark in blocks of about ``block_words`` words, one at a time. A null item_id counts as the empty name."""
     n_words = F.regexp_count(a_z(F.col("text")), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), F.col("text")).filter(n_words > 0)
     total = items.agg(F.sum(n_words)).first()[0] or 0
     count = max(1, -(-total // block_words))
-    out = []
     for k in range(count):
         rows = items.filter(F.pmod(F.xxhash64("name", "text"), F.lit(count)) == k).collect()
         if rows:
-            out.append(Block.of([r["name"] for r in rows], [r["text"] for r in rows], window, gram))
-    return out
+            yield Block.of([r["name"] for r in rows], [r["text"] for r in rows], window, gram)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -139,12 +138,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     """
     spark = docs.sparkSession
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key(docs).alias("key"), docs["text"])
-    blocks = blocks_of(benchmark, window, gram, block_words) or [Block(window, gram)]
-    parts = []
-    for k, block in enumerate(blocks):
+    parts: list[DataFrame] = []
+    blocks = blocks_of(benchmark, window, gram, block_words)
+    for block in chain([next(blocks, Block(window, gram))], blocks):
         shared = spark.sparkContext.broadcast(block)
 
-        def find(batches: Iterator[pa.RecordBatch], first: bool = k == 0, shared=shared) -> Iterator[pa.RecordBatch]:
+        def find(batches: Iterator[pa.RecordBatch], first: bool = not parts, shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in (part for whole in batches for part in slices(whole, 2)):
                 sizes, found = shared.value.hits(batch.column(2))
                 spans = [[{"start": a, "end": b} for a, b in found[t][0]] if t in found else [] for t in range(len(batch))]

@@ -94,7 +94,7 @@ def test_pipeline_by_hand(spark, sf_dir):
                 x, y = sorted((find(a), find(b)))
                 top[y] = x
     apart = [left[k] for k in range(len(left)) if find(k) == k]
-    blocks = decontaminate.blocks_of(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    blocks = list(decontaminate.blocks_of(spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
     clean = [r for r in apart if not blocks[0].hits(decontaminate.pa.array([r[1]], decontaminate.pa.string()))[1]]
     got = corpus_pipeline.run(spark, sf_dir)
     assert {(r.doc_id, hashlib.md5((r.text or "").encode()).hexdigest()) for r in got.collect()} <= {(i, hashlib.md5((t or "").encode()).hexdigest()) for i, t in clean}
