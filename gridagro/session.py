@@ -37,7 +37,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="gridagro-")
         spark.conf.set(CHECKPOINT_DIR, base)
