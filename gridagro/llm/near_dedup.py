@@ -27,7 +27,7 @@ from gridagro.llm.text import SPACED, Words, mixed, slices, windows
 #: Bands of the two collections and minhashes per band.
 FIRST, SECOND = (12, 3), (8, 2)
 #: Rounds in which each node is compared with one other at most, before the rest is compared pair by pair.
-TURNS = 3
+TURNS = 4
 #: Longs of the bit map of a set that is compared before the sets are.
 MAP = 32
 #: Words of a shingle and the least similarity in percent, of the general operator.
@@ -235,10 +235,12 @@ def _may_link(percent: int):
 
 
 def _centred(rows: DataFrame, sized: DataFrame, percent: int, turn: int) -> DataFrame:
-    """One pair (a, b) for each node: with a node of another component that is the first of a table in the order of ``turn``."""
+    """One pair (a, b) for each node: of the nodes that are the first of a table in the order of ``turn`` and
+    belong to another component, the one that it shares most tables with."""
     order = lambda x: F.xxhash64(x, F.lit(turn))
     first = rows.groupBy("table").agg(F.min(F.struct(order("node").alias("at"), F.col("node").alias("b"), F.col("label").alias("other"))).alias("c"))
-    pairs = rows.join(first, "table").filter("label <> c.other").groupBy(F.col("node").alias("a")).agg(F.min(F.struct("c.at", "c.b")).alias("c")).select("a", F.col("c.b").alias("b"))
+    met = rows.join(first, "table").filter("label <> c.other").groupBy(F.col("node").alias("a"), F.col("c.at").alias("at"), F.col("c.b").alias("b")).count()
+    pairs = met.groupBy("a").agg(F.max(F.struct("count", "at", "b")).alias("c")).select("a", F.col("c.b").alias("b"))
     a, b = sized.select("node", "n", "bits").alias("a"), sized.select("node", "n", "bits").alias("b")
     kept = pairs.join(a, pairs["a"] == F.col("a.node")).join(b, pairs["b"] == F.col("b.node")).filter(_may_link(percent))
     return kept.select(pairs["a"], pairs["b"])
