@@ -28,8 +28,8 @@ from gridagro.llm.text import Words, slices
 FREQUENT, CLASSES, INPUTS = 32_768, 64, 1024
 #: Size of the state, words of a class with word weights, words of a window.
 STATE, SMALL, SPAN = 24, 16, 16
-#: Documents trained side by side; of the windows of a text each EVERY-th is learned from, the others carry the state.
-SIDE, EVERY, RATE = 256, 4, 0.01
+#: Documents trained side by side, and the step size.
+SIDE, RATE = 256, 0.01
 
 _END = np.uint64(0x2545F4914F6CDD1D)
 
@@ -250,35 +250,37 @@ class Texts:
         return np.where(before >= 0, v.input[before], v.inputs - 1)
 
 
+def learned_from(batches: Iterator[pa.RecordBatch], v: Vocabulary) -> tuple[Network, int]:
+    """A network trained on every window of the training documents among some rows, and the number of words learned from."""
+    net, learned, step = Network(v), 0, 0
+    first, second = [np.zeros_like(p) for p in net.p], [np.zeros_like(p) for p in net.p]
+    for batch in (part for whole in batches for part in slices(whole, 3, 16 << 20)):
+        batch = batch.filter(pa.array(~np.asarray(batch.column(2).to_numpy(zero_copy_only=False), bool)))
+        texts = Texts.of(batch.column(3), v)
+        for k in range(0, len(batch), SIDE):
+            some = texts.order[k : k + SIDE]
+            sizes = texts.bounds[some + 1] - texts.bounds[some]
+            h = np.zeros((len(some), STATE), np.float32)
+            for at in range(0, int(sizes[0]), SPAN):
+                going = int((sizes > at).sum())
+                h = h[:going]
+                ids, there = texts.window(some[:going], at, SPAN)
+                x = texts.inputs(v, ids, some[:going], at)
+                grads, h = net.gradient(h, x, ids, there)
+                learned, step = learned + int(there.sum()), step + 1
+                for p, g, m, s in zip(net.p, grads, first, second, strict=True):
+                    m += 0.1 * (g - m)
+                    s += 0.01 * (g * g - s)
+                    p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-7)
+    return net, learned
+
+
 def train(rows: DataFrame, v: Vocabulary) -> Network:
     """The average of the networks that the partitions of the training documents arrive at, by words learned from."""
     shared = rows.sparkSession.sparkContext.broadcast(v)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
-        net, learned, step = Network(v), 0, 0
-        first, second = [np.zeros_like(p) for p in net.p], [np.zeros_like(p) for p in net.p]
-        for batch in (part for whole in batches for part in slices(whole, 3, 16 << 20)):
-            batch = batch.filter(pa.array(~np.asarray(batch.column(2).to_numpy(zero_copy_only=False), bool)))
-            texts = Texts.of(batch.column(3), v)
-            for k in range(0, len(batch), SIDE):
-                some = texts.order[k : k + SIDE]
-                sizes = texts.bounds[some + 1] - texts.bounds[some]
-                h = np.zeros((len(some), STATE), np.float32)
-                for number, at in enumerate(range(0, int(sizes[0]), SPAN)):
-                    going = int((sizes > at).sum())
-                    h = h[:going]
-                    ids, there = texts.window(some[:going], at, SPAN)
-                    x = texts.inputs(v, ids, some[:going], at)
-                    if (number + k // SIDE) % EVERY:
-                        h = net.run(h, x)[-1]
-                        continue
-                    grads, h = net.gradient(h, x, ids, there)
-                    learned, step = learned + int(there.sum()), step + 1
-                    for p, g, m, s in zip(net.p, grads, first, second, strict=True):
-                        m += 0.1 * (g - m)
-                        s += 0.01 * (g * g - s)
-                        p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-7)
+        net, learned = learned_from(batches, shared.value)
         if learned:
             yield pa.record_batch([pa.array([learned], pa.int64()), pa.array([(net.flat().astype(float) * learned).tobytes()], pa.binary())], ["n", "sums"])
 

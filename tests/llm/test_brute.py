@@ -224,6 +224,14 @@ def test_network_is_a_distribution_and_gradients_are_right():
             assert (up - down) / 2e-3 == pytest.approx(g.ravel()[k], rel=0.02, abs=1e-5)
 
 
+def test_every_training_word_is_learned_from(spark, corpus):
+    rows = language_model._documents(corpus)
+    v = language_model.vocabulary(language_model.count_words(rows))
+    net, learned = language_model.learned_from(iter(rows.toArrow().to_batches()), v)
+    assert learned == v.tokens > 1000
+    assert sum(len(WORD.findall(t or "")) + 1 for i, t, *_ in small_corpus() if i is None or zlib.crc32(str(i).encode()) % 5 != 1) == learned
+
+
 def test_cuckoo_index_inserts_deletes_and_grows(spark):
     digest = lambda i: hashlib.sha256(str(i).encode()).hexdigest()
     shard = exact_dedup.Shard()
