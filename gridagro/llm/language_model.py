@@ -2,12 +2,14 @@
 
 All training words are counted. The network predicts the class of the next word, then the word inside
 its class. Classes are slices of the most frequent words of about equal weight, one class holds all
-other words. Small classes have word weights of their own; in large ones, and in the class of other
-words, where there is little to learn from, a word has its share of the counts. So the network needs
-the counts of rare words only as a sum per document, which a join delivers.
+other words. A class of several words is a tree of nodes of at most 16 members, each with weights of
+its own, and every frequent word has an input row that is added to that of its class. The number of
+frequent words grows with the square root of the training words. In the class of other words a word
+has its share of the counts, so the network needs those only as a sum per document, which a join delivers.
 
 Each task trains a copy of the network on its documents, all from the same start, and the copies are
-averaged. Documents are read in windows; the state is carried from window to window through the whole
+averaged; rows of words and nodes by the words that each copy learned them from, so that a task sends
+only the rows that it met. Documents are read in windows; the state is carried from window to window through the whole
 text, and gradients go back to the start of a window (truncated backpropagation).
 """
 
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -24,12 +27,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from gridagro.llm.common import read, stored
 from gridagro.llm.text import Words, slices
 
-#: Frequent words, classes of about equal weight they are put in, and words with an input of their own.
-FREQUENT, CLASSES, INPUTS = 32_768, 64, 1024
-#: Size of the state, words of a class with word weights, words of a window.
+#: Frequent words at least, and for each square root of the training words; classes of about equal weight they are put in.
+FREQUENT, GROWTH, CLASSES = 32_768, 8, 64
+#: Size of the state, members of a node, words of a window.
 STATE, SMALL, SPAN = 24, 16, 16
-#: Documents trained side by side, and the step size.
-SIDE, RATE = 256, 0.01
+#: Documents trained side by side, the step size, and that of rows of words and nodes.
+SIDE, RATE, ROW_RATE = 256, 0.01, 0.05
+#: Rows of words and of nodes that are averaged together.
+BLOCKS = {0: 128, 4: 16}
 
 _END = np.uint64(0x2545F4914F6CDD1D)
 
@@ -79,33 +84,57 @@ class Vocabulary:
         sizes = np.bincount(slot, minlength=self.groups)
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        self.input = np.where(rank < INPUTS, rank, INPUTS + self.group)
-        self.inputs = INPUTS + self.groups
+        # an input row of its own for each word, after them those of the classes
+        self.inputs = len(order) + self.groups
+        self.above = np.concatenate([len(order) + self.group, np.arange(len(order), self.inputs)])
         totals = np.bincount(self.group, weight, self.groups)
-        self.share = np.log(weight / totals[self.group])
-        # place inside the class, for classes with word weights
+        # the nodes on the way to each word and its places in them, -1 below its last node
+        inside = rank - np.concatenate([[0], np.cumsum(sizes)])[self.group]
+        depth = np.zeros(self.groups, np.int64)
+        while (deeper := SMALL**depth < sizes).any():
+            depth += deeper
         self.small = np.full(self.groups, -1)
-        few = np.flatnonzero((sizes > 1) & (sizes <= SMALL))
-        self.small[few] = np.arange(len(few))
-        self.place = rank - np.concatenate([[0], np.cumsum(sizes)])[self.group]
-        self.start = np.full((len(few), SMALL), -1e9, np.float32)
-        member = self.small[self.group] >= 0
-        self.start[self.small[self.group[member]], self.place[member]] = self.share[member]
+        self.nodes, self.places, starts, made = [], [], [], 0
+        for level in range(int(depth.max())):
+            on = np.flatnonzero(depth[self.group] > level)
+            below = SMALL ** (depth[self.group[on]] - level - 1)
+            names, which = np.unique(self.group[on] << 40 | inside[on] // below // SMALL, return_inverse=True)
+            node, place = np.full(len(order), -1), np.full(len(order), -1)
+            node[on], place[on] = made + which, inside[on] // below % SMALL
+            share = np.bincount(which * SMALL + place[on], weight[on], len(names) * SMALL).reshape(-1, SMALL)
+            with np.errstate(divide="ignore"):
+                starts.append(np.maximum(np.log(share / share.sum(axis=1, keepdims=True)), -1e9))
+            if level == 0:
+                self.small[names >> 40] = np.arange(len(names))
+            self.nodes.append(node)
+            self.places.append(place)
+            made += len(names)
+        self.start = np.concatenate([np.zeros((0, SMALL)), *starts]).astype(np.float32)
         rest = max(0.0, self.tokens - self.counts.sum())
         self.rest = rest + 0.5 * (max(0, self.kinds - (self.counts > 0).sum()) + 1)
         self.prior = np.log(np.append(totals[:-1], self.rest) / (totals.sum() + self.rest)).astype(np.float32)
 
+    def ways(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each level: which of the words have a node there, the nodes, and the places in them."""
+        for nodes, places in zip(self.nodes, self.places, strict=True):
+            node = np.where(ids >= 0, nodes[ids], -1)
+            some = np.flatnonzero(node >= 0)
+            if len(some):
+                yield some, node[some], places[ids[some]]
+
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of words, -1 for words that are not frequent."""
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         return np.where(self.words[at] == hashes, at, -1)
 
 
-def vocabulary(counts: DataFrame, frequent: int = FREQUENT) -> Vocabulary:
+def vocabulary(counts: DataFrame, frequent: int | None = None) -> Vocabulary:
     total = counts.agg(F.sum("n"), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(frequent).collect()
-    words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
-    n = np.array([r["n"] for r in top], np.int64)
+    if frequent is None:
+        frequent = max(FREQUENT, GROWTH * isqrt(total[0] or 0))
+    top = counts.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
+    words = top.column("word").to_numpy().view(np.uint64)
+    n = top.column("n").to_numpy()
     if _END not in words:
         words, n = np.append(words, _END), np.append(n, 0)
     order = np.argsort(words)
@@ -122,26 +151,18 @@ class Network:
         random = np.random.default_rng(3)
         small = lambda *shape: random.normal(0, 0.1, shape).astype(np.float32)
         self.p = parameters or [
-            small(vocabulary.inputs, 3 * STATE), small(STATE, 3 * STATE) * 2, small(STATE, vocabulary.groups) * 0.1, vocabulary.prior.copy(),
-            small(len(vocabulary.start), SMALL, STATE) * 0.1, vocabulary.start.copy(),
+            np.concatenate([np.zeros((len(vocabulary.words), 3 * STATE), np.float32), small(vocabulary.groups, 3 * STATE)]), small(STATE, 3 * STATE) * 2,
+            small(STATE, vocabulary.groups) * 0.1, vocabulary.prior.copy(), small(len(vocabulary.start), SMALL, STATE) * 0.1, vocabulary.start.copy(),
         ]
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in self.p])
-
-    def of(self, flat: np.ndarray) -> Network:
-        parts, at = [], 0
-        for x in self.p:
-            parts.append(flat[at : at + x.size].reshape(x.shape).astype(np.float32))
-            at += x.size
-        return Network(self.v, parts)
+        #: Words that each row of words or nodes was learned from.
+        self.seen = {k: np.zeros(len(self.p[k]), np.int64) for k in BLOCKS}
 
     def run(self, h: np.ndarray, x: np.ndarray, keep: list | None = None) -> np.ndarray:
         """States after each of the inputs x (steps, texts), from the states h; ``keep`` gets what backpropagation needs."""
         table, inner = self.p[0], self.p[1]
         out = np.empty((len(x), *h.shape), np.float32)
         for t in range(len(x)):
-            from_input, from_state = table[x[t]], h @ inner
+            from_input, from_state = table[x[t]] + table[self.v.above[x[t]]], h @ inner
             gates = 1 / (1 + np.exp(-(from_input[:, : 2 * STATE] + from_state[:, : 2 * STATE])))
             z, r = gates[:, :STATE], gates[:, STATE:]
             n = np.tanh(from_input[:, 2 * STATE :] + r * from_state[:, 2 * STATE :])
@@ -165,16 +186,22 @@ class Network:
         """Natural logarithm for each word; for words that are not frequent only that of their class."""
         group = np.where(ids >= 0, self.v.group[ids], self.v.groups - 1)
         out = self.log_softmax(h)[np.arange(len(ids)), group].astype(float)
-        small = self.v.small[group]
-        large = (ids >= 0) & (small < 0)
-        out[large] += self.v.share[ids[large]]
-        few = np.flatnonzero(small >= 0)
-        if len(few):
-            out[few] += self.inside(h[few], small[few])[np.arange(len(few)), self.v.place[ids[few]]]
+        for some, node, place in self.v.ways(ids):
+            out[some] += self.inside(h[some], node)[np.arange(len(some)), place]
         return out
 
     def gradient(self, h: np.ndarray, x: np.ndarray, ids: np.ndarray, there: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """Gradient of the mean loss of one window, and the states after it."""
+        grads, rows, h = self.sparse_gradient(h, x, ids, there)
+        grads = {k: g if g is not None else np.zeros_like(self.p[k]) for k, g in enumerate(grads)}
+        for k, parts in rows.items():
+            for which, _, values in parts:
+                for j, g in zip((k, 5), values, strict=False):
+                    grads[j][which] += g.reshape(len(which), *grads[j].shape[1:])
+        return list(grads.values()), h
+
+    def sparse_gradient(self, h: np.ndarray, x: np.ndarray, ids: np.ndarray, there: np.ndarray) -> tuple[list, dict[int, list], np.ndarray]:
+        """The same, but for the tables of words and nodes only the rows that are not zero: which, how many words each has, and values."""
         keep: list = []
         states = self.run(h, x, keep)
         flat, words = states[there], ids[there]
@@ -184,17 +211,14 @@ class Network:
         d_logits[np.arange(n), group] -= 1
         d_logits /= n
         d_flat = d_logits @ self.p[2].T
-        grads = [np.zeros_like(p) for p in self.p]
-        grads[2], grads[3] = flat.T @ d_logits, d_logits.sum(axis=0)
-        small = self.v.small[group]
-        few = np.flatnonzero(small >= 0)
-        if len(few):
-            d = np.exp(self.inside(flat[few], small[few]))
-            d[np.arange(len(few)), self.v.place[words[few]]] -= 1
+        grads = [None, np.zeros_like(self.p[1]), flat.T @ d_logits, d_logits.sum(axis=0), None, None]
+        rows: dict[int, list] = {0: [], 4: []}
+        for some, node, place in self.v.ways(words):
+            d = np.exp(self.inside(flat[some], node))
+            d[np.arange(len(some)), place] -= 1
             d /= n
-            d_flat[few] += np.einsum("nw,nwh->nh", d, self.p[4][small[few]])
-            _add_rows(grads[5], small[few], d)
-            _add_rows(grads[4], small[few], d[:, :, None] * flat[few][:, None, :])
+            d_flat[some] += np.einsum("nw,nwh->nh", d, self.p[4][node])
+            rows[4].append(_sums(node, d[:, :, None] * flat[some][:, None, :], d))
         d_states = np.zeros_like(states)
         d_states[there] = d_flat
         d_inputs = np.empty((*x.shape, 3 * STATE), np.float32)
@@ -209,15 +233,19 @@ class Network:
             inward = np.concatenate([d_z, d_r, d_new * r], axis=1)
             grads[1] += before.T @ inward
             d_h = d_h * z + inward @ self.p[1].T
-        _add_rows(grads[0], x.ravel(), d_inputs.reshape(-1, 3 * STATE))
-        return grads, states[-1]
+        row = np.where(there, x, -1).ravel()
+        used = np.flatnonzero(row >= 0)
+        d_inputs = d_inputs.reshape(-1, 3 * STATE)[used]
+        rows[0].append(_sums(np.concatenate([row[used], self.v.above[row[used]]]), np.concatenate([d_inputs, d_inputs])))
+        return grads, rows, states[-1]
 
 
-def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+def _sums(rows: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The different rows, how often each occurs, and the sums of its values."""
     order = np.argsort(rows, kind="stable")
     rows = rows[order]
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    total[rows[first]] += np.add.reduceat(values[order], first, axis=0)
+    return rows[first], np.diff(np.append(first, len(rows))), [np.add.reduceat(v[order], first, axis=0) for v in values]
 
 
 @dataclass
@@ -247,13 +275,14 @@ class Texts:
         """What goes before each word of a window: the word before it, the end of a text before the first."""
         first = self.ids[self.bounds[some] + at - 1] if at else np.full(len(some), v.ids(np.array([_END]))[0])
         before = np.concatenate([first[None, :], ids[:-1]])
-        return np.where(before >= 0, v.input[before], v.inputs - 1)
+        return np.where(before >= 0, before, v.inputs - 1)
 
 
 def learned_from(batches: Iterator[pa.RecordBatch], v: Vocabulary) -> tuple[Network, int]:
     """A network trained on every window of the training documents among some rows, and the number of words learned from."""
     net, learned, step = Network(v), 0, 0
-    first, second = [np.zeros_like(p) for p in net.p], [np.zeros_like(p) for p in net.p]
+    first, second = [np.zeros_like(p) for p in net.p[1:4]], [np.zeros_like(p) for p in net.p[1:4]]
+    squares = {k: np.zeros(len(net.p[k]), np.float32) for k in (0, 4, 5)}
     for batch in (part for whole in batches for part in slices(whole, 3, 16 << 20)):
         batch = batch.filter(pa.array(~np.asarray(batch.column(2).to_numpy(zero_copy_only=False), bool)))
         texts = Texts.of(batch.column(3), v)
@@ -266,12 +295,18 @@ def learned_from(batches: Iterator[pa.RecordBatch], v: Vocabulary) -> tuple[Netw
                 h = h[:going]
                 ids, there = texts.window(some[:going], at, SPAN)
                 x = texts.inputs(v, ids, some[:going], at)
-                grads, h = net.gradient(h, x, ids, there)
+                grads, rows, h = net.sparse_gradient(h, x, ids, there)
                 learned, step = learned + int(there.sum()), step + 1
-                for p, g, m, s in zip(net.p, grads, first, second, strict=True):
+                for p, g, m, s in zip(net.p[1:4], grads[1:4], first, second, strict=True):
                     m += 0.1 * (g - m)
                     s += 0.01 * (g * g - s)
                     p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-7)
+                for k, parts in rows.items():
+                    for which, times, values in parts:
+                        net.seen[k][which] += times
+                        for j, g in zip((k, 5), values, strict=False):
+                            squares[j][which] += np.square(g).reshape(len(g), -1).mean(axis=1)
+                            net.p[j][which] -= g * (ROW_RATE / (np.sqrt(squares[j][which]) + 1e-9)).reshape(-1, *[1] * (g.ndim - 1))
     return net, learned
 
 
@@ -282,21 +317,50 @@ def train(rows: DataFrame, v: Vocabulary) -> Network:
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, learned = learned_from(batches, shared.value)
         if learned:
-            yield pa.record_batch([pa.array([learned], pa.int64()), pa.array([(net.flat().astype(float) * learned).tobytes()], pa.binary())], ["n", "sums"])
-
-    def merge(key, parts: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"n": [int(parts["n"].sum())], "sums": [sum(np.frombuffer(x) for x in parts["sums"]).tobytes()]})
-
-    # two levels, so that neither a task nor the driver gets the networks of all partitions
-    copies = rows.mapInArrow(learn, "n long, sums binary").withColumn("part", F.spark_partition_id())
-    merged = list(copies.groupBy(F.floor(F.sqrt("part")).alias("some")).applyInPandas(merge, "n long, sums binary").toLocalIterator())
+            yield part(["dense"], [np.zeros(1, int)], [np.array([learned])], [np.concatenate([p.ravel() for p in net.p[1:4]])[None, :]])
+        for k, size in BLOCKS.items():
+            met = np.flatnonzero(net.seen[k])
+            for some in np.split(met, np.flatnonzero(np.diff(met // (64 * size))) + 1) if len(met) else ():
+                edges = np.flatnonzero(np.diff(some // size)) + 1
+                blocks = np.split(some, edges)
+                yield part([f"{k} {b[0] // size}" for b in blocks], blocks, [net.seen[k][b] for b in blocks], [net.p[0][b] if k == 0 else np.concatenate([net.p[4][b].reshape(len(b), -1), net.p[5][b]], axis=1) for b in blocks])
+
+    def part(keys: list, rows: list, times: list, values: list) -> pa.RecordBatch:
+        packed = [[x.astype(kind).tobytes() for x in some] for some, kind in ((rows, np.int64), (times, np.float64), (values, np.float32))]
+        return pa.record_batch([pa.array(keys, pa.string()), *[pa.array(x, pa.binary()) for x in packed]], ["key", "rows", "times", "vectors"])
+
+    def merge(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        rows = [np.frombuffer(x, np.int64) for x in parts["rows"]]
+        names = np.unique(np.concatenate(rows))
+        n, total = np.zeros(len(names)), 0.0
+        for which, times, vectors in zip(rows, parts["times"], parts["vectors"], strict=True):
+            at, times = np.searchsorted(names, which), np.frombuffer(times)
+            vectors = np.frombuffer(vectors, np.float32).reshape(len(which), -1)
+            if not np.ndim(total):
+                total = np.zeros((len(names), vectors.shape[1]))
+            n[at] += times
+            total[at] += times[:, None] * vectors
+        return pd.DataFrame({"key": [key[0]], "rows": [names.tobytes()], "vectors": [(total / n[:, None]).astype(np.float32).tobytes()]})
+
+    # each copy has all rows, so their number is bounded by the cores and not by the input
+    most = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    copies = rows.coalesce(most).mapInArrow(learn, "key string, rows binary, times binary, vectors binary")
     net = Network(v)
-    if merged:
-        net = net.of(sum(np.frombuffer(r["sums"]) for r in merged) / sum(r["n"] for r in merged))
+    for r in copies.groupBy("key").applyInPandas(merge, "key string, rows binary, vectors binary").toLocalIterator():
+        which = np.frombuffer(r["rows"], np.int64)
+        vectors = np.frombuffer(r["vectors"], np.float32).reshape(len(which), -1)
+        if r["key"] == "dense":
+            ends = np.cumsum([p.size for p in net.p[1:4]])
+            for p, values in zip(net.p[1:4], np.split(vectors[0], ends[:-1]), strict=True):
+                p[:] = values.reshape(p.shape)
+        elif r["key"].startswith("0 "):
+            net.p[0][which] = vectors
+        else:
+            net.p[4][which], net.p[5][which] = vectors[:, :-SMALL].reshape(-1, SMALL, STATE), vectors[:, -SMALL:]
     return net
 
 
-def score_documents(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+def score_documents(docs: DataFrame, frequent: int | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     Words are runs without ASCII white space, A-Z in lower case; each text, a null one as an empty one,

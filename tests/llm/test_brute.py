@@ -232,6 +232,29 @@ def test_every_training_word_is_learned_from(spark, corpus):
     assert sum(len(WORD.findall(t or "")) + 1 for i, t, *_ in small_corpus() if i is None or zlib.crc32(str(i).encode()) % 5 != 1) == learned
 
 
+def test_every_frequent_word_has_weights_and_an_input():
+    np = language_model.np
+    n = 6000
+    v = language_model.Vocabulary(np.append(np.arange(1, n, dtype=np.uint64), language_model._END), np.maximum(40_000 // np.arange(1, n + 1), 1), 500_000, 9000)
+    sizes = np.bincount(v.group, minlength=v.groups)
+    assert sizes.max() > language_model.SMALL**2 and ((v.small >= 0) == (sizes > 1)).all()
+    assert len({tuple(way) for way in np.stack([v.group, *v.nodes, *v.places]).T.tolist()}) == n
+    net = language_model.Network(v)
+    h = np.random.default_rng(0).normal(0, 1, (1, language_model.STATE)).astype(np.float32)
+    before = net.log_probability(np.repeat(h, n, 0), np.arange(n))
+    assert np.exp(before).sum() + np.exp(net.log_probability(h, np.array([-1])))[0] == pytest.approx(1, abs=1e-4)
+    net.p[4][:] = np.random.default_rng(1).normal(0, 1, net.p[4].shape)
+    after = net.log_probability(np.repeat(h, n, 0), np.arange(n))
+    assert ((before != after) == (sizes[v.group] > 1)).all()
+    assert len(np.unique(v.above[:n])) == v.groups - 1 and v.inputs == n + v.groups
+
+
+def test_vocabulary_grows_with_the_training_words(spark):
+    counts = spark.range(40_000).selectExpr("id AS word", "if(id < 100, 1000000L, 1L) AS n")
+    assert len(language_model.vocabulary(counts, 30).words) == 31
+    assert len(language_model.vocabulary(counts).words) == 40_001
+
+
 def test_cuckoo_index_inserts_deletes_and_grows(spark):
     digest = lambda i: hashlib.sha256(str(i).encode()).hexdigest()
     shard = exact_dedup.Shard()
