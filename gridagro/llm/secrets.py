@@ -30,8 +30,8 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
-_DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
-#: MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hex; UUIDs; dotted, dashed or underscored names whose parts are words or numbers.
+_LETTERS = re.compile(r"[A-Za-z]+")
+#: MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hex; UUIDs; dotted, dashed or underscored names whose parts are words or numbers (if the token test takes the letters for words).
 _DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})\Z")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 _NAME = re.compile(r"(?:[A-Za-z]+|[0-9]+)(?:[-_/+=]+(?:[A-Za-z]+|[0-9]+))*[-_/+=]*\Z")
@@ -59,15 +59,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], vocabulary: str, ratio: float) -> list[tuple[int, int, int]]:
-    """Strings of few characters per token that touch no span of ``base``."""
+    """Strings of few characters per token that touch no span of ``base``. Strings without a letter are numbers or rules."""
+
+    def crumbs(*parts: str) -> bool:
+        return sum(map(len, parts)) <= ratio * sum(len(_encoding(vocabulary).encode_ordinary(part)) for part in parts)
+
     out = []
     for m in _CANDIDATE.finditer(text):
         word = m[0]
-        if not _DIGIT.search(word) or not _LETTER.search(word) or _DIGEST.match(word) or _UUID.match(word) or _NAME.match(word):
+        letters = _LETTERS.findall(word)
+        if not letters or _DIGEST.match(word) or _UUID.match(word) or _NAME.match(word) and not crumbs(*letters):
             continue
         if any(start < m.end() and m.start() < end for start, _, end in base):
             continue
-        if len(word) <= ratio * len(_encoding(vocabulary).encode_ordinary(word)):
+        if crumbs(word):
             out.append((m.start(), 3, m.end()))
     return out
 

@@ -159,6 +159,13 @@ def test_secrets(spark):
     assert got[3].base_sha256 == hashlib.sha256(b"hex:4:30").hexdigest()
 
 
+def test_secrets_of_letters_only():
+    found = lambda text: [text[a:b] for a, _, b in secrets.random_spans(text, [], secrets.VOCABULARY, secrets.RATIO)]
+    assert found("key xKqZpLmVtRwYbNcHfGjD end") == ["xKqZpLmVtRwYbNcHfGjD"]
+    assert found("key xKqZpLmVtR-wYbNcHfGjDqW_77 end") == ["xKqZpLmVtR-wYbNcHfGjDqW_77"]
+    assert found("internationalization some_long_name_of_a_thing_2024 12345678901234567890123 " + "-" * 30 + " 2024-01-01/2025-01-01/7 /usr/local/share/documents") == []
+
+
 def test_urls(spark):
     urls = {
         1: "http://Blog.Example.COM/en/5?x=/", 2: "https://www.example.com/en/", 3: "https://a.www.example.com/en/x", 4: "http://example.com/EN/", 5: "http://net/es/1", 6: "http://x.net/de/1",
