@@ -35,6 +35,17 @@ _AROUND_NAMES = frozenset(
     " cookies notice notices consent newsletter subscribe signup login comment comments discussion replies share sharing social related recommended popup modal"
     " widget legal copyright disclaimer toolbar pagination pager".split()
 )
+#: Words that may stand before or after such names in one class; with others (has-sidebar, no-comments) it says something else.
+_BEFORE = frozenset("site page main top bottom left right global primary secondary".split())
+_AFTER = frozenset("list item items box bar area block section inner links buttons posts".split())
+#: Elements of the page or the article as a whole, whose classes say what else is there.
+_WHOLE = frozenset("html body main article".split())
+#: Elements that may be left open: those that end when one begins, up to the element that holds them.
+_ENDS = {
+    "li": (frozenset(["li"]), frozenset("ul ol menu".split())), "dt": (frozenset("dt dd".split()), frozenset(["dl"])), "dd": (frozenset("dt dd".split()), frozenset(["dl"])),
+    "td": (frozenset("td th".split()), frozenset("tr table".split())), "th": (frozenset("td th".split()), frozenset("tr table".split())),
+    "tr": (frozenset("tr td th".split()), frozenset(["table"])),
+}
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*?)(?:>|\Z)|([^<]+|<)""", re.S
@@ -51,6 +62,19 @@ class Block:
     around: bool
 
 
+def _is_around(names: str) -> bool:
+    """Whether any of the classes, ids or roles is as a whole the name of what surrounds an article."""
+    for name in names.split():
+        words = [word for word in re.split(r"[^a-z]+", name) if word]
+        while len(words) > 1 and words[0] in _BEFORE:
+            del words[0]
+        while len(words) > 1 and words[-1] in _AFTER:
+            del words[-1]
+        if words and _AROUND_NAMES.issuperset(words):
+            return True
+    return False
+
+
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order, white space turned into single spaces; blocks without text are left out."""
     out: list[Block] = []
@@ -65,6 +89,12 @@ def blocks_of(page: str) -> list[Block]:
             out.append(Block(words, len(words.split()), linked, main > 0, around > 0))
         parts.clear()
 
+    def close(k: int) -> None:
+        nonlocal main, around, skipped
+        for tag, was_main, was_around in open_tags[k:]:
+            main, around, skipped = main - was_main, around - was_around, skipped - (tag in _SKIPPED)
+        del open_tags[k:]
+
     at = 0
     while m := _TOKEN.match(page, at):
         at = m.end()
@@ -86,27 +116,39 @@ def blocks_of(page: str) -> list[Block]:
                 links = max(0, links - 1)
             if name not in _INLINE:
                 end()
+            holders = _ENDS[name][1] if name in _ENDS else ()
             for k in range(len(open_tags) - 1, -1, -1):
                 if open_tags[k][0] == name:
-                    for tag, was_main, was_around in open_tags[k:]:
-                        main, around, skipped = main - was_main, around - was_around, skipped - (tag in _SKIPPED)
-                    del open_tags[k:]
+                    close(k)
+                    break
+                if open_tags[k][0] in holders:
                     break
             continue
         if name in _RAW:
-            close = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = close.end() if close else len(page)
+            last = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = last.end() if last else len(page)
             continue
         if name == "a":
             links += 1
         if name in _INLINE:
             continue
         end()
-        if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option"):
-            continue  # often left open, and never the mark of a region
-        named = " ".join(x for found in _NAMED.findall(m[3]) for x in found).lower()
+        if name == "option":
+            continue
+        if open_tags and open_tags[-1][0] == "p":
+            close(len(open_tags) - 1)
+        if name in _ENDS:
+            ended, holders = _ENDS[name]
+            first = len(open_tags)
+            for k in range(len(open_tags) - 1, -1, -1):
+                if open_tags[k][0] in holders:
+                    break
+                if open_tags[k][0] in ended:
+                    first = k
+            close(first)
+        named = " ".join(x for found in _NAMED.findall(m[3]) for x in found).lower() if m[3] and name not in _WHOLE else ""
         is_main = name in _MAIN
-        is_around = name in _AROUND or not _AROUND_NAMES.isdisjoint(re.split(r"[^a-z]+", named))
+        is_around = name in _AROUND or _is_around(named)
         open_tags.append((name, is_main, is_around))
         main, around, skipped = main + is_main, around + is_around, skipped + (name in _SKIPPED)
     end()
@@ -164,6 +206,9 @@ LABELLED_PAGES = (
     (f'<body><div class="cookie-notice">We use cookies to make this page work as well as it can for all of our readers.</div><main><p>{_R}</p></main><footer><p>{_P}</p></footer></body>', (_R,)),
     (f"<body><p><a href='/a'>Home</a> <a href='/b'>News</a></p><p>{_P} {_Q}</p><p>Read <a href='/x'>the report</a> of the council, which was given to us on Monday by the mayor.</p><p><a href='/t'>Terms</a></p></body>", (f"{_P} {_Q}", "Read the report of the council, which was given to us on Monday by the mayor.")),
     (f"<body><nav><a href='/a'>Home</a></nav><article><h1>On</h1><p>Well.</p><p>It rained and <a href='/w'>the weather</a> got worse.</p></article><footer>Imprint</footer></body>", ("On", "Well.", "It rained and the weather got worse.")),
+    (f'<body class="home has-sidebar"><div class="content with-header"><h1>The mill</h1><p>{_P}</p><p>{_Q}</p></div><div class="sidebar"><p>{_R}</p><p>{_Q} {_R}</p></div></body>', ("The mill", _P, _Q)),
+    (f'<body id="page" class="sidebar"><article class="post no-comments"><h1>Water</h1><p>{_P}</p><p class="notice">Prices rise for all readers in the coming month, as paper has become dear.</p><p>{_Q}</p><ul><li>Three roads</li><li class="comment">I saw it too, and it was the worst that I can remember here.</li></ul></article></body>', ("Water", _P, _Q, "Three roads")),
+    (f'<body><main class="content comments"><table><tr><td><p>{_P}</p></td><td class="sidebar">Books of this paper can be had at the counter on every day of the week</td></tr></table><p>{_R}</p></main></body>', (_P, _R)),
     ("<body><nav>Start of the list</nav><article><p><a href='/only'>A linked line</a></p><p>Then words.</p></article></body>", ("A linked line", "Then words.")),
 )
 

@@ -202,6 +202,20 @@ def test_pages(spark):
     assert html_text.extract_text(rows).count() == 8
 
 
+def test_classes_of_pages_are_matched_whole():
+    tree = html_text.trained_tree()
+    a, b = "The mill stood by the river for a hundred years before the water took it.", "Its wheel was found a mile away in a field of turnips on Sunday."
+    pages = (
+        f'<body class="has-sidebar"><article><p>{a}</p><p>{b}</p></article></body>', f'<body class="sidebar"><article class="post no-comments"><p>{a}</p><p>{b}</p></article></body>',
+        f'<body><div class="content with-header"><p>{a}</p><p>{b}</p></div></body>', f'<article class="comments"><p>{a}</p><p class="notice">We use many cookies here for you and all of our other readers.<p>{b}</article>',
+        f'<main><p>{a}</p><p>{b}</p><ul><li class="comment">I was there and saw the whole thing from the hill.<ul><li>So was I, and it was a sight to see in the rain.</li></ul>Me too, said all of them at once</ul></main>',
+        f'<main><table><tr><td class="sidebar">All of our books can be had at the counter on any day<tr><td>{a}<tr><td>{b}</table></main>',
+        f'<main><div class="page-sidebar-inner"><p>{b} {a}</p></div><p>{a}</p><p>{b}</p></main>',
+    )
+    for page in pages:
+        assert html_text.main_text(page, tree) == f"{a}\n{b}", page
+
+
 def test_tree_separates_its_labelled_pages():
     tree = html_text.trained_tree()
     for page, main in html_text.LABELLED_PAGES:
