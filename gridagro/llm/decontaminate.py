@@ -119,7 +119,7 @@ def _find(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
 def blocks_of(benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, block_words: int = BLOCK_WORDS) -> Iterator[Block]:
     """The benchmark in blocks of about ``block_words`` words, one at a time. A null item_id counts as the empty name."""
     n_words = F.regexp_count(a_z(F.col("text")), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), F.col("text")).filter(n_words > 0)
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), F.col("text")).filter(n_words > 0).distinct()  # copies are one item
     total = items.agg(F.sum(n_words)).first()[0] or 0
     count = max(1, -(-total // block_words))
     for k in range(count):

@@ -64,6 +64,12 @@ def test_stages_keep_columns(spark, wide, nothing, sf_dir, name, stage):
     assert stage(spark, nothing, sf_dir).count() == 0
 
 
+def test_repeated_benchmark_rows_are_one_item(spark):
+    rows = [(1, prose(1, 50))] * 40 + [(i, prose(i, 50)) for i in range(2, 12)]
+    blocks = list(decontaminate.blocks_of(spark.createDataFrame(rows, "item_id long, text string"), block_words=600))
+    assert [len(b.names) for b in blocks] == [11]
+
+
 def test_pipeline_by_hand(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = quality.fit(quality.document_statistics(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
