@@ -25,7 +25,7 @@ from gridagro.llm.text import Words, slices, sliding_least, windows
 #: Words of a window.
 LENGTH = 13
 #: Bytes of a window's hash that are sent beside the 8 of its half; only windows of equal halves are told apart by them.
-TAIL = 4
+TAIL = 8
 #: One document in so many is looked at to learn which halves are hot; that decides where rows go, not what is found.
 LOOK = 64
 

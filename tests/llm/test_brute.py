@@ -107,6 +107,14 @@ def test_repeated_passages(corpus, length, hot, monkeypatch):
     assert bag(substring_dedup.without_repeats(corpus, length).collect()) == removed(length)
 
 
+def test_windows_are_sent_with_their_whole_hash(corpus):
+    np = language_model.np
+    rows = substring_dedup._documents(corpus)
+    sent = b"".join(r.tails for r in substring_dedup._halves(rows, 13).collect())
+    texts = substring_dedup.pa.array([r.text for r in rows.collect()], substring_dedup.pa.string())
+    assert sorted(np.frombuffer(sent, np.uint64).tolist()) == sorted(substring_dedup.Windows.of(texts, 13).full.tolist())
+
+
 def test_longer_repeats(spark):
     shared = [f"s{i}" for i in range(30)]
     rows = [(1, " ".join(["a", *shared])), (2, " ".join(["b", "c", *shared, "d"])), (3, " ".join(shared[:7]))]
