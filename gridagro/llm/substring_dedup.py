@@ -5,7 +5,7 @@ of half the length that is asked for. Of the half windows inside each full windo
 smallest hash stands for it, the same one in every copy of the window, so about two of nine places
 are sent instead of all. What repeats there is extended to the full windows around it, in the same
 shuffle, as equal windows have equal halves. ``longer_repeats`` goes on from there, to twice, four
-times and so on, until no candidate survives.
+times and so on, until no candidate survives; the query has the one level and does not call it.
 """
 
 from __future__ import annotations
