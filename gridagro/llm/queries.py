@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from gridagro.llm import decontaminate, exact_dedup, html_text, language_model, mixing, near_dedup, quality, secrets, substring_dedup, url_filter
+from gridagro.llm import (
+    decontaminate,
+    exact_dedup,
+    html_text,
+    language_model,
+    mixing,
+    near_dedup,
+    period_runs,
+    piece_tokens,
+    quality,
+    secrets,
+    substring_dedup,
+    url_filter,
+    whitening,
+)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_language_model": language_model.op8_language_model,
     "op9_html_text": html_text.op9_html_text,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_period_runs": period_runs.op11_period_runs,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_piece_tokens": piece_tokens.op13_piece_tokens,
 }
 
 ORACLE = {
