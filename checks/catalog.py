@@ -18,7 +18,7 @@ from gridagro.operators import aggregates, cube as cubes, filters, nearest, part
 from gridagro.plans import agroclimate, inputs, management as mgmt, mosaic as mosaics, outputs, units
 from gridagro.plans.prepare import Sources, prepare
 from gridagro.session import scratch_path
-from gridagro.sources import scan, sinks, types
+from gridagro.sources import ledger, scan, sinks, types
 from gridagro.sources.schemas import OUTPUT_VALUES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1133,6 +1133,48 @@ def swap_table(spark, sf):
     return spark.read.parquet(new).select("idPoint", "w_date", "Etppm")
 
 
+@query('select idPoint as "idPoint", w_date, rain, year from climate', ("climate",))
+def append_twice(spark, sf):
+    """The climate table filled by runs that overlap and repeat; each computes and adds only the years that are absent."""
+    path = scratch_path(spark, "ledger")
+    climate = sinks.stored(_climate(spark, sf).select("idPoint", "w_date", "year", "rain"), "climate")
+    for first, last in ((1990, 1994), (1993, 1996), (1990, 2010), (1990, 2010)):
+        ledger.append_absent(climate, path, range(first, last + 1))
+    return ledger.read_versions(spark, path)
+
+
+@query('select idPoint as "idPoint", w_date, rain, year, tmax / 2 as "Etppm" from climate', ("climate",))
+def swap_pointer(spark, sf):
+    """A table rewritten from itself with a derived column, in one commit."""
+    path = scratch_path(spark, "ledger")
+    ledger.append_absent(_climate(spark, sf).select("idPoint", "w_date", "year", "rain", "tmax"), path, range(1990, 2011))
+    ledger.swap(ledger.read_versions(spark, path).withColumn("Etppm", F.col("tmax") / 2).drop("tmax"), path, "year")
+    return ledger.read_versions(spark, path)
+
+
+@query(_REPLACED_SQL, ("raw", "dssat"))
+def refresh_model(spark, sf):
+    """The rows of one model replaced in one commit, twice."""
+    path = scratch_path(spark, "ledger")
+    ledger.refresh(_summary(spark, sf), path, "Model")
+    new = outputs.summary_output(outputs.normalise_dssat(fx.raw_output(spark, sf)))
+    for _ in range(2):
+        ledger.refresh(new, path, "Model", ["Dssat"])
+    return ledger.read_versions(spark, path).select("Model", "Idsim", "Texte", *OUTPUT_VALUES)
+
+
+@query("select commit, case when commit = 0 or year <= 1995 then 0 else 1 end as written, cast(year as int) as year from (values (0), (1)) c(commit), range(1990, 2001) y(year) where commit = 1 or year <= 1995")
+def ledger_history(spark, sf):
+    """Which commit each live year of a table was written by, at every commit; years without rows count."""
+    path = scratch_path(spark, "ledger")
+    climate = _climate(spark, sf).select("idPoint", "year", "rain")
+    ledger.append_absent(climate, path, range(1990, 1996))
+    ledger.append_absent(climate, path, range(1990, 2001))
+    lines = ledger.history(spark, path)
+    firsts = lines.groupBy("value").agg(F.min("commit").alias("written"))
+    return lines.join(firsts, "value").select("commit", "written", F.col("value").cast("int").alias("year"))
+
+
 @query(f'select Idsim as "Idsim", {_VALUES} from raw', ("raw",))
 def result_table(spark, sf):
     """Results read from a named table."""
