@@ -689,8 +689,8 @@ def _soil(spark, sf):
     return inputs.soil_table(fx.soil(spark, sf), _cells(spark, sf))
 
 
-def _units_global(spark, sf, **window):
-    climate = _climate(spark, sf)
+def _units_global(spark, sf, climate=None, **window):
+    climate = _climate(spark, sf) if climate is None else climate
     return units.build_sim_units(
         aggregates.coordinate_years(climate), _soil(spark, sf), fx.management(spark, sf), [1, 2, 3, 4], **window
     )
@@ -754,7 +754,7 @@ def _season_sql() -> str:
 @query(_season_sql(), (*_UNIT_VIEWS, "management"))
 def season_climate(spark, sf):
     climate = sinks.stored(_climate(spark, sf).withColumn("Etppm", F.col("tmax") / 2), "climate")
-    seasonal = units.season_climate(sinks.stored(_units_global(spark, sf), "units"), climate)
+    seasonal = units.season_climate(sinks.stored(_units_global(spark, sf, climate), "units"), climate)
     return rounded(rounded(seasonal, 8, "tmin", "tmax", "tmoy"), 6, "rain", "Etppm")
 
 

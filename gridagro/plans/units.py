@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as Spans, functions as F
 
 from gridagro.functions import Window, day_of, fixed_window, sim_id, sowing_window
 from gridagro.operators.aggregates import coordinate_years
@@ -130,9 +130,11 @@ def order_units(units: DataFrame) -> DataFrame:
 def season_climate(units: DataFrame, climate: DataFrame) -> DataFrame:
     """Climate inside the window of each unit: sums of rain and ET, mean temperatures, day count.
 
-    Units that share a window are computed once. The days of a point and year, at most 366, are
-    gathered in one array, which is the only shuffle of the days; a window meets the one or two
-    arrays of its years and adds up its part of them.
+    Units that share a window are computed once. The days of a point and year get running sums of
+    each variable and of its known values; a window is the sum up to its last day less that up to the
+    day before its first, whatever its length. Both ends of a window stand among the days as rows of
+    their own, in the order of days, so they are looked up by the same running sum, gaps or not. A
+    running sum covers one year at most, which keeps it as exact as adding up the window.
     """
     first, last = day_of(F.col("StartYear"), F.col("StartDay")), day_of(F.col("EndYear"), F.col("EndDay"))
     dated = units.select("idsim", "idPoint", "StartYear", "EndYear", first.alias("first"), last.alias("last"))
@@ -141,22 +143,32 @@ def season_climate(units: DataFrame, climate: DataFrame) -> DataFrame:
     sums, means = ("rain", "Etppm"), ("tmin", "tmax", "tmoy")
     values = (*sums, *means)
     date = F.to_date("w_date")
-    day = F.struct(F.unix_date(date).alias("day"), *[F.col(name).cast("double").alias(name) for name in values])
-    years = climate.groupBy("idPoint", F.year(date).alias("year")).agg(F.collect_list(day).alias("days"))
-    pieces = windows.filter("first <= last").withColumn("year", F.explode(F.sequence("StartYear", "EndYear"))).join(years, ["idPoint", "year"])
-
-    inside = F.filter("days", lambda d: d["day"].between(F.col("first"), F.col("last")))
-    added = [F.aggregate(F.filter(F.col("inside")[name], lambda x: x.isNotNull()), F.lit(0.0), lambda total, x: total + x).alias(name) for name in values]
-    known = [F.size(F.filter(F.col("inside")[name], lambda x: x.isNotNull())).alias(f"n_{name}") for name in values]
-    parts = pieces.withColumn("inside", inside).select("idPoint", "first", "last", F.size("inside").alias("n_days"), *added, *known)
-    totals = parts.groupBy("idPoint", "first", "last").agg(
-        F.sum("n_days").alias("n_days"),
-        *[F.when(F.sum(f"n_{name}") > 0, F.sum(name)).alias(name) for name in sums],
-        *[F.try_divide(F.sum(name), F.sum(f"n_{name}")).alias(name) for name in means],
+    days = climate.select("idPoint", F.year(date).alias("year"), F.unix_date(date).alias("day"), F.lit(0).alias("end"), *[F.col(name).cast("double").alias(name) for name in values])
+
+    # In its last year a window is added up to its last day, in earlier ones to the year's last; in its first year what is before it is taken off.
+    opening, closing = F.unix_date(F.make_date("year", F.lit(1), F.lit(1))), F.unix_date(F.make_date("year", F.lit(12), F.lit(31)))
+    per_year = windows.filter("first <= last").withColumn("year", F.explode(F.sequence("StartYear", "EndYear")))
+    ends = F.array(F.struct(F.least(F.col("last"), closing).alias("day"), F.lit(1).alias("end")), F.struct((F.col("first") - 1).alias("day"), F.lit(-1).alias("end")))
+    looked_up = F.filter(ends, lambda e: (e["end"] == 1) | (e["day"] >= opening))
+    edges = per_year.select("idPoint", "year", "first", "last", F.inline(looked_up))
+
+    so_far = Spans.partitionBy("idPoint", "year").orderBy("day", F.abs("end")).rowsBetween(Spans.unboundedPreceding, Spans.currentRow)
+    running = {name: F.sum(F.coalesce(name, F.lit(0.0))).over(so_far) for name in values}
+    running |= {f"n_{name}": F.count(name).over(so_far) for name in values} | {"n_days": F.sum((F.col("end") == 0).cast("long")).over(so_far)}
+    found = days.unionByName(edges, allowMissingColumns=True).withColumns(running).filter("end <> 0")
+    totals = found.groupBy("idPoint", "first", "last").agg(
+        F.sum(F.col("end") * F.col("n_days")).alias("n_days"),
+        *[F.sum(F.col("end") * F.col(name)).alias(name) for name in values],
+        *[F.sum(F.col("end") * F.col(f"n_{name}")).alias(f"n_{name}") for name in values],
     )
+    totals = totals.select(
+        "idPoint", "first", "last", "n_days",
+        *[F.when(F.col(f"n_{name}") > 0, F.col(name)).alias(name) for name in sums],
+        *[F.try_divide(name, f"n_{name}").alias(name) for name in means],
+    )
     # A window may be shared by most units, hence the split by unit id.
     return (
         lookup_join(dated.drop("StartYear", "EndYear"), totals, ["idPoint", "first", "last"], "left", spread=["idsim"], splits=HOT_SPLITS)
         .drop("first", "last")
-        .withColumn("n_days", F.coalesce("n_days", F.lit(0)))
+        .withColumn("n_days", F.coalesce("n_days", F.lit(0).cast("long")))
     )

@@ -199,3 +199,23 @@ def test_season_climate_sums_every_day_once(spark):
             assert got[name].tmoy == (pytest.approx(sum(known) / len(known)) if known else None)
         else:
             assert got[name].rain is None
+
+
+def test_season_climate_does_not_depend_on_the_length_of_windows(spark):
+    """Days are shuffled and sorted once and meet the ends of windows only, however many days a window has."""
+    start = dt.date(2000, 1, 1)
+    rows = [("p", str(start + dt.timedelta(days=i)), 0.1 * (i % 9), None, -5.0 + i % 31, 20.0, 1.0) for i in range(1461)]
+    climate = spark.createDataFrame([*rows, rows[5]], "idPoint string, w_date string, rain double, Etppm double, tmin double, tmax double, tmoy double")
+    schema = "idsim string, idPoint string, StartYear int, StartDay int, EndYear int, EndDay int"
+    windows = [(f"u{y}_{d}_{n}", "p", y, d, y + (d + n) // 366, 1 + (d + n) % 366) for y in (2000, 2001) for d in (1, 2, 200, 366) for n in (0, 1, 30, 300, 700)]
+    got = {r.idsim: r for r in units.season_climate(spark.createDataFrame([*windows, ("back", "p", 2001, 9, 2001, 8), ("four", "p", 2000, 1, 2003, 365)], schema), climate).collect()}
+    for name, _, y1, d1, y2, d2 in [*windows, ("four", "p", 2000, 1, 2003, 365)]:
+        a, b = dt.date(y1, 1, 1) + dt.timedelta(d1 - 1), dt.date(y2, 1, 1) + dt.timedelta(d2 - 1)
+        inside = [r for r in [*rows, rows[5]] if str(a) <= r[1] <= str(b) and r[1][:4] <= str(y2)]
+        assert got[name].n_days == len(inside), name
+        assert got[name].Etppm is None
+        if inside:
+            assert got[name].rain == pytest.approx(sum(r[2] for r in inside), abs=1e-9) and got[name].tmin == pytest.approx(sum(r[4] for r in inside) / len(inside), abs=1e-9)
+    assert got["back"].n_days == 0 and got["back"].rain is None
+    plan = units.season_climate(spark.createDataFrame(windows, schema), climate)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and plan.count("Window [") == 1
