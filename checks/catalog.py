@@ -1005,6 +1005,19 @@ def read_cube(spark, sf):
     return scan.read_cube(spark, path, 1996, 1998)
 
 
+@query(
+    """select time, lat, lon, tmin, tmax, cast(year(time) as int) as year from cube
+    where year(time) between 1993 and 1997 and lat between 12.3 and 12.6 and lon between -17.5 and -17.4""",
+    ("cube",),
+)
+def read_box(spark, sf):
+    """A box of some years out of a cube that is stored along a Z-order curve."""
+    path = scratch_path(spark, "curve")
+    cube = sinks.stored(fx.cube(spark, sf).select("time", "lat", "lon", "tmin", "tmax"), "cube")
+    sinks.write_by_year(cube, path, z_order=True)
+    return filters.clip_bbox(scan.read_cube(spark, path, 1993, 1997), -17.5, 12.3, -17.4, 12.6)
+
+
 @query(
     """select variable, cast(year(time) as int) as year, time, lat, lon, cast(value as float) as value from
     (unpivot (select time, lat, lon, tmax, pr from cube) on tmax, pr into name variable value value)""",

@@ -40,6 +40,7 @@ from gridagro.functions.ids import (
     texture_name,
     weather_key,
 )
+from gridagro.functions.layout import z_key
 from gridagro.functions.numeric import (
     as_float,
     fill_in_mask,

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridagro.functions import as_float
+from gridagro.functions import as_float, z_key
 from gridagro.session import scratch_path
 
 _CELL = ("lat", "lon")
@@ -39,6 +39,19 @@ def _clustered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions).sortWithinPartitions(*partitions, *keys)
 
 
+def _along_curve(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows in ranges of output partition and Z-order curve, one range per file, sorted along it.
+
+    A file, and every page of it, covers a compact patch of cells with all their days, so the ranges
+    of latitude and of longitude are both narrow. Ranges are cut by a sample, for which Spark reads
+    the input once more: write from a stored table.
+    """
+    curve = z_key(F.col("lat"), F.col("lon"))
+    time = [name for name in ("time",) if name in df.columns]
+    placed = df.withColumn("__curve", curve)
+    return placed.repartitionByRange(*partitions, "__curve").sortWithinPartitions(*partitions, "__curve", *time).drop("__curve")
+
+
 def float32(df: DataFrame) -> DataFrame:
     """Double columns in single precision, except the coordinates."""
     doubles = [name for name, kind in df.dtypes if kind == "double" and name not in _CELL]
@@ -54,11 +67,13 @@ def split_by_year(cube: DataFrame, variables: Sequence[str]) -> DataFrame:
 
 
 def write_by_year(
-    cube: DataFrame, path: str, variables: Sequence[str] | None = None, single: bool = False
+    cube: DataFrame, path: str, variables: Sequence[str] | None = None, single: bool = False, z_order: bool = False
 ) -> None:
     """A cube partitioned by year, or by variable and year when ``variables`` are listed.
 
-    The year is that of ``time``, or ``ref_year`` for grids per planting year.
+    The year is that of ``time``, or ``ref_year`` for grids per planting year. Rows are sorted by
+    latitude, then longitude, so that bands of latitude prune row groups and pages; with ``z_order``
+    along a Z-order curve of both, so that any small box does.
     """
     if variables is not None:
         out, partitions = split_by_year(cube, variables), ["variable", "year"]
@@ -67,7 +82,8 @@ def write_by_year(
     else:
         out, partitions = cube.withColumn("year", F.year("time")), ["year"]
     out = float32(out) if single else out
-    _clustered(out, partitions).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    laid = _along_curve(out, partitions) if z_order else _clustered(out, partitions)
+    laid.write.mode("overwrite").partitionBy(*partitions).parquet(path)
 
 
 def replace_model(df: DataFrame, path: str, model: str | None = None) -> None:
