@@ -98,6 +98,37 @@ def test_result_files_are_matched_by_header(spark, tmp_path):
         scan.read_model_results(spark, str(tmp_path / "*_stics.csv")).collect()
 
 
+def test_lines_that_do_not_fit_their_header(spark, tmp_path):
+    read = lambda: sorted(map(tuple, scan.read_points(spark, str(tmp_path / "*.csv")).collect()))
+    (tmp_path / "a.csv").write_text('\ufefflon ,"lat",note\r\n1,2,"x, ""y"""\r\n\r\n , ,\r\nlon ,"lat",note\n3,4,\n')
+    (tmp_path / "b c=é.csv").write_text("\n\nnote,more,lat,lon\nx,,6,5\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "bare.csv").write_text("lat,lon\n")
+    assert read() == [(1.0, 2.0), (3.0, 4.0), (5.0, 6.0)]
+    for line in ("7,8", "7,8,x,", '7,8,"open'):
+        (tmp_path / "z.csv").write_text(f"lon,lat,note\n{line}\n")
+        with pytest.raises(Exception, match="not as many fields"):
+            read()
+    (tmp_path / "z.csv").write_text("lon,note\n9,x\n")  # a file without one of the columns
+    assert sorted(map(str, scan.read_points(spark, str(tmp_path / "z.csv").replace("z", "[abz]")).collect())) == ["Row(lon=1.0, lat=2.0)", "Row(lon=3.0, lat=4.0)", "Row(lon=9.0, lat=None)"]
+
+
+def test_many_small_files_of_different_headers(spark, tmp_path):
+    """One scan of the lines, which meet their headers in a join; nothing is gathered in one group."""
+    import random
+
+    rnd = random.Random(1)
+    for n in range(1500):
+        names = ["lon", "lat", *[f"v{i}" for i in range(rnd.randrange(4))]]
+        rnd.shuffle(names)
+        row = {"lon": n / 10, "lat": n / 20}
+        (tmp_path / f"p{n}.csv").write_text(",".join(names) + "\n" + ",".join(str(row.get(name, "x")) for name in names) + "\n")
+    points = scan.read_points(spark, str(tmp_path / "*.csv"))
+    plan = points._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in points.collect()} == {(n / 10, n / 20) for n in range(1500)}
+    assert plan.count("FileScan text") == 1 and "collect_list" not in plan and "Window" not in plan
+
+
 def test_files_by_pattern(spark, cube, tmp_path):
     for name in ("tas_global_daily_1995_2001", "notes"):
         cube.coalesce(1).write.parquet(str(tmp_path / "in" / name))
