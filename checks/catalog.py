@@ -18,7 +18,7 @@ from gridagro.operators import aggregates, cube as cubes, filters, nearest, part
 from gridagro.plans import agroclimate, inputs, management as mgmt, mosaic as mosaics, outputs, units
 from gridagro.plans.prepare import Sources, prepare
 from gridagro.session import scratch_path
-from gridagro.sources import ledger, scan, sinks, types
+from gridagro.sources import buckets, ledger, scan, sinks, types
 from gridagro.sources.schemas import OUTPUT_VALUES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -325,6 +325,28 @@ def align_variables(spark, sf):
     return cubes.align_variables([daily.select(*keys, "tmax"), daily.select(*keys, "tmin"), windy])
 
 
+def _bucketed(spark, parts):
+    """Names of catalog tables that hold the parts in buckets."""
+    names = []
+    for part in parts:
+        path = scratch_path(spark, "bucketed")
+        names.append("cube_" + path.rsplit("-", 1)[1])
+        buckets.save_bucketed(part, names[-1], path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return names
+
+
+@query(
+    "select time, lat, lon, tmax, tmin, case when wind > 2 then wind end as wind from cube where wind > 2 and year(time) between 1993 and 1997",
+    ("cube",),
+)
+def align_bucketed(spark, sf):
+    """Variables stored in buckets once, aligned for some years without a shuffle."""
+    daily = sinks.stored(fx.cube(spark, sf), "cube")
+    windy = daily.select("time", "lat", "lon", F.when(F.col("wind") > 2, F.col("wind")).alias("wind"))
+    names = _bucketed(spark, [daily.select("time", "lat", "lon", "tmax"), daily.select("time", "lat", "lon", "tmin"), windy])
+    return buckets.align_bucketed(spark, names, 1993, 1997)
+
+
 @query(
     """select time, lat, lon, tmax, case when wind > 2 then wind else rhum end as wind, case when year(time) < 1998 then pr end as pr
     from cube""",
