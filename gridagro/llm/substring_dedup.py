@@ -1,11 +1,13 @@
 """Repeated passages by level-wise doubling.
 
 Only windows that repeat at one length are extended to twice that length. The first level has windows
-of half the length that is asked for. Of the half windows inside each full window the one with the
-smallest hash stands for it, the same one in every copy of the window, so about two of nine places
-are sent instead of all. What repeats there is extended to the full windows around it, in the same
-shuffle, as equal windows have equal halves. ``longer_repeats`` goes on from there, to twice, four
-times and so on, until no candidate survives; the query has the one level and does not call it.
+of half the length that is asked for, and nothing but their hashes and places is sent. Of the half
+windows inside each full window the one with the smallest hash stands for it, the same one in every
+copy of the window, so about two of nine places are sent instead of all. The places that repeat go
+back to their texts, where alone the full windows around them are hashed, and these are compared in
+the second level. ``longer_repeats`` goes on from there, to twice, four times and so on, until no
+candidate survives; which words are covered by repeated windows does not change beyond the second
+level, so ``without_repeats`` ends with it.
 """
 
 from __future__ import annotations
@@ -17,15 +19,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gridagro.llm.common import HOT_KEYS, read, stored
 from gridagro.llm.text import Words, slices, sliding_least, windows
 
 #: Words of a window.
 LENGTH = 13
-#: Bytes of a window's hash that are sent beside the 8 of its half; only windows of equal halves are told apart by them.
-TAIL = 8
 #: One document in so many is looked at to learn which halves are hot; that decides where rows go, not what is found.
 LOOK = 64
 
@@ -33,11 +33,16 @@ LOOK = 64
 BATCH = 4 << 20
 
 _LAST = (1 << 63) - 1
-HALVES = "half long, doc long, place long, tails binary"
+HALVES = "half long, doc long, place long, n int"
+FULL = "name long, doc long, place long"
 
 
 def _documents(docs: DataFrame) -> DataFrame:
-    """(doc, tag, text): the doc_id, a null one after all others, and 20 bits that tell apart texts of one doc_id."""
+    """(doc, tag, text): the doc_id, a null one after all others, and 20 bits of the text.
+
+    Texts of one doc_id may agree in the tag. They then get one another's places as well, so whatever
+    is done at a place asks first whether this text has the window there.
+    """
     doc = F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST))
     return docs.select(doc.alias("doc"), F.shiftrightunsigned(F.xxhash64(docs["text"]), 44).alias("tag"), docs["text"])
 
@@ -81,7 +86,7 @@ _COLD = Hot(*[np.zeros(0, np.uint64)] * 2, np.zeros(0, np.int64))
 
 
 def _halves(rows: DataFrame, length: int, hot: Hot = _COLD) -> DataFrame:
-    """A row per half that stands for consecutive full windows: its hash, document, the first window, and their hashes.
+    """A row per half that stands for consecutive full windows: its hash, document, the first window, and their number.
 
     A window of a hot half is a row of its own under its full hash; the commonest of them are left out.
     """
@@ -100,10 +105,8 @@ def _halves(rows: DataFrame, length: int, hot: Hot = _COLD) -> DataFrame:
             first = np.flatnonzero(new)
             keys = np.where(alone[first], w.full[first], w.half[first]).view(np.int64)
             places = (np.asarray(batch.column(1))[w.text[first]] << 40) | w.at[first]
-            offsets = (np.append(first, len(new)) * TAIL).astype(np.int32)
-            tails = pa.py_buffer(w.full.view(np.uint8).reshape(-1, 8)[:, :TAIL].tobytes())
-            tails = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), tails])
-            yield pa.record_batch([pa.array(keys), pa.array(np.asarray(batch.column(0))[w.text[first]]), pa.array(places), tails], ["half", "doc", "place", "tails"])
+            times = np.diff(np.append(first, len(new))).astype(np.int32)
+            yield pa.record_batch([pa.array(keys), pa.array(np.asarray(batch.column(0))[w.text[first]]), pa.array(places), pa.array(times)], ["half", "doc", "place", "n"])
 
     return rows.mapInArrow(cut, HALVES)
 
@@ -138,15 +141,34 @@ def _hot(rows: DataFrame, length: int, least: int = 8) -> Hot:
     return Hot(halves, np.array([t[0] for t in top], np.uint64), np.array([t[1] for t in top], np.int64))
 
 
-def _cold_windows(rows: DataFrame, length: int, hot: Hot) -> DataFrame:
-    """(name, doc, place, first) of the windows in several documents, but for the commonest ones."""
+def _row(place: Column) -> tuple[Column, Column]:
+    """The tag and the first word of a place."""
+    return F.shiftrightunsigned(place, 40).alias("tag"), place.bitwiseAND((1 << 40) - 1).cast("int").alias("start")
+
+
+def _cold_windows(rows: DataFrame, packed: DataFrame, length: int, hot: Hot) -> DataFrame:
+    """(name, doc, place, first) of the windows in several documents, but for the commonest ones; the name is the window's hash."""
     together = Window.partitionBy("half")
-    shared = _halves(rows, length, hot).withColumn("low", F.min("doc").over(together)).withColumn("high", F.max("doc").over(together)).filter("low < high").drop("low", "high")
-    parts = shared.select("half", "doc", "place", "tails", F.explode(F.sequence(F.lit(0), (F.length("tails") / TAIL).cast("int") - 1)).alias("k"))
-    full = parts.select("half", F.substring("tails", F.col("k") * TAIL + 1, F.lit(TAIL)).alias("tail"), "doc", (F.col("place") + F.col("k")).alias("place"))
-    together = Window.partitionBy("half", "tail")
+    shared = _halves(rows, length, hot).withColumn("low", F.min("doc").over(together)).withColumn("high", F.max("doc").over(together)).filter("low < high")
+    wanted = shared.select("doc", *_row(F.col("place")), "n").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "n")).alias("candidates"))
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, docs, places = [], [], []
+            for doc, tag, text, candidates in zip(*[batch.column(i) for i in range(4)], strict=True):
+                w = Windows.of(pa.array([zstandard.decompress(text.as_py()).decode()]), length)
+                start, n = (np.asarray(x) for x in candidates.values.flatten())
+                at = np.unique(np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum()))
+                at = at[at < len(w.full)]
+                names.append(w.full[at].view(np.int64))
+                docs.append(np.full(len(at), doc.as_py()))
+                places.append(tag.as_py() << 40 | at)
+            yield pa.record_batch([pa.array(np.concatenate(x)) for x in (names, docs, places)], ["name", "doc", "place"])
+
+    full = packed.join(wanted, ["doc", "tag"]).select("doc", "tag", "packed", "candidates").mapInArrow(extend, FULL)
+    together = Window.partitionBy("name")
     found = full.withColumn("first", F.min("doc").over(together)).withColumn("last", F.max("doc").over(together)).filter("first < last")
-    return found.select(F.xxhash64("half", "tail").alias("name"), "doc", "place", "first")
+    return found.select("name", "doc", "place", "first")
 
 
 def _hot_windows(rows: DataFrame, length: int, hot: Hot) -> DataFrame:
@@ -188,7 +210,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     rows = _documents(docs)
     hot = _hot(rows, length)
-    found = _cold_windows(rows, length, hot)
+    found = _cold_windows(rows, _packed(rows), length, hot)
     if len(hot.windows):
         marked = _hot_windows(rows, length, hot).select("doc", "tag", F.explode("windows").alias("w"))
         place = F.shiftleft("tag", 40).bitwiseOR(F.col("w.start").cast("long"))
@@ -220,28 +242,33 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Words are runs without ASCII white space. A word goes if a window of ``length`` words covers it
     that also starts in a document with a smaller doc_id; windows are judged on the input. A null
     doc_id comes after all others. Null and empty texts have no words; texts shorter than a window keep
-    all; rows that share a doc_id do not take words from one another.
+    all; rows that share a doc_id do not take words from one another, however many they are. Texts are
+    worked on whole; only doc_id and text are read; an empty table gives no rows.
     """
     rows = _documents(docs)
+    packed = _packed(rows)
     hot = _hot(rows, length)
-    later = _cold_windows(rows, length, hot).filter("doc > first")
-    tag, start = F.shiftrightunsigned("place", 40), F.col("place").bitwiseAND((1 << 40) - 1).cast("int")
-    going = later.select("doc", tag.alias("tag"), start.alias("start")).groupBy("doc", "tag").agg(F.collect_list("start").alias("starts"))
+    later = _cold_windows(rows, packed, length, hot).filter("doc > first")
+    going = later.select("doc", *_row(F.col("place")), "name").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "name")).alias("going"))
     if len(hot.windows):
-        own = F.transform(F.filter("windows", lambda w: w["first"] < F.col("doc")), lambda w: w["start"])
-        marked = _hot_windows(rows, length, hot).select("doc", "tag", own.alias("starts")).filter(F.size("starts") > 0)
-        going = going.unionByName(marked).groupBy("doc", "tag").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    rows = _packed(rows).join(going, ["doc", "tag"], "left").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "packed", "starts")
+        own = F.transform(F.filter("windows", lambda w: w["first"] < F.col("doc")), lambda w: F.struct(w["start"].alias("start"), w["name"].alias("name")))
+        marked = _hot_windows(rows, length, hot).select("doc", "tag", own.alias("going")).filter(F.size("going") > 0)
+        going = going.unionByName(marked).groupBy("doc", "tag").agg(F.flatten(F.collect_list("going")).alias("going"))
+    left = packed.join(going, ["doc", "tag"], "left").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "packed", "going")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, kept, room = [], [], [], BATCH
-            for packed, starts in zip(batch.column(1), batch.column(2), strict=True):
-                words = zstandard.decompress(packed.as_py()).split()
+            for text, going in zip(batch.column(1), batch.column(2), strict=True):
+                text = zstandard.decompress(text.as_py())
+                words = text.split()
                 sizes.append(len(words))
-                if starts.is_valid:
+                if going.is_valid:
+                    at, names = (np.asarray(x) for x in going.values.flatten())
+                    full = Windows.of(pa.array([text.decode()]), length).full.view(np.int64)
+                    at, names = at[at < len(full)], names[at < len(full)]
+                    at = at[full[at] == names]  # another text of this doc_id may have sent the place
                     cover = np.zeros(len(words) + 1, np.int64)
-                    at = np.asarray(starts.values)
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + length, -1)
                     stay = np.flatnonzero(np.cumsum(cover[:-1]) == 0)
@@ -256,7 +283,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     yield pa.record_batch([ids, *[pa.array(x[-len(kept) :], pa.int64()) for x in (sizes, removed)], pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
                     kept, room = [], BATCH
 
-    return rows.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
+    return left.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridagro.llm import decontaminate, exact_dedup, language_model, mixing, near_dedup, substring_dedup
-from tests.llm.conftest import small_corpus
+from tests.llm.conftest import prose, small_corpus
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -107,12 +107,15 @@ def test_repeated_passages(corpus, length, hot, monkeypatch):
     assert bag(substring_dedup.without_repeats(corpus, length).collect()) == removed(length)
 
 
-def test_windows_are_sent_with_their_whole_hash(corpus):
+def test_every_window_has_a_half_and_is_named_by_its_whole_hash(corpus):
     np = language_model.np
     rows = substring_dedup._documents(corpus)
-    sent = b"".join(r.tails for r in substring_dedup._halves(rows, 13).collect())
     texts = substring_dedup.pa.array([r.text for r in rows.collect()], substring_dedup.pa.string())
-    assert sorted(np.frombuffer(sent, np.uint64).tolist()) == sorted(substring_dedup.Windows.of(texts, 13).full.tolist())
+    every = substring_dedup.Windows.of(texts, 13)
+    sent = substring_dedup._halves(rows, 13).collect()
+    assert sum(r.n for r in sent) == len(every.full) and {r.half for r in sent} == set(every.half.view(np.int64).tolist())
+    found = {r.name for r in substring_dedup.repeated_windows(corpus, 13).collect()}
+    assert found and found <= set(every.full.view(np.int64).tolist())
 
 
 def test_longer_repeats(spark):
@@ -296,3 +299,18 @@ def test_components(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(30)}, 200: 200, 201: 200, 300: 300, 301: 300, 302: 300}
     assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+@pytest.mark.parametrize("ids", ["null", "one"])
+def test_repeats_of_many_texts_without_a_doc_id_of_their_own(spark, ids):
+    """Thousands of texts share a doc_id, so some share what tells them apart on the way, too."""
+    passage = prose(77, 20)
+    rows = [(1, f"{passage} unlike {prose(78, 16)}")]
+    rows += [(None if ids == "null" else 7, f"{passage} {prose(1000 + i, 5)}" if i % 2 else prose(20_000 + i, 16 + i % 21)) for i in range(6000)]
+    got = collections.Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substring_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = collections.Counter()
+    for k, (doc, text) in enumerate(rows):
+        words = text.split()
+        gone = 20 if k and text.startswith(passage) else 0
+        want[(doc, len(words), gone, " ".join(words[gone:]))] += 1
+    assert got == want
