@@ -33,6 +33,10 @@ LOOK = 64
 BATCH = 4 << 20
 
 _LAST = (1 << 63) - 1
+#: Bits of a number of consecutive windows with one half, beside their first word in a long; there are fewer than ``length`` of them.
+_NUMBER = 16
+#: Bits of a window's hash that go beside its first word, to be compared with those of the text that the place has come to.
+_CHECK = 32
 HALVES = "half long, doc long, place long, n int"
 FULL = "name long, doc long, place long"
 
@@ -143,29 +147,35 @@ def _hot(rows: DataFrame, length: int, least: int = 8) -> Hot:
 
 def _row(place: Column) -> tuple[Column, Column]:
     """The tag and the first word of a place."""
-    return F.shiftrightunsigned(place, 40).alias("tag"), place.bitwiseAND((1 << 40) - 1).cast("int").alias("start")
+    return F.shiftrightunsigned(place, 40), place.bitwiseAND((1 << 40) - 1)
 
 
 def _cold_windows(rows: DataFrame, packed: DataFrame, length: int, hot: Hot) -> DataFrame:
     """(name, doc, place, first) of the windows in several documents, but for the commonest ones; the name is the window's hash."""
     together = Window.partitionBy("half")
     shared = _halves(rows, length, hot).withColumn("low", F.min("doc").over(together)).withColumn("high", F.max("doc").over(together)).filter("low < high")
-    wanted = shared.select("doc", *_row(F.col("place")), "n").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "n")).alias("candidates"))
+    tag, start = _row(F.col("place"))
+    wanted = shared.groupBy("doc", tag.alias("tag")).agg(F.collect_list(F.shiftleft(start, _NUMBER).bitwiseOR(F.col("n").cast("long"))).alias("candidates"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, docs, places = [], [], []
             for doc, tag, text, candidates in zip(*[batch.column(i) for i in range(4)], strict=True):
+                if not candidates.is_valid:
+                    continue
                 w = Windows.of(pa.array([zstandard.decompress(text.as_py()).decode()]), length)
-                start, n = (np.asarray(x) for x in candidates.values.flatten())
+                both = np.asarray(candidates.values)
+                start, n = both >> _NUMBER, both & ((1 << _NUMBER) - 1)
                 at = np.unique(np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum()))
                 at = at[at < len(w.full)]
                 names.append(w.full[at].view(np.int64))
                 docs.append(np.full(len(at), doc.as_py()))
                 places.append(tag.as_py() << 40 | at)
-            yield pa.record_batch([pa.array(np.concatenate(x)) for x in (names, docs, places)], ["name", "doc", "place"])
+            if names:
+                yield pa.record_batch([pa.array(np.concatenate(x)) for x in (names, docs, places)], ["name", "doc", "place"])
 
-    full = packed.join(wanted, ["doc", "tag"]).select("doc", "tag", "packed", "candidates").mapInArrow(extend, FULL)
+    # a left join, as that of the results, so that both have the same exchange of the texts and Spark makes it once
+    full = packed.join(wanted, ["doc", "tag"], "left").select("doc", "tag", "packed", "candidates").mapInArrow(extend, FULL)
     together = Window.partitionBy("name")
     found = full.withColumn("first", F.min("doc").over(together)).withColumn("last", F.max("doc").over(together)).filter("first < last")
     return found.select("name", "doc", "place", "first")
@@ -236,6 +246,11 @@ def longer_repeats(found: DataFrame, length: int = LENGTH) -> DataFrame:
     return out.groupBy("doc", "place").agg(F.max("words").alias("words"))
 
 
+def _going(start: Column, name: Column) -> Column:
+    """The first word of a window and the last bits of its hash, in one long."""
+    return F.shiftleft(start, _CHECK).bitwiseOR(name.bitwiseAND((1 << _CHECK) - 1))
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed and kept, the words that stay, joined by one space.
 
@@ -249,11 +264,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     packed = _packed(rows)
     hot = _hot(rows, length)
     later = _cold_windows(rows, packed, length, hot).filter("doc > first")
-    going = later.select("doc", *_row(F.col("place")), "name").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "name")).alias("going"))
+    tag, start = _row(F.col("place"))
+    going = later.select("doc", tag.alias("tag"), _going(start, F.col("name")).alias("going"))
     if len(hot.windows):
-        own = F.transform(F.filter("windows", lambda w: w["first"] < F.col("doc")), lambda w: F.struct(w["start"].alias("start"), w["name"].alias("name")))
-        marked = _hot_windows(rows, length, hot).select("doc", "tag", own.alias("going")).filter(F.size("going") > 0)
-        going = going.unionByName(marked).groupBy("doc", "tag").agg(F.flatten(F.collect_list("going")).alias("going"))
+        marked = _hot_windows(rows, length, hot).select("doc", "tag", F.explode("windows").alias("w")).filter("w.first < doc")
+        going = going.unionByName(marked.select("doc", "tag", _going(F.col("w.start").cast("long"), F.col("w.name")).alias("going")))
+    going = going.groupBy("doc", "tag").agg(F.collect_list("going").alias("going"))
     left = packed.join(going, ["doc", "tag"], "left").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "packed", "going")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,10 +280,11 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 words = text.split()
                 sizes.append(len(words))
                 if going.is_valid:
-                    at, names = (np.asarray(x) for x in going.values.flatten())
-                    full = Windows.of(pa.array([text.decode()]), length).full.view(np.int64)
-                    at, names = at[at < len(full)], names[at < len(full)]
-                    at = at[full[at] == names]  # another text of this doc_id may have sent the place
+                    both = np.asarray(going.values)
+                    full = Windows.of(pa.array([text.decode()]), length).full
+                    both = both[both >> _CHECK < len(full)]
+                    at = both >> _CHECK
+                    at = at[full[at] & np.uint64((1 << _CHECK) - 1) == (both & ((1 << _CHECK) - 1)).view(np.uint64)]  # another text of this doc_id may have sent the place
                     cover = np.zeros(len(words) + 1, np.int64)
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + length, -1)
