@@ -265,22 +265,21 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     hot = _hot(rows, length)
     later = _cold_windows(rows, packed, length, hot).filter("doc > first")
     tag, start = _row(F.col("place"))
-    going = later.select("doc", tag.alias("tag"), _going(start, F.col("name")).alias("going"))
-    if len(hot.windows):
-        marked = _hot_windows(rows, length, hot).select("doc", "tag", F.explode("windows").alias("w")).filter("w.first < doc")
-        going = going.unionByName(marked.select("doc", "tag", _going(F.col("w.start").cast("long"), F.col("w.name")).alias("going")))
-    going = going.groupBy("doc", "tag").agg(F.collect_list("going").alias("going"))
-    left = packed.join(going, ["doc", "tag"], "left").select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "packed", "going")
+    going = later.select("doc", tag.alias("tag"), _going(start, F.col("name")).alias("going")).groupBy("doc", "tag").agg(F.collect_list("going").alias("going"))
+    own = F.transform(F.filter("windows", lambda w: w["first"] < F.col("doc")), lambda w: _going(w["start"].cast("long"), w["name"]))
+    common = _hot_windows(rows, length, hot).select("doc", "tag", own.alias("own")).groupBy("doc", "tag").agg(F.flatten(F.collect_list("own")).alias("common"))
+    left = packed.join(going, ["doc", "tag"], "left").join(common, ["doc", "tag"], "left")
+    left = left.select(F.nullif("doc", F.lit(_LAST)).alias("doc_id"), "packed", "going", "common")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, kept, room = [], [], [], BATCH
-            for text, going in zip(batch.column(1), batch.column(2), strict=True):
+            for text, *lists in zip(*[batch.column(i) for i in (1, 2, 3)], strict=True):
                 text = zstandard.decompress(text.as_py())
                 words = text.split()
                 sizes.append(len(words))
-                if going.is_valid:
-                    both = np.asarray(going.values)
+                both = np.concatenate([np.zeros(0, np.int64), *[np.asarray(going.values) for going in lists if going.is_valid]])
+                if len(both):
                     full = Windows.of(pa.array([text.decode()]), length).full
                     both = both[both >> _CHECK < len(full)]
                     at = both >> _CHECK
