@@ -45,9 +45,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, out, text); the tag of 20 bits tells apart texts of one doc_id."""
-    tag = F.shiftrightunsigned(F.xxhash64(docs["text"]), 44)
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), tag.alias("tag"), held_out(docs["doc_id"]).alias("out"), docs["text"])
+    """(doc_id, tag, out, text); the tag, a hash of 64 bits, tells apart texts of one doc_id."""
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("tag"), held_out(docs["doc_id"]).alias("out"), docs["text"])
 
 
 def count_words(rows: DataFrame) -> DataFrame:

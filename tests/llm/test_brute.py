@@ -314,3 +314,14 @@ def test_repeats_of_many_texts_without_a_doc_id_of_their_own(spark, ids):
         gone = 20 if k and text.startswith(passage) else 0
         want[(doc, len(words), gone, " ".join(words[gone:]))] += 1
     assert got == want
+
+
+def test_base_scores_of_many_texts_without_a_doc_id(spark):
+    texts = [prose(50_000 + i, 3 + i % 4) for i in range(5000)]
+    rows = [(None, t) for t in texts] + [(2, texts[0]), (2, "a b")]
+    counts = collections.Counter(w for _, t in rows for w in [*t.lower().split(), None])  # neither null nor 2 is held out
+    total, kinds = sum(counts.values()), len(counts)
+    want = sorted((len(t.split()) + 1, round(sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (kinds + 1))) for w in [*t.lower().split(), None]), 6)) for _, t in rows)
+    got = language_model.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), frequent=20).collect()
+    assert sorted((r.n_known, round(r.base_score, 6)) for r in got) == want
+    assert {r.train_tokens for r in got} == {total} and not any(r.held_out for r in got)
