@@ -1217,6 +1217,29 @@ def result_table(spark, sf):
     return scan.read_result_table(spark, "gridagro_results")
 
 
+@query(f'select Idsim as "Idsim", {_VALUES} from raw', ("raw",))
+def stored_result_table(spark, sf):
+    """Results read from a table that the catalog holds."""
+    path = scratch_path(spark, "results")
+    name = "results_" + path.rsplit("-", 1)[1]
+    sinks.save_table(fx.raw_output(spark, sf).select("Idsim", *OUTPUT_VALUES), name, path)
+    return scan.read_result_table(spark, name)
+
+
+@query(
+    """select 'before' as stage, lat, lon, dem as "Band1" from cells
+    union all select 'after', lat, lon, dem from cells where mask = 1""",
+    ("cells",),
+)
+def mask_snapshots(spark, sf):
+    """Elevation before and after the crop mask, from both tables that masking leaves in the catalog."""
+    path = scratch_path(spark, "snapshots")
+    name = "dem_" + path.rsplit("-", 1)[1]
+    sinks.masked_with_snapshots(fx.dem(spark, sf), fx.mask(spark, sf), name, path)
+    stages = [spark.table(f"{name}_{stage}").select(F.lit(stage).alias("stage"), "lat", "lon", "Band1") for stage in ("before", "after")]
+    return cubes.union_by_name(stages)
+
+
 @query("select model, scenario, count(*) as n from parts where model <> 'Stics' group by all", ("parts",))
 def empty_refresh(spark, sf):
     """A model whose refresh brings no rows has none left."""

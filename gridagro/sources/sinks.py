@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridagro.functions import as_float, z_key
+from gridagro.operators.filters import apply_mask
 from gridagro.session import scratch_path
 
 _CELL = ("lat", "lon")
@@ -28,6 +29,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def save_table(df: DataFrame, name: str, path: str) -> DataFrame:
+    """``df`` as the catalog table ``name`` with its files at ``path``, which outlive the table; the stored table."""
+    df.write.mode("overwrite").option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def masked_with_snapshots(grid: DataFrame, mask: DataFrame, name: str, path: str) -> DataFrame:
+    """``apply_mask`` that leaves the grid before and after it as the catalog tables ``<name>_before`` and ``<name>_after``.
+
+    The mask is applied to the stored grid, so what produced the grid runs once.
+    """
+    before = save_table(grid, f"{name}_before", f"{path}/before")
+    return save_table(apply_mask(before, mask), f"{name}_after", f"{path}/after")
+
+
 def _clustered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Rows gathered by output partition and sorted by cell.
 

@@ -63,6 +63,21 @@ def test_tables(spark, cube, tmp_path):
     assert spark.read.parquet(path).count() == 30
 
 
+def test_masking_leaves_both_snapshots_in_the_catalog(spark, tmp_path):
+    import uuid
+
+    grid = spark.createDataFrame([(1.0, 1.0, 5), (1.0, 2.0, 6), (2.0, 1.0, 7)], "lat double, lon double, v int")
+    mask = spark.createDataFrame([(1.0, 1.0, 1.0), (1.0, 2.0, 0.0), (2.0, 1.0, None)], "lat double, lon double, mask double")
+    name = f"s_{uuid.uuid4().hex}"
+    for _ in range(2):  # a second run replaces both
+        assert [r.v for r in sinks.masked_with_snapshots(grid, mask, name, str(tmp_path / "s")).collect()] == [5]
+    assert sorted(r.v for r in spark.table(f"{name}_before").collect()) == [5, 6, 7]
+    assert [r.v for r in scan.read_result_table(spark, f"{name}_after").collect()] == [5]
+    for stage in ("before", "after"):
+        spark.sql(f"drop table {name}_{stage}")
+    assert spark.read.parquet(str(tmp_path / "s" / "before")).count() == 3
+
+
 def test_points_skip_blank_lines(spark, tmp_path):
     file = tmp_path / "points.csv"
     file.write_text("lon,lat\n-16.125,16.175\n-16.275,14.125\n\n\n")
