@@ -8,12 +8,16 @@ repeats the check on measured sizes. The salts below carry the other case.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil, sqrt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: Parts of a key in joins whose keys can be hot; a cell or a point cannot, having one row per day.
 HOT_SPLITS = 8
 
+#: Copies of a table in a product up to which its other side need not be counted.
+FEW = 1_000_000
+
 _PART = "__part"
 _SLOT = "__slot"
 
@@ -52,22 +56,55 @@ def lookup_join(
     return facts.join(lookup, keys, how).select(*columns)
 
 
+def product_shape(slots: int, cells: int, table: int) -> tuple[int, int]:
+    """Rows and columns of the matrix of about ``slots`` tasks that makes a product of two sides with the fewest copies.
+
+    A cell is sent to all tasks of its row and a table row to all of its column, so cells x columns +
+    table x rows are shuffled. That is least where both are equal, about 2 sqrt(slots x cells x table).
+    """
+    columns = round(sqrt(slots * table / max(cells, 1)))
+    columns = min(max(columns, 1), slots)
+    return ceil(slots / columns), columns
+
+
 def grid_product(
-    cells: DataFrame, table: DataFrame, spread: Sequence[str] = ("lat", "lon"), slots: int | None = None
+    cells: DataFrame,
+    table: DataFrame,
+    spread: Sequence[str] = ("lat", "lon"),
+    slots: int | None = None,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Every cell with every row of ``table``, as an equi-join.
 
-    The product is the result itself (management per cell, time slices per cell). Cells are
-    hashed to slots and the rows of ``table`` are repeated once per slot, so each slot is an
-    even share of the product. Slots are partitions of a fixed number, one task each: they are
-    not merged for being small, as it is the output that is large. A merge join streams the
-    cells past the rows of the slot and spills, so no side has to fit in memory. ``slots``
-    defaults to ``spark.sql.shuffle.partitions``.
+    The product is the result itself (management per cell, time slices per cell). Tasks form a
+    matrix of about ``slots`` (``spark.sql.shuffle.partitions`` by default): cells are hashed to its
+    rows by ``spread``, the table to its columns by all it holds, and each is repeated along the other
+    side, so that each task has an even share of the product. A table that gives at most ``FEW`` rows
+    when repeated in all slots is (one column); beyond that both sides are counted, unless ``sizes``
+    tells their numbers of rows, and the matrix is the one with the fewest copies.
+
+    Tasks are partitions of a fixed number: they are not merged for being small, as it is the
+    output that is large. A merge join streams the cells past the rows of the task and spills, so no
+    side has to fit in memory.
     """
     if slots is None:
         slots = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slot = F.pmod(F.xxhash64(*spread), F.lit(slots)).cast("int")
-    every_slot = F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
-    placed = cells.withColumn(_SLOT, slot).repartitionById(slots, _SLOT)
-    repeated = table.withColumn(_SLOT, every_slot).repartitionById(slots, _SLOT)
+    if sizes is not None:
+        rows, columns = product_shape(slots, *sizes)
+    elif table.limit(FEW // slots + 1).count() <= FEW // slots:
+        rows, columns = slots, 1
+    else:
+        rows, columns = product_shape(slots, cells.count(), table.count())
+
+    def share(names: Sequence[str], parts: int) -> Column:
+        return F.pmod(F.xxhash64(*names), F.lit(parts)).cast("int")
+
+    def every(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    row = share(spread, rows)
+    placed = cells.withColumn(_SLOT, row) if columns == 1 else cells.withColumn(_PART, every(columns)).withColumn(_SLOT, row * columns + F.col(_PART)).drop(_PART)
+    column = share(table.columns, columns) if columns > 1 else F.lit(0)
+    repeated = table.withColumn(_PART, every(rows)).withColumn(_SLOT, F.col(_PART) * columns + column).drop(_PART)
+    placed, repeated = placed.repartitionById(rows * columns, _SLOT), repeated.repartitionById(rows * columns, _SLOT)
     return placed.join(repeated.hint("merge"), _SLOT).drop(_SLOT)
