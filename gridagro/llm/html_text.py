@@ -3,7 +3,8 @@
 A page is cut into blocks at block-level tags. A block is described by its own number of words and
 link density, those of the blocks before and after, and whether it lies in an element that is meant
 for the article or for what surrounds it. A decision tree grown from a small labelled table of pages
-says which blocks are main text.
+says which blocks are main text. Most of the labelled pages have no such elements and no telling
+classes, so that there words and links of a block and its neighbours decide.
 """
 
 from __future__ import annotations
@@ -33,11 +34,11 @@ _AROUND = frozenset("nav header footer aside form menu dialog head".split())
 _AROUND_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsored sponsor promo banner nav navbar navigation menu breadcrumb breadcrumbs sidebar header footer cookie"
     " cookies notice notices consent newsletter subscribe signup login comment comments discussion replies share sharing social related recommended popup modal"
-    " widget legal copyright disclaimer toolbar pagination pager".split()
+    " widget legal copyright disclaimer toolbar pagination pager adsbygoogle".split()
 )
 #: Words that may stand before or after such names in one class; with others (has-sidebar, no-comments) it says something else.
 _BEFORE = frozenset("site page main top bottom left right global primary secondary".split())
-_AFTER = frozenset("list item items box bar area block section inner links buttons posts".split())
+_AFTER = frozenset("list item items box bar area block section inner links buttons posts wrapper wrap container slot unit placeholder panel banner".split())
 #: Elements of the page or the article as a whole, whose classes say what else is there.
 _WHOLE = frozenset("html body main article".split())
 #: Elements that may be left open: those that end when one begins, up to the element that holds them.
@@ -48,8 +49,9 @@ _ENDS = {
 }
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*?)(?:>|\Z)|([^<]+|<)""", re.S
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|=)*?)(?:>|\Z)|([^<]+|<)""", re.S
 )
+_HUMP = re.compile("(?<=[a-z])(?=[A-Z])")
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -65,7 +67,7 @@ class Block:
 def _is_around(names: str) -> bool:
     """Whether any of the classes, ids or roles is as a whole the name of what surrounds an article."""
     for name in names.split():
-        words = [word for word in re.split(r"[^a-z]+", name) if word]
+        words = [word for word in re.split(r"[^a-z]+", _HUMP.sub("-", name).lower()) if word]
         while len(words) > 1 and words[0] in _BEFORE:
             del words[0]
         while len(words) > 1 and words[-1] in _AFTER:
@@ -146,9 +148,10 @@ def blocks_of(page: str) -> list[Block]:
                 if open_tags[k][0] in ended:
                     first = k
             close(first)
-        named = " ".join(x for found in _NAMED.findall(m[3]) for x in found).lower() if m[3] and name not in _WHOLE else ""
+        named = " ".join(x for found in _NAMED.findall(m[3]) for x in found) if m[3] and name not in _WHOLE else ""
         is_main = name in _MAIN
-        is_around = name in _AROUND or _is_around(named)
+        # the header of an article holds its headline, that of a page does not
+        is_around = name in _AROUND and not (name == "header" and main) or _is_around(named)
         open_tags.append((name, is_main, is_around))
         main, around, skipped = main + is_main, around + is_around, skipped + (name in _SKIPPED)
     end()
@@ -213,10 +216,48 @@ LABELLED_PAGES = (
 )
 
 
-def trained_tree(pages: Sequence[tuple[str, Sequence[str]]] = LABELLED_PAGES, depth: int = 5) -> tuple | float:
-    """The tree of labelled (html, texts of the main blocks)."""
+# Layouts of plain elements: what stands above the text, the text, what stands below it.
+_LONG = (_P, _Q, "The mayor said on Monday that help had been promised, but that it would not come before the harvest was in and counted.", "For three days the only way across was by boat, and the ferryman, who is over eighty, took no money from anyone.")
+_ABOVE = (
+    "", f"<div>{_MENU}</div>", "<div><a href='/'>Home</a> | <a href='/n'>News</a> | <a href='/s'>Sport</a></div>",
+    "<div>The Paper</div><div><a href='/n'>News</a></div><div><a href='/s'>Sport</a></div>", "<div><a href='/'>The Paper, news from the valley since 1901</a></div>",
+)
+_BELOW = (
+    "", "<div>Copyright 2020 The Paper. All rights reserved.</div>", "<div>© 2021 Valley Media</div>", "<div><a href='/i'>Imprint</a></div><div><a href='/p'>Privacy</a></div>",
+    "<div>Read more</div><ul><li><a href='/1'>A bridge too old</a></li><li><a href='/2'>What the river took from us that night</a></li></ul>",
+    "<div><a href='/t'>Terms of use</a> and <a href='/p'>privacy</a></div><div>Copyright 2019 by the publisher of this paper</div>",
+)
+_BODIES = (
+    (("h1", "The flood"), ("p", _LONG[0]), ("p", _LONG[1]), ("p", _LONG[2])),
+    (("h1", "A bridge is lost in the night"), ("p", _LONG[3]), ("p", "Nobody was hurt."), ("p", _LONG[2])),
+    (("p", _LONG[2]), ("li", "Three roads"), ("li", "Two barns and a mill"), ("li", "One school"), ("p", _LONG[3])),
+    (("h2", "Rain"), ("p", _LONG[1]), ("h3", "What comes next"), ("p", _LONG[0]), ("p", _R), ("p", _LONG[3])),
+    (("h1", "Help"), ("p", "Money has been promised for the roads and for the school too."), ("p", _LONG[2])),
+)
+
+
+_LAST = ("So.", "It was over by nine.", "Money has been promised for the roads and for the school too.", _Q, "<a href='/w'>The weather map</a>")
+
+
+def layouts() -> list[tuple[str, Sequence[str]]]:
+    """Every text between everything that may stand above and below it, in ``div`` and other plain elements.
+
+    After them articles that end in blocks of all lengths, also behind an aside and before a form of any length.
+    """
+    marked = [
+        (f"<body><nav>{above}</nav><article><h1>The flood</h1><p>{first}</p><aside>{aside}</aside><p>{last}</p><form>{aside}</form></article><footer>{below}</footer></body>", ["The flood", first, re.sub("<[^>]*>", "", last)])
+        for above in _ABOVE[1:3] for below in _BELOW[:4] for first in _LONG[2:] for aside in ("", "Sign up", "Your address will never be given to anybody else by us", _P) for last in _LAST
+    ]
+    return marked + [
+        (f"<body>{above}<div>{''.join(f'<{tag}>{text}</{tag}>' for tag, text in body)}</div>{below}</body>", [text for _, text in body])
+        for above in _ABOVE for body in _BODIES for below in _BELOW
+    ]
+
+
+def trained_tree(pages: Sequence[tuple[str, Sequence[str]]] | None = None, depth: int = 8) -> tuple | float:
+    """The tree of labelled (html, texts of the main blocks), ``LABELLED_PAGES`` and ``layouts`` by default."""
     x, y = [], []
-    for page, main in pages:
+    for page, main in (*LABELLED_PAGES, *layouts()) if pages is None else pages:
         blocks = blocks_of(page)
         x.append(features(blocks))
         y += [float(b.text in main) for b in blocks]
@@ -233,7 +274,7 @@ def main_text(page: str | None, tree: tuple | float) -> str:
 def extract_text(pages: DataFrame, tree: tuple | float | None = None) -> DataFrame:
     """One row per page: page_id, url, text and n_chars, its code points.
 
-    The whole html is read; a null or empty one gives an empty text. Pages may be cut off anywhere.
+    The whole html is read, however long; a null or empty one gives an empty text. Pages may be cut off anywhere.
     Other columns are left out; rows that repeat are extracted each; an empty table gives no rows.
     """
     tree = trained_tree() if tree is None else tree

@@ -76,3 +76,51 @@ def test_slices_keep_all_rows():
     assert [x for p in parts for x in p.column(0).to_pylist()] == list(range(7))
     assert len(parts) > 2
     assert sum(len(p) for p in T.slices(batch.slice(0, 0), 1)) == 0
+
+
+def test_words_and_links_of_neighbours_decide_without_marks():
+    """Pages that the tree was not grown from, in plain elements: all their blocks are judged right."""
+    from gridagro.llm import html_text
+
+    tree = html_text.trained_tree()
+    assert {"words", "links", "links after"} <= {html_text.FEATURES[k] for k in _splits(tree)}
+    a = "Wind and rain kept the boats in harbour for the whole of the week, said the harbour master on Friday."
+    b = "The catch will be small this year, and prices in the market have gone up by a quarter already since May."
+    c = "Two of the oldest boats were lifted out of the water and laid on the grass behind the chapel until the spring."
+    pages = (
+        (f"<div><a href=/>Start</a> <a href=/w>Weather</a></div><h1>Storm over the coast</h1><p>{a}</p><p>{b}</p><div>Copyright 2023 Coast Radio. All rights reserved.</div>", f"Storm over the coast\n{a}\n{b}"),
+        (f"<table><tr><td><a href=/>Start</a></td><td><a href=/s>Search</a></td></tr></table><div><h2>Boats</h2><p>{c}</p><p>No one objected.</p><p>{a}</p></div><div><a href=/x>About this station</a></div>", f"Boats\n{c}\nNo one objected.\n{a}"),
+        (f"<div>Coast Radio</div><div><a href=/a>Live</a></div><div><a href=/b>Archive</a></div><div>{a}</div><div>{b}</div><div>{c}</div><div>© 2024 Coast Radio</div>", f"{a}\n{b}\n{c}"),
+        (f"<div><p>{a}</p><ul><li>Nets and lines</li><li>A winch</li></ul><p>{b}</p></div><ul><li><a href=/1>More on fishing</a></li><li><a href=/2>Harbour prices in May</a></li></ul>", f"{a}\nNets and lines\nA winch\n{b}"),
+        (f"<div><h1>Harbour</h1><p>{b} See <a href=/t>the table</a>.</p><h3>Outlook</h3><p>{c}</p></div><div><a href=/t>Terms</a> and <a href=/p>privacy</a></div>", f"Harbour\n{b} See the table.\nOutlook\n{c}"),
+    )
+    for page, want in pages:
+        assert html_text.main_text(page, tree) == want
+
+
+def _splits(tree):
+    return set() if isinstance(tree, float) else {tree[0]} | _splits(tree[2]) | _splits(tree[3])
+
+
+def test_marks_quotes_and_headers_of_articles():
+    from gridagro.llm import html_text
+
+    tree = html_text.trained_tree()
+    pages = {
+        "<article><header><h1>A headline</h1></header><p>Words of it.</p></article>": "A headline\nWords of it.",
+        "<header><p>The Paper</p></header><article><p>Words of it.</p></article>": "Words of it.",
+        "<article><p class=x' id=a>One of two.</p><p>It's the other.</p></article>": "One of two.\nIt's the other.",
+        "<article><p title=\"a > b\" id='c > d'>Whole tag.</p></article>": "Whole tag.",
+        "<article><p>Words.</p><div class='cookie-banner-wrapper'>Cookies</div><div id=ad-slot-1>Buy</div><div class=adsbygoogle>Buy</div><div class=advertBox>Buy</div><p>End.</p></article>": "Words.\nEnd.",
+        "<article><div class='no-comments with-sidebar'><p>Words stay.</p></div></article>": "Words stay.",
+    }
+    for page, want in pages.items():
+        assert html_text.main_text(page, tree) == want, page
+
+
+def test_tree_separates_its_layouts():
+    from gridagro.llm import html_text
+
+    tree = html_text.trained_tree()
+    for page, main in html_text.layouts():
+        assert html_text.main_text(page, tree) == "\n".join(main)
