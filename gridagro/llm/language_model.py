@@ -2,7 +2,7 @@
 
 All training words are counted. The network predicts the class of the next word, then the word inside
 its class. Classes are slices of the most frequent words of about equal weight, one class holds all
-other words. A class of several words is a tree of nodes of at most 16 members, each with weights of
+other words. A class of several words is a tree of nodes of at most 8 members, each with weights of
 its own, and every frequent word has an input row that is added to that of its class. The number of
 frequent words grows with the square root of the training words. In the class of other words a word
 has its share of the counts, so the network needs those only as a sum per document, which a join delivers.
@@ -30,11 +30,11 @@ from gridagro.llm.text import Words, slices
 #: Frequent words at least, and for each square root of the training words; classes of about equal weight they are put in.
 FREQUENT, GROWTH, CLASSES = 32_768, 8, 64
 #: Size of the state, members of a node, words of a window.
-STATE, SMALL, SPAN = 24, 16, 16
+STATE, SMALL, SPAN = 24, 8, 32
 #: Documents trained side by side, the step size, and that of rows of words and nodes.
 SIDE, RATE, ROW_RATE = 256, 0.01, 0.05
 #: Rows of words and of nodes that are averaged together.
-BLOCKS = {0: 128, 4: 16}
+BLOCKS = {0: 128, 4: 32}
 
 _END = np.uint64(0x2545F4914F6CDD1D)
 
@@ -217,7 +217,7 @@ class Network:
             d[np.arange(len(some)), place] -= 1
             d /= n
             d_flat[some] += np.einsum("nw,nwh->nh", d, self.p[4][node])
-            rows[4].append(_sums(node, d[:, :, None] * flat[some][:, None, :], d))
+            rows[4].append(_node_sums(node, d, flat[some]))
         d_states = np.zeros_like(states)
         d_states[there] = d_flat
         d_inputs = np.empty((*x.shape, 3 * STATE), np.float32)
@@ -235,7 +235,10 @@ class Network:
         row = np.where(there, x, -1).ravel()
         used = np.flatnonzero(row >= 0)
         d_inputs = d_inputs.reshape(-1, 3 * STATE)[used]
-        rows[0].append(_sums(np.concatenate([row[used], self.v.above[row[used]]]), np.concatenate([d_inputs, d_inputs])))
+        # words first, then their classes from the sums of the words
+        word, times, (by_word,) = _sums(row[used], d_inputs)
+        names, _, (times, total) = _sums(np.concatenate([word, self.v.above[word]]), np.concatenate([times, times]), np.concatenate([by_word, by_word]))
+        rows[0].append((names, times, [total]))
         return grads, rows, states[-1]
 
 
@@ -247,6 +250,23 @@ def _sums(rows: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return rows[first], np.diff(np.append(first, len(rows))), [np.add.reduceat(v[order], first, axis=0) for v in values]
 
 
+def _node_sums(node: np.ndarray, d: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """``_sums`` of the products of d and h, and of d; nodes with many words are multiplied at once."""
+    order = np.argsort(node, kind="stable")
+    node, d, h = node[order], d[order], h[order]
+    first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+    ends = np.append(first[1:], len(node))
+    weights = np.empty((len(first), d.shape[1], h.shape[1]), np.float32)
+    large = ends - first >= 8
+    for k in np.flatnonzero(large):
+        np.matmul(d[first[k] : ends[k]].T, h[first[k] : ends[k]], out=weights[k])
+    few = np.repeat(~large, ends - first)
+    if few.any():
+        starts = np.cumsum(np.append(0, (ends - first)[~large]))[:-1]
+        weights[~large] = np.add.reduceat(d[few][:, :, None] * h[few][:, None, :], starts, axis=0)
+    return node[first], ends - first, [weights, np.add.reduceat(d, first, axis=0)]
+
+
 @dataclass
 class Texts:
     """The words of some texts as ids, each text ended, from the longest to the shortest."""
