@@ -276,12 +276,12 @@ def _blocks_sql(n: int, ranked: str) -> str:
 
 @query(_blocks_sql(fx.SUBDOMAINS, "mask = 1"), ("valid",))
 def assign_subdomain(spark, sf):
-    return inputs.valid_subdomains(fx.mask(spark, sf), fx.soil(spark, sf), fx.SUBDOMAINS)
+    return inputs.valid_subdomains(fx.mask(spark, sf), fx.soil(spark, sf), fx.SUBDOMAINS, degrees=False)
 
 
 @query(_blocks_sql(fx.SUBDOMAINS, "mask is not null"), ("valid",))
 def assign_subdomain_strict(spark, sf):
-    return inputs.valid_subdomains(fx.mask(spark, sf), fx.soil(spark, sf), fx.SUBDOMAINS, strict=True)
+    return inputs.valid_subdomains(fx.mask(spark, sf), fx.soil(spark, sf), fx.SUBDOMAINS, strict=True, degrees=False)
 
 
 @query(
@@ -289,7 +289,7 @@ def assign_subdomain_strict(spark, sf):
     ("valid",),
 )
 def take_subdomain(spark, sf):
-    blocks = inputs.valid_subdomains(fx.mask(spark, sf), fx.soil(spark, sf), fx.SUBDOMAINS)
+    blocks = inputs.valid_subdomains(fx.mask(spark, sf), fx.soil(spark, sf), fx.SUBDOMAINS, degrees=False)
     return partition.take_subdomain(blocks, 2)
 
 
@@ -300,7 +300,7 @@ def row_major(spark, sf):
 
 @query("select point, lon, lat, cell_lat, cell_lon from nearest", ("nearest",))
 def nearest_cells(spark, sf):
-    return nearest.nearest_cells(fx.points(spark, sf), fx.mask(spark, sf), fx.RES)
+    return nearest.nearest_cells(fx.points(spark, sf), fx.mask(spark, sf), fx.RES, degrees=False)
 
 
 @query(
@@ -308,7 +308,7 @@ def nearest_cells(spark, sf):
     ("nearest", "cells"),
 )
 def select_nearest(spark, sf):
-    return nearest.select_nearest(fx.mask(spark, sf), fx.points(spark, sf), fx.RES)
+    return nearest.select_nearest(fx.mask(spark, sf), fx.points(spark, sf), fx.RES, degrees=False)
 
 
 # ---------------------------------------------------------------- cubes
@@ -790,7 +790,7 @@ def _run(spark, sf, cube=None, texture_grid=None, **changes):
         grids=_grids(spark, sf),
         texture=texture_grid,
     )
-    settings = {"options": [1, 2, 3, 4], "first": 1996, "last": 1999, "varieties": fx.VARIETIES, "mode": "grid"}
+    settings = {"options": [1, 2, 3, 4], "first": 1996, "last": 1999, "varieties": fx.VARIETIES, "mode": "grid", "degrees": False}
     return prepare(sources, **{**settings, **changes})
 
 

@@ -21,7 +21,7 @@ def snapped(df: DataFrame) -> DataFrame:
 
 
 def in_degrees(df: DataFrame) -> DataFrame:
-    """The same rows; a coordinate that cannot be in degrees is an error, as some windows rely on their number."""
+    """The same rows; a coordinate that cannot be in degrees is an error."""
     beyond = (F.abs("lat") > 90) | (F.col("lon") < -180) | (F.col("lon") > 360)
     problem = F.raise_error(F.concat_ws(" ", F.lit("not in degrees:"), F.col("lat").cast("string"), F.col("lon").cast("string"))).cast("boolean")
     return df.filter(F.when(beyond, problem).otherwise(F.lit(True)))

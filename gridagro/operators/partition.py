@@ -14,14 +14,14 @@ def row_major_rank(cells: DataFrame) -> DataFrame:
     longitude), the counts are summed up to whole degrees of latitude, and a cell's position is
     its place inside its tile plus what lies before the tile. With cells unique on the 4-digit
     lattice, the windows see at most 10^4 cells per tile, the tiles of one degree of latitude,
-    and 181 degrees.
+    and one row for each whole degree that has cells.
     """
     tiled = cells.withColumns({"__degree": F.floor("lat"), "__band": F.floor("lon")})
     tiles = tiled.groupBy("__degree", "lat", "__band").agg(F.count(F.lit(1)).alias("__n"))
     degrees = tiles.groupBy("__degree").agg(F.sum("__n").alias("__n"))
 
     before = (Window.unboundedPreceding, -1)
-    over_degrees = Window.orderBy("__degree")  # at most 181 rows
+    over_degrees = Window.orderBy("__degree")  # one row per whole degree, at most 181 on the globe
     degree_offsets = degrees.select(
         "__degree",
         F.coalesce(F.sum("__n").over(over_degrees.rowsBetween(*before)), F.lit(0)).alias("__below"),
@@ -43,15 +43,17 @@ def row_major_rank(cells: DataFrame) -> DataFrame:
     )
 
 
-def assign_subdomain(cells: DataFrame, n: int, strict: bool = False) -> DataFrame:
+def assign_subdomain(cells: DataFrame, n: int, strict: bool = False, degrees: bool = True) -> DataFrame:
     """Split the cells with mask 1 into ``n`` row-major blocks whose sizes differ by at most one.
 
-    ``strict`` sizes the blocks on all cells with a mask value, also those that are not kept.
+    ``strict`` sizes the blocks on all cells with a mask value, also those that are not kept. Coordinates
+    that cannot be degrees are an error, unless ``degrees`` is false: then they are any plane lattice.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
     ranked_mask = F.col("mask").isNotNull() if strict else F.col("mask") == 1
-    unique = in_degrees(snapped(nulls_for_nans(cells))).filter(ranked_mask).groupBy(*CELL).agg(F.max("mask").alias("mask"))
+    placed = snapped(nulls_for_nans(cells))
+    unique = (in_degrees(placed) if degrees else placed).filter(ranked_mask).groupBy(*CELL).agg(F.max("mask").alias("mask"))
 
     size, longer = F.floor(F.col("n_cells") / n), F.col("n_cells") % n
     in_longer = longer * (size + 1)

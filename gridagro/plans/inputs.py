@@ -41,9 +41,9 @@ from gridagro.sources.schemas import (
 )
 
 
-def valid_subdomains(mask: DataFrame, soil: DataFrame, n: int, strict: bool = False) -> DataFrame:
+def valid_subdomains(mask: DataFrame, soil: DataFrame, n: int, strict: bool = False, degrees: bool = True) -> DataFrame:
     """Valid crop cells with their sub-domain. Written once, it serves every table below."""
-    return assign_subdomain(valid_cells(mask, soil) if strict else crop_cells(mask, soil), n, strict)
+    return assign_subdomain(valid_cells(mask, soil) if strict else crop_cells(mask, soil), n, strict, degrees)
 
 
 def _inside(df: DataFrame, cells: DataFrame | None) -> DataFrame:

@@ -63,6 +63,7 @@ def prepare(
     region: DataFrame | None = None,
     all_touched: bool = True,
     box: tuple[float, float, float, float] | None = None,
+    degrees: bool = True,
     **window,
 ) -> Run:
     """The tables of a run over the valid cells, or over the cells nearest to ``points``.
@@ -72,7 +73,8 @@ def prepare(
     every other plan, so that scans skip what lies outside. Climate and evapotranspiration are computed
     in one scan of the cube and written once; the units take their years from that table. With
     ``points`` mask and sub-domains do not apply, and a cell that is nearest to several points is
-    simulated once. ``points`` and ``region`` need ``res``, the spacing of the grid.
+    simulated once. ``points`` and ``region`` need ``res``, the spacing of the grid. Cells that cannot be in
+    degrees are an error, unless ``degrees`` is false.
     """
     if (points is not None or region is not None) and res is None:
         raise ValueError("points and regions need the spacing of the grid")
@@ -83,9 +85,9 @@ def prepare(
     if box is not None:
         mask = clip_bbox(mask, *box)
     if points is None:
-        valid = valid_subdomains(mask, soil_grid, subdomains)
+        valid = valid_subdomains(mask, soil_grid, subdomains, degrees=degrees)
     else:
-        nearest = nearest_cells(points, soil_grid, res).select(F.col("cell_lat").alias("lat"), F.col("cell_lon").alias("lon"))
+        nearest = nearest_cells(points, soil_grid, res, degrees).select(F.col("cell_lat").alias("lat"), F.col("cell_lon").alias("lon"))
         valid = unit_mask(nearest.distinct()).withColumn("subdomain", F.lit(0))
     height = snapped(sources.dem.select(*CELL, "Band1"))
     cells = stored(valid.join(height, list(CELL), "left"), "cells")
