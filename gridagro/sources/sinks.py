@@ -59,13 +59,14 @@ def _along_curve(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Rows in ranges of output partition and Z-order curve, one range per file, sorted along it.
 
     A file, and every page of it, covers a compact patch of cells with all their days, so the ranges
-    of latitude and of longitude are both narrow. Ranges are cut by a sample, for which Spark reads
+    of latitude and of longitude are both narrow. The days of a place on the curve may be cut too, so a
+    place with most of the rows is no single file. Ranges are cut by a sample, for which Spark reads
     the input once more: write from a stored table.
     """
     curve = z_key(F.col("lat"), F.col("lon"))
     time = [name for name in ("time",) if name in df.columns]
     placed = df.withColumn("__curve", curve)
-    return placed.repartitionByRange(*partitions, "__curve").sortWithinPartitions(*partitions, "__curve", *time).drop("__curve")
+    return placed.repartitionByRange(*partitions, "__curve", *time).sortWithinPartitions(*partitions, "__curve", *time).drop("__curve")
 
 
 def float32(df: DataFrame) -> DataFrame:

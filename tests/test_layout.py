@@ -59,3 +59,22 @@ def test_a_box_reads_few_pages(spark, stored, box, share):
     assert reads[True] <= share * n
     if box[1] == -90.0:  # a strip of longitude: only the curve helps
         assert reads[False] > 0.95 * n > 3 * reads[True]
+
+
+def test_key_names_each_coordinate_few_times():
+    """Shifts and masks on one name doubled it in each step: some hundred copies of each coordinate, evaluated for every row."""
+    text = str(gf.z_key(F.col("lat"), F.col("lon")))
+    assert text.count("lat") <= 3 and text.count("lon") <= 3
+
+
+def test_one_cell_is_cut_by_its_days(spark, tmp_path):
+    """A place on the curve with all the rows is no single file: cells beyond 90 share one latitude on it."""
+    days = spark.range(20_000).select(F.expr("date_add(date'2001-01-01', cast(id % 365 as int))").alias("time"), F.lit(95.0).alias("lat"), F.lit(1.0).alias("lon"), F.col("id").alias("v"))
+    path = str(tmp_path / "cube")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sinks.write_by_year(days, path, z_order=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    back = spark.read.parquet(path)
+    assert back.count() == 20_000 and back.select("_metadata.file_path").distinct().count() > 1
