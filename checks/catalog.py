@@ -1060,7 +1060,7 @@ def write_by_year(spark, sf):
 def files_by_pattern(spark, sf):
     """Rows of real files whose names tell variable and years; a file that names neither is left out."""
     path = scratch_path(spark, "named")
-    daily = fx.cube(spark, sf)
+    daily = sinks.stored(fx.cube(spark, sf).select("time", "lat", "lon", "pr", "tmax", "wind"), "cube")
     for variable in ("pr", "tmax"):
         for first, last in ((1990, 1995), (1996, 1999)):
             part = daily.filter(F.year("time") < 1996 if first == 1990 else F.year("time") >= 1996)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridagro.functions import parse_file_name, strict_cast
 from gridagro.operators.filters import conform
+from gridagro.operators.joins import lookup_join
 from gridagro.operators.region import ring_edges
 from gridagro.sources.schemas import POINTS, RAW_OUTPUT
 from gridagro.sources.sinks import stored
@@ -22,9 +23,16 @@ def read_cube(spark: SparkSession, path: str, first: int, last: int) -> DataFram
 
 
 def files_by_pattern(df: DataFrame, pattern: str, path: str = "_metadata.file_path") -> DataFrame:
-    """Rows whose file name matches ``pattern``, with the variable and years it names."""
-    names = df.withColumns(parse_file_name(F.col(path), pattern))
-    return names.filter(F.col("variable").isNotNull())
+    """Rows whose file name matches ``pattern``, with the variable and years it names.
+
+    Each name is parsed once, not for every row: the paths are found in a pass that reads no column, and
+    both they and their names are stored, one row per file, as a condition on a name would be moved to the
+    rows. Rows meet their names by the path.
+    """
+    placed = df.withColumn("__file", F.col(path))
+    files = stored(placed.select("__file").distinct(), "files")
+    names = stored(files.withColumns(parse_file_name(F.col("__file"), pattern)).filter(F.col("variable").isNotNull()), "names")
+    return lookup_join(placed, names, ["__file"], "inner").drop("__file")
 
 
 def _fields(line: Column, width: int) -> Column:
