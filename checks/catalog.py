@@ -775,8 +775,11 @@ def _season_sql() -> str:
 
 @query(_season_sql(), (*_UNIT_VIEWS, "management"))
 def season_climate(spark, sf):
-    climate = sinks.stored(_climate(spark, sf).withColumn("Etppm", F.col("tmax") / 2), "climate")
-    seasonal = units.season_climate(sinks.stored(_units_global(spark, sf, climate), "units"), climate)
+    cells = _cells(spark, sf)
+    daily = inputs.climate_table(fx.cube(spark, sf, cells), cells).withColumn("Etppm", F.col("tmax") / 2)
+    climate = sinks.stored(daily.select("idPoint", "w_date", "year", "rain", "Etppm", "tmin", "tmax", "tmoy"), "climate")
+    simulated = _units_global(spark, sf, climate).select("idsim", "idPoint", "StartYear", "StartDay", "EndYear", "EndDay")
+    seasonal = units.season_climate(sinks.stored(simulated, "units"), climate)
     return rounded(rounded(seasonal, 8, "tmin", "tmax", "tmoy"), 6, "rain", "Etppm")
 
 

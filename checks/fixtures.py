@@ -11,6 +11,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridagro.functions import point_id
+from gridagro.operators.filters import apply_mask
 from gridagro.operators.region import ring_edges
 
 #: The lattice has no end: a table of more than 15,550 suppliers has rows beyond 90, so its coordinates are not degrees.
@@ -100,12 +101,18 @@ def soil(spark, sf) -> DataFrame:
 
 
 @cache
-def cube(spark, sf) -> DataFrame:
-    """Daily climate, sparse: time, lat, lon and the variables under their source names."""
+def cube(spark, sf, among: DataFrame | None = None) -> DataFrame:
+    """Daily climate, sparse: time, lat, lon and the variables under their source names.
+
+    ``among`` is a mask whose cells alone are aggregated; all lines are read.
+    """
     low, high = F.min("l_quantity"), F.max("l_quantity")
+    lines = table(spark, sf, "lineitem")
+    if among is not None:
+        k = F.col("l_suppkey")
+        lines = apply_mask(lines.withColumns({"lat": lat_of(k), "lon": lon_of(k)}), among)
     return (
-        table(spark, sf, "lineitem")
-        .groupBy(F.col("l_suppkey").alias("k"), F.to_date("l_shipdate").alias("time"))
+        lines.groupBy(F.col("l_suppkey").alias("k"), F.to_date("l_shipdate").alias("time"))
         .agg(
             (high / 4 + 8).alias("srad"),
             (low / 5 + 15 + F.max("l_discount") * 100).alias("tmax"),

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, Window as Spans, functions as F
 from gridagro.functions import Window, day_of, fixed_window, sim_id, sowing_window
 from gridagro.operators.aggregates import coordinate_years
 from gridagro.operators.filters import conform, unfertilised_code
-from gridagro.operators.joins import HOT_SPLITS, grid_product, lookup_join
+from gridagro.operators.joins import FEW, HOT_SPLITS, grid_product, lookup_join
 from gridagro.sources.schemas import SIM_UNITS
+from gridagro.sources.sinks import stored
 
 UNIT_KEYS = ("idPoint", "idMangt", "IdSoil", "StartYear", "idOption")
 
@@ -130,15 +131,16 @@ def order_units(units: DataFrame) -> DataFrame:
 def season_climate(units: DataFrame, climate: DataFrame) -> DataFrame:
     """Climate inside the window of each unit: sums of rain and ET, mean temperatures, day count.
 
-    Units that share a window are computed once. The days of a point and year get running sums of
-    each variable and of its known values; a window is the sum up to its last day less that up to the
-    day before its first, whatever its length. Both ends of a window stand among the days as rows of
+    Units that share a window are computed once; the windows are stored with their numbers of units. The
+    days of a point and year get running sums of each variable and of its known values; a window is the
+    sum up to its last day less that up to the day before its first, whatever its length. Both ends of a window stand among the days as rows of
     their own, in the order of days, so they are looked up by the same running sum, gaps or not. A
     running sum covers one year at most, which keeps it as exact as adding up the window.
     """
     first, last = day_of(F.col("StartYear"), F.col("StartDay")), day_of(F.col("EndYear"), F.col("EndDay"))
-    dated = units.select("idsim", "idPoint", "StartYear", "EndYear", first.alias("first"), last.alias("last"))
-    windows = dated.select("idPoint", "StartYear", "EndYear", "first", "last").distinct()
+    dated = units.select("idsim", "idPoint", first.alias("first"), last.alias("last"))
+    windows = stored(dated.groupBy("idPoint", "first", "last").agg(F.count(F.lit(1)).alias("n")), "windows")
+    hottest = windows.agg(F.max("n")).first()[0] or 0
 
     sums, means = ("rain", "Etppm"), ("tmin", "tmax", "tmoy")
     values = (*sums, *means)
@@ -147,7 +149,8 @@ def season_climate(units: DataFrame, climate: DataFrame) -> DataFrame:
 
     # In its last year a window is added up to its last day, in earlier ones to the year's last; in its first year what is before it is taken off.
     opening, closing = F.unix_date(F.make_date("year", F.lit(1), F.lit(1))), F.unix_date(F.make_date("year", F.lit(12), F.lit(31)))
-    per_year = windows.filter("first <= last").withColumn("year", F.explode(F.sequence("StartYear", "EndYear")))
+    years = F.sequence(*[F.year(F.date_from_unix_date(F.col(name).cast("int"))) for name in ("first", "last")])
+    per_year = windows.filter("first <= last").withColumn("year", F.explode(years))
     ends = F.array(F.struct(F.least(F.col("last"), closing).alias("day"), F.lit(1).alias("end")), F.struct((F.col("first") - 1).alias("day"), F.lit(-1).alias("end")))
     looked_up = F.filter(ends, lambda e: (e["end"] == 1) | (e["day"] >= opening))
     edges = per_year.select("idPoint", "year", "first", "last", F.inline(looked_up))
@@ -166,9 +169,10 @@ def season_climate(units: DataFrame, climate: DataFrame) -> DataFrame:
         *[F.when(F.col(f"n_{name}") > 0, F.col(name)).alias(name) for name in sums],
         *[F.try_divide(name, f"n_{name}").alias(name) for name in means],
     )
-    # A window may be shared by most units, hence the split by unit id.
+    # A window may be shared by most units, hence the split by unit id; if none is, a split would only repeat the totals.
+    splits = HOT_SPLITS if hottest > FEW else 1
     return (
-        lookup_join(dated.drop("StartYear", "EndYear"), totals, ["idPoint", "first", "last"], "left", spread=["idsim"], splits=HOT_SPLITS)
+        lookup_join(dated, totals, ["idPoint", "first", "last"], "left", spread=["idsim"], splits=splits)
         .drop("first", "last")
         .withColumn("n_days", F.coalesce("n_days", F.lit(0).cast("long")))
     )

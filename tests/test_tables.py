@@ -219,3 +219,21 @@ def test_season_climate_does_not_depend_on_the_length_of_windows(spark):
     assert got["back"].n_days == 0 and got["back"].rain is None
     plan = units.season_climate(spark.createDataFrame(windows, schema), climate)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan and plan.count("Window [") == 1
+
+
+def test_season_climate_takes_windows_by_their_days(spark):
+    """A window that ends on day 0 of a year is that to the last day of the year before: its days count once."""
+    climate = spark.createDataFrame([("p", f"2000-12-{d}", 1.0, 2.0, 3.0, 4.0, 5.0) for d in (29, 30, 31)], "idPoint string, w_date string, rain double, Etppm double, tmin double, tmax double, tmoy double")
+    table = spark.createDataFrame([("a", "p", 2000, 364, 2000, 366), ("b", "p", 2000, 364, 2001, 0)], "idsim string, idPoint string, StartYear int, StartDay int, EndYear int, EndDay int")
+    assert [(r.n_days, r.rain, r.tmin) for r in units.season_climate(table, climate).collect()] == [(3, 3.0, 3.0)] * 2
+
+
+def test_season_climate_repeats_totals_for_hot_windows_only(spark, monkeypatch):
+    climate = spark.createDataFrame([("p", "2000-01-02", 1.0, 2.0, 3.0, 4.0, 5.0)], "idPoint string, w_date string, rain double, Etppm double, tmin double, tmax double, tmoy double")
+    table = spark.createDataFrame([(f"u{i}", "p", 2000, 1, 2000, 9) for i in range(40)], "idsim string, idPoint string, StartYear int, StartDay int, EndYear int, EndDay int")
+    plain = units.season_climate(table, climate)
+    monkeypatch.setattr(units, "FEW", 30)
+    split = units.season_climate(table, climate)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (plain, split)]
+    assert ["__part" in plan for plan in plans] == [False, True]
+    assert sorted(plain.collect()) == sorted(split.collect()) and plain.filter("n_days = 1").count() == 40
