@@ -3,10 +3,12 @@
 import os
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import Window, functions as F
 
 from checks import catalog, fixtures as fx
+from checks.compare import connect, differences
 from gridagro.operators.nearest import nearest_cells
 from gridagro.operators.partition import assign_subdomain
 
@@ -44,3 +46,19 @@ def test_queries_go_beyond_ninety(spark, tmp_path, name):
         df.withColumns({key: F.col(key) + 16_000 for key in keys}).write.parquet(f"{sf}/{table}.parquet")
     assert fx.cells(spark, sf).agg(F.min("lat")).first()[0] > 90
     assert catalog.QUERIES[name](spark, sf).count() > 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
+def test_queries_beyond_ninety_equal_the_sql(spark, tmp_path):
+    """All tables of the smallest size, the suppliers (and what names them) also with keys from 16,000 on."""
+    sf = str(tmp_path)
+    for file in os.listdir("/root/testdata/sf0.001"):
+        os.symlink(f"/root/testdata/sf0.001/{file}", f"{sf}/{file}")
+    for table, key in {"supplier": "s_suppkey", "lineitem": "l_suppkey"}.items():
+        os.unlink(f"{sf}/{table}.parquet")
+        shifted = f"select * replace ({key} + 16000 * i as {key}) from (select unnest([0, 1]) as i), '/root/testdata/sf0.001/{table}.parquet'"
+        duckdb.sql(f"copy (select * exclude (i) from ({shifted})) to '{sf}/{table}.parquet'")
+    con = connect(sf)
+    for name in ["assign_subdomain_strict", "nearest_cells", "select_nearest", "prepare_at_points", "prepare_cells", "prepare_from_variables", "prepare_management", "prepare_soil", "prepare_soil_with_texture", "prepare_units", "prepare_weather"]:
+        rows, problem = differences(spark, con, name, sf)
+        assert rows and not problem, name
