@@ -33,6 +33,8 @@ FREQUENT, GROWTH, CLASSES = 32_768, 8, 64
 STATE, SMALL, SPAN = 24, 8, 32
 #: Documents trained side by side, the step size, and that of rows of words and nodes.
 SIDE, RATE, ROW_RATE = 256, 0.01, 0.05
+#: Words of a node or row that are added up one by one; sums of more are products.
+MANY = 6
 #: Rows of words and of nodes that are averaged together.
 BLOCKS = {0: 128, 4: 32}
 
@@ -153,40 +155,80 @@ class Network:
             np.concatenate([np.zeros((len(vocabulary.words), 3 * STATE), np.float32), small(vocabulary.groups, 3 * STATE)]), small(STATE, 3 * STATE) * 2,
             small(STATE, vocabulary.groups) * 0.1, vocabulary.prior.copy(), small(len(vocabulary.start), SMALL, STATE) * 0.1, vocabulary.start.copy(),
         ]
+        #: Whether the row of a word has that of its class added already, as for scoring.
+        self.summed = False
         #: Words that each row of words or nodes was learned from.
         self.seen = {k: np.zeros(len(self.p[k]), np.int64) for k in BLOCKS}
 
+    def with_sums(self) -> list[np.ndarray]:
+        """The parameters for scoring, in which the row of a word has that of its class added."""
+        return [self.p[0] + self.p[0][self.v.above], *self.p[1:]]
+
     def run(self, h: np.ndarray, x: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """States after each of the inputs x (steps, texts), from the states h; ``keep`` gets what backpropagation needs."""
-        table, inner = self.p[0], self.p[1]
-        out = np.empty((len(x), *h.shape), np.float32)
-        for t in range(len(x)):
-            from_input, from_state = table[x[t]] + table[self.v.above[x[t]]], h @ inner
-            gates = 1 / (1 + np.exp(-(from_input[:, : 2 * STATE] + from_state[:, : 2 * STATE])))
-            z, r = gates[:, :STATE], gates[:, STATE:]
-            n = np.tanh(from_input[:, 2 * STATE :] + r * from_state[:, 2 * STATE :])
-            if keep is not None:
-                keep.append((h, z, r, n, from_state[:, 2 * STATE :]))
-            h = n + z * (h - n)
-            out[t] = h
-        return out
+        """States after each of the inputs x (steps, texts), from the states h; ``keep`` gets what backpropagation needs.
+
+        Inside, texts are the last axis: the planes of the gates are then in one piece and are worked on in place.
+        """
+        table, inner, h = self.p[0], self.p[1].T, np.ascontiguousarray(h.T)
+        kind, steps = self.p[1].dtype, len(x)
+        out = np.empty((steps, *h.shape), kind)
+        gates = np.empty((steps if keep is not None else 1, 3 * STATE, h.shape[1]), kind)
+        held = np.empty((len(gates), *h.shape), kind)
+        start, above = h, self.v.above[x]
+        for t in range(steps):
+            gate, inward = gates[t % len(gates)], held[t % len(gates)]
+            from_input = table.take(x[t], axis=0)
+            if not self.summed:
+                from_input += table.take(above[t], axis=0)
+            gate[:] = from_input.T
+            from_state = inner @ h
+            both, new = gate[: 2 * STATE], gate[2 * STATE :]
+            both += from_state[: 2 * STATE]
+            np.exp(np.negative(both, out=both), out=both)
+            both += 1
+            np.reciprocal(both, out=both)
+            inward[:] = from_state[2 * STATE :]
+            new += both[STATE:] * inward
+            np.tanh(new, out=new)
+            np.subtract(h, new, out=out[t])
+            out[t] *= both[:STATE]
+            out[t] += new
+            h = out[t]
+        if keep is not None:
+            keep.extend((np.concatenate([start[None], out[:-1]]), gates[:, :STATE], gates[:, STATE : 2 * STATE], gates[:, 2 * STATE :], held))
+        return out.transpose(0, 2, 1)
 
     def log_softmax(self, h: np.ndarray) -> np.ndarray:
-        logits = h @ self.p[2] + self.p[3]
-        logits -= logits.max(axis=1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        logits = self._class_scores(h)
+        return logits - np.log(_total(np.exp(logits)))
+
+    def _class_scores(self, h: np.ndarray) -> np.ndarray:
+        """What the classes have each, less the largest of all texts, or of each text where that is far below it."""
+        logits = h @ self.p[2]
+        logits += self.p[3]
+        logits -= logits.max(initial=-np.inf)
+        if logits.size and logits.min() < -60:
+            logits -= logits.max(axis=1, keepdims=True)
+        return logits
 
     def inside(self, h: np.ndarray, small: np.ndarray) -> np.ndarray:
-        logits = np.einsum("nh,nwh->nw", h, self.p[4][small]) + self.p[5][small]
-        logits -= logits.max(axis=1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        logits = self._scores(h, small, self.p[4][small])
+        return logits - np.log(_total(np.exp(logits)))
+
+    def _scores(self, h: np.ndarray, small: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the members of a node have each, less the largest."""
+        logits = np.matmul(weights, h[:, :, None])[:, :, 0] + self.p[5][small]
+        logits -= _largest(logits)
+        return logits
 
     def log_probability(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural logarithm for each word; for words that are not frequent only that of their class."""
         group = np.where(ids >= 0, self.v.group[ids], self.v.groups - 1)
-        out = self.log_softmax(h)[np.arange(len(ids)), group].astype(float)
+        logits = self._class_scores(h)
+        out = logits[np.arange(len(ids)), group] - np.log(_total(np.exp(logits)))[:, 0].astype(float)
         for some, node, place in self.v.ways(ids):
-            out[some] += self.inside(h[some], node)[np.arange(len(some)), place]
+            logits = self._scores(h[some], node, self.p[4].take(node, axis=0))
+            out[some] += logits[np.arange(len(some)), place] - np.log(_total(np.exp(logits)))[:, 0]
         return out
 
     def gradient(self, h: np.ndarray, x: np.ndarray, ids: np.ndarray, there: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -206,65 +248,103 @@ class Network:
         flat, words = states[there], ids[there]
         n = len(words)
         group = np.where(words >= 0, self.v.group[words], self.v.groups - 1)
-        d_logits = np.exp(self.log_softmax(flat))
-        d_logits[np.arange(n), group] -= 1
-        d_logits /= n
+        d_logits = self._class_scores(flat)
+        np.exp(d_logits, out=d_logits)
+        d_logits /= n * _total(d_logits)
+        d_logits[np.arange(n), group] -= 1 / n
         d_flat = d_logits @ self.p[2].T
         grads = [None, np.zeros_like(self.p[1]), flat.T @ d_logits, d_logits.sum(axis=0), None, None]
         rows: dict[int, list] = {0: [], 4: []}
         for some, node, place in self.v.ways(words):
-            d = np.exp(self.inside(flat[some], node))
-            d[np.arange(len(some)), place] -= 1
-            d /= n
-            d_flat[some] += np.einsum("nw,nwh->nh", d, self.p[4][node])
-            rows[4].append(_node_sums(node, d, flat[some]))
-        d_states = np.zeros_like(states)
+            order = np.argsort(node, kind="stable")
+            some, node, place = some[order], node[order], place[order]
+            here, weights = flat.take(some, axis=0), self.p[4].take(node, axis=0)
+            d = self._scores(here, node, weights)
+            np.exp(d, out=d)
+            d /= n * _total(d)
+            d[np.arange(len(some)), place] -= 1 / n
+            d_flat[some] += np.matmul(d[:, None, :], weights)[:, 0]
+            rows[4].append(_node_sums(node, d, here))
+        d_states = np.zeros(states.shape, flat.dtype)
         d_states[there] = d_flat
-        d_inputs = np.empty((*x.shape, 3 * STATE), np.float32)
-        d_h = np.zeros_like(h)
+        d_states = np.ascontiguousarray(d_states.transpose(0, 2, 1))
+        before, z, r, new, from_state = keep
+        # what the gradient of a state is multiplied by, for all steps at once: towards the inputs, and towards the state before
+        kind, inner = flat.dtype, self.p[1]
+        factors = np.empty((len(x), 3, *d_states.shape[1:]), kind)
+        np.multiply(1 - z, 1 - new * new, out=factors[:, 2])
+        np.multiply((before - new) * z, 1 - z, out=factors[:, 0])
+        np.multiply(factors[:, 2] * from_state * r, 1 - r, out=factors[:, 1])
+        d_inputs = np.empty((*x.shape, 3 * STATE), kind)
+        inward = np.empty_like(factors)
+        d_h = np.zeros(d_states.shape[1:], kind)
         for t in range(len(x) - 1, -1, -1):
-            before, z, r, new, from_state = keep[t]
-            d_h = d_h + d_states[t]
-            d_new = d_h * (1 - z) * (1 - new * new)
-            d_z = d_h * (before - new) * z * (1 - z)
-            d_r = d_new * from_state * r * (1 - r)
-            d_inputs[t] = np.concatenate([d_z, d_r, d_new], axis=1)
-            inward = np.concatenate([d_z, d_r, d_new * r], axis=1)
-            grads[1] += before.T @ inward
-            d_h = d_h * z + inward @ self.p[1].T
+            d_h += d_states[t]
+            np.multiply(factors[t], d_h, out=inward[t])
+            d_inputs[t] = inward[t].reshape(3 * STATE, -1).T
+            inward[t, 2] *= r[t]
+            d_h *= z[t]
+            d_h += inner @ inward[t].reshape(3 * STATE, -1)
+        grads[1] = np.matmul(before, inward.reshape(len(x), 3 * STATE, -1).transpose(0, 2, 1)).sum(axis=0)
         row = np.where(there, x, -1).ravel()
         used = np.flatnonzero(row >= 0)
-        d_inputs = d_inputs.reshape(-1, 3 * STATE)[used]
+        order = np.argsort(row[used], kind="stable")
+        d_inputs = d_inputs.reshape(-1, 3 * STATE).take(used[order], axis=0)
         # words first, then their classes from the sums of the words
-        word, times, (by_word,) = _sums(row[used], d_inputs)
-        names, _, (times, total) = _sums(np.concatenate([word, self.v.above[word]]), np.concatenate([times, times]), np.concatenate([by_word, by_word]))
-        rows[0].append((names, times, [total]))
+        word, times, by_word = _sums(row[used[order]], d_inputs)
+        order = np.argsort(self.v.above[word], kind="stable")
+        above, _, by_class = _sums(self.v.above[word][order], by_word[order])
+        met = np.add.reduceat(times[order], np.searchsorted(self.v.above[word][order], above))
+        own = word < len(self.v.words)  # the class of all other words is an input of its own
+        if not own[-1]:
+            by_class[-1] += by_word[-1]
+            met[-1] += times[-1]
+        rows[0].append((np.concatenate([word[own], above]), np.concatenate([times[own], met]), [np.concatenate([by_word[own], by_class])]))
         return grads, rows, states[-1]
 
 
-def _sums(rows: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """The different rows, how often each occurs, and the sums of its values."""
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
+def _largest(values: np.ndarray) -> np.ndarray:
+    """The largest of each row of a narrow table, column by column."""
+    out = values[:, 0].copy()
+    for k in range(1, values.shape[1]):
+        np.maximum(out, values[:, k], out=out)
+    return out[:, None]
+
+
+def _total(values: np.ndarray) -> np.ndarray:
+    """The sum of each row of a narrow table."""
+    return (values @ np.ones(values.shape[1], values.dtype))[:, None]
+
+
+def _runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs of equal rows begin, and their lengths."""
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    return rows[first], np.diff(np.append(first, len(rows))), [np.add.reduceat(v[order], first, axis=0) for v in values]
+    return first, np.diff(np.append(first, len(rows)))
+
+
+def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different ones of sorted rows, how often each occurs, and the sums of its values; short runs are added up side by side."""
+    first, times = _runs(rows)
+    out = values.take(first, axis=0)
+    for k in np.flatnonzero(times > MANY):
+        out[k] = np.ones(times[k], values.dtype) @ values[first[k] : first[k] + times[k]]
+    for j in range(1, MANY):
+        some = np.flatnonzero((times > j) & (times <= MANY))
+        out[some] += values[first[some] + j]
+    return rows[first], times, out
 
 
 def _node_sums(node: np.ndarray, d: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """``_sums`` of the products of d and h, and of d; nodes with many words are multiplied at once."""
-    order = np.argsort(node, kind="stable")
-    node, d, h = node[order], d[order], h[order]
-    first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-    ends = np.append(first[1:], len(node))
-    weights = np.empty((len(first), d.shape[1], h.shape[1]), np.float32)
-    large = ends - first >= 8
-    for k in np.flatnonzero(large):
-        np.matmul(d[first[k] : ends[k]].T, h[first[k] : ends[k]], out=weights[k])
-    few = np.repeat(~large, ends - first)
-    if few.any():
-        starts = np.cumsum(np.append(0, (ends - first)[~large]))[:-1]
-        weights[~large] = np.add.reduceat(d[few][:, :, None] * h[few][:, None, :], starts, axis=0)
-    return node[first], ends - first, [weights, np.add.reduceat(d, first, axis=0)]
+    first, times = _runs(node)
+    weights = d[first][:, :, None] * h[first][:, None, :]
+    for k in np.flatnonzero(times > MANY):
+        np.matmul(d[first[k] : first[k] + times[k]].T, h[first[k] : first[k] + times[k]], out=weights[k])
+    for j in range(1, MANY):
+        some = np.flatnonzero((times > j) & (times <= MANY))
+        at = first[some] + j
+        weights[some] += d[at][:, :, None] * h[at][:, None, :]
+    return node[first], times, [weights, np.add.reduceat(d, first, axis=0)]
 
 
 @dataclass
@@ -324,8 +404,11 @@ def learned_from(batches: Iterator[pa.RecordBatch], v: Vocabulary) -> tuple[Netw
                     for which, times, values in parts:
                         net.seen[k][which] += times
                         for j, g in zip((k, 5), values, strict=False):
-                            squares[j][which] += np.square(g).reshape(len(g), -1).mean(axis=1)
-                            net.p[j][which] -= g * (ROW_RATE / (np.sqrt(squares[j][which]) + 1e-9)).reshape(-1, *[1] * (g.ndim - 1))
+                            flat = g.reshape(len(g), -1)
+                            squared = squares[j][which] + np.einsum("nk,nk->n", flat, flat) / flat.shape[1]
+                            squares[j][which] = squared
+                            flat *= (ROW_RATE / (np.sqrt(squared) + 1e-9))[:, None]
+                            net.p[j][which] -= g
     return net, learned
 
 
@@ -392,24 +475,27 @@ def score_documents(docs: DataFrame, frequent: int | None = None) -> DataFrame:
     rows = _documents(docs)
     counts = count_words(rows)
     v = vocabulary(counts, frequent)
-    shared = spark.sparkContext.broadcast((v, train(rows, v).p))
+    shared = spark.sparkContext.broadcast((v, train(rows, v).with_sums()))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, parameters = shared.value
         net = Network(v, parameters)
+        net.summed = True
         logs = np.log10(v.counts + 0.5)
         for batch in (part for whole in batches for part in slices(whole, 3, 16 << 20)):
             texts = Texts.of(batch.column(3), v)
             total = np.zeros(len(batch))
-            sizes = np.diff(texts.bounds)[texts.order]
-            h = np.zeros((len(batch), STATE), np.float32)
-            for at in range(0, int(sizes[0]) if len(sizes) else 0, SPAN):
-                some = texts.order[: int((sizes > at).sum())]
-                ids, there = texts.window(some, at, SPAN)
-                states = net.run(h[: len(some)], texts.inputs(v, ids, some, at))
-                h = states[-1]
-                which = np.broadcast_to(some, there.shape)[there]
-                total += np.bincount(which, net.log_probability(states[there], ids[there]), len(batch))
+            for k in range(0, len(batch), SIDE):
+                side = texts.order[k : k + SIDE]
+                sizes = texts.bounds[side + 1] - texts.bounds[side]
+                h = np.zeros((len(side), STATE), np.float32)
+                for at in range(0, int(sizes[0]), SPAN):
+                    some = side[: int((sizes > at).sum())]
+                    ids, there = texts.window(some, at, SPAN)
+                    states = net.run(h[: len(some)], texts.inputs(v, ids, some, at))
+                    h = states[-1]
+                    which = np.broadcast_to(some, there.shape)[there]
+                    total += np.bincount(which, net.log_probability(states[there], ids[there]), len(batch))
             text = np.repeat(np.arange(len(batch)), np.diff(texts.bounds))
             frequent = texts.ids >= 0
             known = np.bincount(text[frequent], v.counts[texts.ids[frequent]] > 0, len(batch)).astype(np.int64)
