@@ -35,6 +35,8 @@ STATE, SMALL, SPAN = 24, 8, 32
 SIDE, RATE, ROW_RATE = 256, 0.01, 0.05
 #: Words of a node or row that are added up one by one; sums of more are products.
 MANY = 6
+#: Words of a node that are multiplied by its weights at once.
+PACK = 16
 #: Rows of words and of nodes that are averaged together.
 BLOCKS = {0: 128, 4: 32}
 
@@ -111,6 +113,15 @@ class Vocabulary:
             self.places.append(place)
             made += len(names)
         self.start = np.concatenate([np.zeros((0, SMALL)), *starts]).astype(np.float32)
+        # for each level the place in the table of nodes, -1 below the last node and for words that are not frequent
+        self.way = np.full((len(self.nodes), len(order) + 1), -1, np.int32)
+        self.step = np.full(self.way.shape, -1, np.int32)
+        for level, (node, place) in enumerate(zip(self.nodes, self.places, strict=True)):
+            self.way[level, :-1], self.step[level, :-1] = node, place
+        # words are found by their first bits: where those with the same bits begin, and the most that share them
+        self.shift = np.uint64(64 - max(1, (2 * len(order)).bit_length()))
+        self.begin = np.searchsorted(self.words >> self.shift, np.arange((1 << 64 - int(self.shift)) + 1, dtype=np.uint64)).astype(np.int32)
+        self.alike = int(np.diff(self.begin).max())
         rest = max(0.0, self.tokens - self.counts.sum())
         self.rest = rest + 0.5 * (max(0, self.kinds - (self.counts > 0).sum()) + 1)
         self.prior = np.log(np.append(totals[:-1], self.rest) / (totals.sum() + self.rest)).astype(np.float32)
@@ -125,8 +136,21 @@ class Vocabulary:
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of words, -1 for words that are not frequent."""
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, -1)
+        if self.alike > 8:  # not spread by a hash
+            at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+            return np.where(self.words[at] == hashes, at, -1)
+        bits = (hashes >> self.shift).astype(np.int64)
+        at, end = self.begin.take(bits), self.begin.take(bits + 1)
+        out = np.full(len(hashes), -1, np.int64)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            here = at[left]
+            found = self.words.take(here) == hashes[left]
+            out[left[found]] = here[found]
+            left = left[~found]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return out
 
 
 def vocabulary(counts: DataFrame, frequent: int | None = None) -> Vocabulary:
@@ -225,10 +249,14 @@ class Network:
         """Natural logarithm for each word; for words that are not frequent only that of their class."""
         group = np.where(ids >= 0, self.v.group[ids], self.v.groups - 1)
         logits = self._class_scores(h)
-        out = logits[np.arange(len(ids)), group] - np.log(_total(np.exp(logits)))[:, 0].astype(float)
-        for some, node, place in self.v.ways(ids):
-            logits = self._scores(h[some], node, self.p[4].take(node, axis=0))
-            out[some] += logits[np.arange(len(some)), place] - np.log(_total(np.exp(logits)))[:, 0]
+        out = logits[np.arange(len(ids)), group].astype(float)
+        np.exp(logits, out=logits)
+        out -= np.log(_total(logits))[:, 0]
+        visits = Visits(self.v, ids)
+        logits = visits.scores(h, self.p[4], self.p[5])
+        own = logits[np.arange(len(logits)), visits.place]
+        np.exp(logits, out=logits)
+        visits.add(out, own - np.log(_total(logits))[:, 0])
         return out
 
     def gradient(self, h: np.ndarray, x: np.ndarray, ids: np.ndarray, there: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -253,18 +281,17 @@ class Network:
         d_logits /= n * _total(d_logits)
         d_logits[np.arange(n), group] -= 1 / n
         d_flat = d_logits @ self.p[2].T
-        grads = [None, np.zeros_like(self.p[1]), flat.T @ d_logits, d_logits.sum(axis=0), None, None]
+        grads = [None, np.zeros_like(self.p[1]), flat.T @ d_logits, np.ones(n, d_logits.dtype) @ d_logits, None, None]
         rows: dict[int, list] = {0: [], 4: []}
-        for some, node, place in self.v.ways(words):
-            order = np.argsort(node, kind="stable")
-            some, node, place = some[order], node[order], place[order]
-            here, weights = flat.take(some, axis=0), self.p[4].take(node, axis=0)
-            d = self._scores(here, node, weights)
+        visits = Visits(self.v, words)
+        if len(visits.node):
+            d = visits.scores(flat, self.p[4], self.p[5])
             np.exp(d, out=d)
             d /= n * _total(d)
-            d[np.arange(len(some)), place] -= 1 / n
-            d_flat[some] += np.matmul(d[:, None, :], weights)[:, 0]
-            rows[4].append(_node_sums(node, d, here))
+            d[np.arange(len(d)), visits.place] -= 1 / n
+            towards, sums = visits.backwards(d)
+            visits.add(d_flat, towards)
+            rows[4].append(sums)
         d_states = np.zeros(states.shape, flat.dtype)
         d_states[there] = d_flat
         d_states = np.ascontiguousarray(d_states.transpose(0, 2, 1))
@@ -288,11 +315,11 @@ class Network:
         grads[1] = np.matmul(before, inward.reshape(len(x), 3 * STATE, -1).transpose(0, 2, 1)).sum(axis=0)
         row = np.where(there, x, -1).ravel()
         used = np.flatnonzero(row >= 0)
-        order = np.argsort(row[used], kind="stable")
+        order = _sorted(row[used], self.v.inputs)
         d_inputs = d_inputs.reshape(-1, 3 * STATE).take(used[order], axis=0)
         # words first, then their classes from the sums of the words
         word, times, by_word = _sums(row[used[order]], d_inputs)
-        order = np.argsort(self.v.above[word], kind="stable")
+        order = _sorted(self.v.above[word], self.v.inputs)
         above, _, by_class = _sums(self.v.above[word][order], by_word[order])
         met = np.add.reduceat(times[order], np.searchsorted(self.v.above[word][order], above))
         own = word < len(self.v.words)  # the class of all other words is an input of its own
@@ -316,6 +343,11 @@ def _total(values: np.ndarray) -> np.ndarray:
     return (values @ np.ones(values.shape[1], values.dtype))[:, None]
 
 
+def _sorted(keys: np.ndarray, most: int) -> np.ndarray:
+    """The order of keys below ``most``, equal ones as they come; keys of 16 bits are sorted by counting."""
+    return np.argsort(keys.astype(np.uint16) if most <= 1 << 16 else keys, kind="stable")
+
+
 def _runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the runs of equal rows begin, and their lengths."""
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
@@ -347,6 +379,75 @@ def _node_sums(node: np.ndarray, d: np.ndarray, h: np.ndarray) -> tuple[np.ndarr
     return node[first], times, [weights, np.add.reduceat(d, first, axis=0)]
 
 
+class Visits:
+    """The nodes on the ways of some words, those of all levels at once: nodes with many words first, both parts by node.
+
+    The words of a node with many are put in packs of ``PACK``, so that its weights are read and multiplied once
+    for a pack; places of a pack that no word takes stay zero. The others are worked on word by word.
+    """
+
+    def __init__(self, v: Vocabulary, ids: np.ndarray):
+        way = v.way.take(ids, axis=1, mode="wrap")
+        on = np.flatnonzero(way.ravel() >= 0)
+        node, some = way.ravel().take(on), on % max(len(ids), 1)
+        place = v.step.ravel().take(on // max(len(ids), 1) * v.step.shape[1] + ids.take(some))
+        edges = np.searchsorted(on, np.arange(1, len(way)) * len(ids))
+        self.levels = np.split(some, edges) if len(way) else []
+        total = len(v.start)
+        few = np.bincount(node, minlength=total) <= MANY
+        self.order = _sorted(np.where(few, np.arange(total) + total, np.arange(total)).take(node), 2 * total)
+        self.some, self.node, self.place = some[self.order], node[self.order], place[self.order]
+        self.busy = len(node) - int(few[node].sum())
+        self.first, self.times = _runs(self.node[: self.busy]) if self.busy else (np.zeros(0, np.int64),) * 2
+        packs = -(-self.times // PACK)
+        self.packs = np.cumsum(packs) - packs
+        self.packed = np.repeat(self.node[self.first], packs)
+        self.slots = np.arange(self.busy) + np.repeat(self.packs * PACK - self.first, self.times)
+
+    def pack(self, values: np.ndarray) -> np.ndarray:
+        """Values of the words of busy nodes in their packs."""
+        out = np.zeros((len(self.packed) * PACK, values.shape[1]), values.dtype)
+        out[self.slots] = values
+        return out.reshape(-1, PACK, values.shape[1])
+
+    def scores(self, h: np.ndarray, weights: np.ndarray, shares: np.ndarray) -> np.ndarray:
+        """What the members of the node of each visit have each, less the largest; keeps what ``backwards`` needs."""
+        here, rest = h.take(self.some, axis=0), self.node[self.busy :]
+        self.here, self.of_packs, self.of_rest = here[self.busy :], weights.take(self.packed, axis=0), weights.take(rest, axis=0)
+        self.states = self.pack(here[: self.busy])
+        logits = shares.take(self.node, axis=0)
+        logits[: self.busy] += np.matmul(self.states, self.of_packs.transpose(0, 2, 1)).reshape(-1, SMALL).take(self.slots, axis=0)
+        logits[self.busy :] += np.matmul(self.of_rest, self.here[:, :, None])[:, :, 0]
+        logits -= _largest(logits)
+        return logits
+
+    def backwards(self, d: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+        """Gradients of the states of all visits, and for each node how many words it has and those of its weights and shares."""
+        towards = np.empty((len(d), STATE), d.dtype)
+        packs = self.pack(d[: self.busy])
+        towards[: self.busy] = np.matmul(packs, self.of_packs).reshape(-1, STATE).take(self.slots, axis=0)
+        towards[self.busy :] = np.matmul(d[self.busy :, None, :], self.of_rest)[:, 0]
+        parts = []
+        if self.busy:
+            by_pack = np.matmul(packs.transpose(0, 2, 1), self.states).reshape(-1, SMALL * STATE)
+            weights = np.add.reduceat(by_pack, self.packs, axis=0).reshape(-1, SMALL, STATE)
+            parts.append((self.node[self.first], self.times, weights, np.add.reduceat(d[: self.busy], self.first, axis=0)))
+        if self.busy < len(d):
+            names, times, sums = _node_sums(self.node[self.busy :], d[self.busy :], self.here)
+            parts.append((names, times, *sums))
+        names, times, weights, shares = (np.concatenate(x) if len(x) > 1 else x[0] for x in zip(*parts, strict=True))
+        return towards, (names, times, [weights, shares])
+
+    def add(self, out: np.ndarray, values: np.ndarray) -> None:
+        """Adds the values of all visits to those of their words."""
+        by_level = np.empty_like(values)
+        by_level[self.order] = values
+        at = 0
+        for some in self.levels:
+            out[some] += by_level[at : at + len(some)]
+            at += len(some)
+
+
 @dataclass
 class Texts:
     """The words of some texts as ids, each text ended, from the longest to the shortest."""
@@ -405,7 +506,7 @@ def learned_from(batches: Iterator[pa.RecordBatch], v: Vocabulary) -> tuple[Netw
                         net.seen[k][which] += times
                         for j, g in zip((k, 5), values, strict=False):
                             flat = g.reshape(len(g), -1)
-                            squared = squares[j][which] + np.einsum("nk,nk->n", flat, flat) / flat.shape[1]
+                            squared = squares[j][which] + np.vecdot(flat, flat) / flat.shape[1]
                             squares[j][which] = squared
                             flat *= (ROW_RATE / (np.sqrt(squared) + 1e-9))[:, None]
                             net.p[j][which] -= g

@@ -42,3 +42,34 @@ def test_class_scores_of_far_texts():
     h[:, 0] = 1, -1
     logs = net.log_softmax(h)
     assert np.isfinite(logs).all() and np.allclose(np.exp(logs).sum(axis=1), 1, atol=1e-5)
+
+
+def test_packs_of_nodes_equal_words_one_by_one():
+    """Nodes with one word, some, a pack and more; the words of a text that are not frequent visit none."""
+    random = np.random.default_rng(6)
+    words = np.append(random.integers(1, 2**63, 900, dtype=np.uint64), lm._END)
+    words.sort()
+    v = lm.Vocabulary(words, random.integers(1, 90, 901) ** 2, 4_000_000, 2000)
+    weights, shares = random.normal(size=(len(v.start), lm.SMALL, lm.STATE)), random.normal(size=(len(v.start), lm.SMALL))
+    ids = np.concatenate([random.integers(-1, 901, 120), np.full(5 * lm.PACK + 1, 17), np.full(lm.PACK, 400), np.full(3, -1)])
+    h = random.normal(size=(len(ids), lm.STATE))
+    visits = lm.Visits(v, ids)
+    scores = visits.scores(h, weights, shares)
+    d = random.normal(size=scores.shape)
+    towards, (names, times, (by_node, by_share)) = visits.backwards(d)
+    assert 0 < visits.busy < len(d) and (v.ids(words[::-1]) == np.arange(901)[::-1]).all() and (v.ids(words + 1) == -1).all()
+    plain = np.einsum("nij,nj->ni", weights[visits.node], h[visits.some]) + shares[visits.node]
+    assert np.allclose(scores, plain - plain.max(axis=1, keepdims=True))
+    assert np.allclose(towards, np.einsum("ni,nij->nj", d, weights[visits.node]))
+    expected, plain_shares = np.zeros_like(weights), np.zeros_like(shares)
+    np.add.at(expected, visits.node, d[:, :, None] * h[visits.some][:, None, :])
+    np.add.at(plain_shares, visits.node, d)
+    assert np.allclose(by_node, expected[names]) and np.allclose(by_share, plain_shares[names]) and (times == np.bincount(visits.node)[names]).all()
+    out, summed = np.zeros_like(h), np.zeros_like(h)
+    visits.add(out, towards)
+    np.add.at(summed, visits.some, towards)
+    assert np.allclose(out, summed)
+    listed = sorted((i, n, p) for some, node, place in v.ways(ids) for i, n, p in zip(some, node, place))
+    assert sorted(zip(visits.some, visits.node, visits.place)) == listed
+    for few in (np.zeros(0, int), np.array([-1])):
+        assert len(lm.Visits(v, few).scores(h[: len(few)], weights, shares)) == 0
